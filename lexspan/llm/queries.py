@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, sharding
+from . import exact_dedup, mixing, packing, sharding, substring_dedup, suffix_dedup
 from .common import LOWER, UPPER, width
 from .numbering import BLOCKS, PRIME, STEP
 
@@ -24,10 +24,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents")).drop("row_number")
 
@@ -44,7 +54,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_packing": op2_packing,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_sharding": op6_sharding,
         "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
