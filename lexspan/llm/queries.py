@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, sharding, substring_dedup, suffix_dedup
+from . import embedding_dedup, exact_dedup, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup
 from .common import LOWER, UPPER, width
 from .numbering import BLOCKS, PRIME, STEP
 
@@ -33,6 +33,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -56,6 +64,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_packing": op2_packing,
+        "op3_simhash": op3_simhash,
+        "op4_embedding_dedup": op4_embedding_dedup,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_sharding": op6_sharding,
         "op9_mixing": op9_mixing,
