@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup
+from . import embedding_dedup, exact_dedup, language_id, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from .common import LOWER, UPPER, width
 from .numbering import BLOCKS, PRIME, STEP
 
@@ -50,6 +50,20 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents")).drop("row_number")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    texts = language_id.references(docs.where(language_id.fold("doc_id", 4) != 2))
+    judged = language_id.identify(docs, texts, keep=["doc_id"])
+    return judged.select("doc_id", (language_id.fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    texts, toxic = toxicity.training_rows(docs, labels.where(language_id.fold("doc_id", 5) != 0))
+    judged = toxicity.score_documents(docs, toxicity.train(texts, toxic), keep=["doc_id"])
+    return judged.select("doc_id", (language_id.fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(table(spark, sf_dir, "documents"))
     columns = ["doc_id", "size", "source_size", "target", "taken"]
@@ -68,6 +82,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_embedding_dedup": op4_embedding_dedup,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_sharding": op6_sharding,
+        "op7_language_id": op7_language_id,
+        "op8_toxicity": op8_toxicity,
         "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
     }
