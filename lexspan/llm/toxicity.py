@@ -22,8 +22,8 @@ from .repeats import powers
 EACH_LABEL, A_TEXT = 1500, 12_000
 #: Beginnings (bytes) that are features, hashed weights, and tokens of a stretch.
 BEGINNINGS, TABLE, STRETCH = (3, 4, 5, 6), 1 << 18, 128
-#: From which log-odds, and in how many toxic documents, a feature marks tokens.
-ODDS, SUPPORT = 2.5, 6
+#: From which log-odds, and how many standard deviations over an even spread, a feature marks tokens.
+ODDS, DEVIATIONS = 2.5, 5.0
 AT_ONCE = 1_000_000
 
 _WORD_BYTE = np.zeros(256, bool)
@@ -135,12 +135,18 @@ def token_labels(features: np.ndarray, owner: np.ndarray, toxic: np.ndarray) ->
         feature, of_toxic = seen % TABLE, toxic[seen // TABLE]
         a, b = np.bincount(feature[of_toxic], minlength=TABLE), np.bincount(feature[~of_toxic], minlength=TABLE)
         odds = np.log((a + 0.5) / many) - np.log((b + 0.5) / few)
-        marks |= ((odds >= ODDS) & (a >= SUPPORT))[features[:, k]]
+        share = many / (many + few)
+        over = (a - (a + b) * share) / np.sqrt(np.maximum((a + b) * share * (1 - share), 1e-9))
+        marks |= ((odds >= ODDS) & (over >= DEVIATIONS))[features[:, k]]
     return marks & toxic[owner]
 
 
-def train(texts: list[bytes], toxic: np.ndarray, epochs: int = 4, seed: int = 8) -> Model:
-    """Fits the field by Adagrad on the tokens' likelihood, then the documents' logistic model by Newton steps."""
+def train(texts: list[bytes], toxic: np.ndarray, shift: float = 0.0, epochs: int = 4, seed: int = 8) -> Model:
+    """Fits the field by Adagrad on the tokens' likelihood, then the documents' logistic model by Newton steps.
+
+    shift: log-odds to add where the sample has more toxic documents than the labels at large.
+    Without documents of both labels, the model is one that calls nothing toxic.
+    """
     model = Model()
     if not len(texts) or toxic.all() or not toxic.any():
         return model
@@ -176,13 +182,16 @@ def train(texts: list[bytes], toxic: np.ndarray, epochs: int = 4, seed: int = 8)
     for _ in range(25):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         w += np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 0.1 * np.eye(len(w)), x.T @ (y - q) - 0.1 * w)
+    w[0] += shift
     model.document = w
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", seed: str = "toxicity") -> tuple[list[bytes], np.ndarray]:
+def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", seed: str = "toxicity") -> tuple[list[bytes], np.ndarray, float]:
     """A bounded sample of labelled documents: about EACH_LABEL of each label, A_TEXT characters of each.
 
+    The third result is the log-odds by which labels at large are more often toxic than those sampled.
+
     Ids are sampled by hash at a rate set from each label's count, before they meet the texts.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
@@ -192,7 +201,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     ids = known.where(order < F.when(F.col("__label") == 1, rate[1]).otherwise(rate[0]))
     rows = docs.join(ids, docs[doc_id] == ids["__id"]).select(F.col("__id"), F.col("__label"), F.substring(docs[text], 1, A_TEXT).alias("t")).collect()
     rows = sorted(((r["__id"], r["__label"], r["t"] or "") for r in rows))
-    return [t.encode("utf-8", "replace") for _, _, t in rows], np.array([y == 1 for _, y, _ in rows], bool)
+    shift = float(np.log(rate[0] / rate[1]))
+    return [t.encode("utf-8", "replace") for _, _, t in rows], np.array([y == 1 for _, y, _ in rows], bool), shift
 
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
