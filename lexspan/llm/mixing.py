@@ -38,7 +38,10 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
         ranked.withColumn("__full", F.coalesce(F.sum("__cap").over(below), F.lit(0.0)))
         .withColumn("__open", F.sum("__weight").over(everything) - F.coalesce(F.sum("__weight").over(below), F.lit(0.0)))
         .withColumn("__level", (F.col("__demand") - F.col("__full")) / F.col("__open"))
-        .withColumn("__level", F.min(F.when(F.col("__level") <= F.col("__fill"), F.col("__level"))).over(everything))
+        # The first source, in that order, that its level doesn't fill has the right one.
+        .withColumn("__level", F.first(F.when(F.col("__level") <= F.col("__fill"), F.col("__level")), ignorenulls=True).over(
+            Window.orderBy("__fill", "__rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ))
     )
     return levelled.select(
         "source", "source_size",

@@ -166,7 +166,8 @@ levels AS (
   FROM ranked WINDOW below AS (ORDER BY fill, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
 targets AS (
-  SELECT source, source_size, weight, coalesce(least(cap, weight * min(CASE WHEN level <= fill THEN level END) OVER ()), cap) AS target FROM levels
+  SELECT source, source_size, weight, coalesce(least(cap, weight * first_value(CASE WHEN level <= fill THEN level END IGNORE NULLS) OVER (
+    ORDER BY fill, rank ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)), cap) AS target FROM levels
 ),
 streams AS (
   SELECT s.doc_id, s.size, t.source_size, t.target, round(t.target)::BIGINT AS quota, (t.weight - 8.0::DOUBLE / 3) / 10 AS slope,
