@@ -37,6 +37,18 @@ def shingles(text: bytes, words: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip(starts, ends[words - 1 :], strict=False)]
 
 
+#: For each byte a number whose bytes are its bits, so that sums of these count bits.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """The bits (uint8 0 or 1) that over half of the 64-bit hashes have."""
+    counts = np.zeros(BITS, np.int64)
+    for low in range(0, len(hashes), 255):  # a byte counts to 255
+        counts += _SPREAD[hashes[low : low + 255, None].view(np.uint8)].sum(0, dtype=np.uint64).view(np.uint8)
+    return (counts * 2 > len(hashes)).astype(np.uint8)
+
+
 def fingerprints(texts: list[bytes], words: int) -> np.ndarray:
     """64-bit fingerprints (uint64): a bit is set if over half the shingles' XXH64 (seed 42) have it."""
     from xxhash import xxh64_intdigest
@@ -44,14 +56,9 @@ def fingerprints(texts: list[bytes], words: int) -> np.ndarray:
     out = np.zeros(len(texts), np.uint64)
     for i, text in enumerate(texts):
         found = shingles(text, words)
-        n = len(found)
-        if not n:
-            continue
-        hashes = np.array([xxh64_intdigest(s, 42) for s in found], np.uint64)
-        counts = np.zeros(BITS, np.int64)
-        for low in range(0, n, 65_536):
-            counts += np.unpackbits(hashes[low : low + 65_536, None].view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out[i] = np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0]
+        if found:
+            hashes = np.array([xxh64_intdigest(s, 42) for s in found], np.uint64)
+            out[i] = np.packbits(majority(hashes), bitorder="little").view(np.uint64)[0]
     return out
 
 
@@ -197,3 +204,146 @@ def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: s
     hashed = durable(with_fingerprint(docs, words, doc_id, text))
     found = near_components(hashed, distance)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: For similarity rather than a given distance: 64-bit words of a fingerprint, sampled segments, their bits, those with a ball of radius 1.
+WIDE, SAMPLES, SAMPLE_BITS, BALLED = 4, 40, 18, 2
+#: Bucket sizes up to which all pairs are compared at once.
+SMALL = 48
+_STREAMS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03], np.uint64)
+
+
+def wide_fingerprints(texts: list[bytes], words: int) -> np.ndarray:
+    """Fingerprints of WIDE words: each word from the shingles' XXH64, mixed by another multiplier."""
+    from xxhash import xxh64_intdigest
+
+    out = np.zeros((len(texts), WIDE * BITS), np.uint8)
+    for i, text in enumerate(texts):
+        if found := shingles(text, words):
+            hashes = np.array([xxh64_intdigest(s, 42) for s in found], np.uint64)
+            for k in range(WIDE):
+                x = hashes * _STREAMS[k]
+                x = (x ^ (x >> np.uint64(29))) * _STREAMS[(k + 1) % 4]
+                out[i, k * BITS : (k + 1) * BITS] = majority(x ^ (x >> np.uint64(32)))
+    return np.packbits(out, axis=1, bitorder="little").view(np.uint64)
+
+
+def distance_for(similarity: float) -> int:
+    """Bits in which fingerprints of texts of a Jaccard similarity differ, plus one standard deviation."""
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    bits = WIDE * BITS
+    return round(bits * share + np.sqrt(bits * share * (1 - share)))
+
+
+def _probes(batches: Iterator[pa.RecordBatch], width_: int) -> Iterator[pa.RecordBatch]:
+    rng = np.random.default_rng(3)
+    samples = [rng.choice(WIDE * BITS, width_, replace=False) for _ in range(SAMPLES)]
+    weights = np.int64(1) << np.arange(width_, dtype=np.int64)
+    for batch in batches:
+        for low in range(0, batch.num_rows, 1000):
+            part = batch.slice(low, 1000)
+            node, prints = part.column(0).to_numpy(), np.stack([part.column(k + 1).to_numpy() for k in range(WIDE)], 1)
+            bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
+            buckets = []
+            for k, sample in enumerate(samples):
+                value = (bits[:, sample] @ weights) | np.int64(k << 48)
+                buckets.append(value)
+                if k < BALLED:
+                    buckets += [value ^ w for w in weights]
+            n = len(buckets)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(buckets)), pa.array(np.tile(node, n)), *[pa.array(np.tile(prints[:, k], n)) for k in range(WIDE)]],
+                ["bucket", "node", *[f"f{k}" for k in range(WIDE)]],
+            )
+
+
+def _compare(distance: int) -> Callable:
+    """Rows sorted by bucket: links of each bucket that connect all within the distance."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+
+    def groups(key: np.ndarray, node: np.ndarray, prints: np.ndarray) -> pa.RecordBatch | None:
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[first, len(key)])
+        end = np.repeat(first + size, size)
+        at = np.flatnonzero(np.repeat((size > 1) & (size <= SMALL), size))
+        a, b = [], []
+        for shift in range(1, SMALL):
+            at = at[at + shift < end[at]]
+            if not len(at):
+                break
+            near = at[far(prints[at], prints[at + shift]) <= distance]
+            a.append(node[near])
+            b.append(node[near + shift])
+        # Crowded buckets: each one reached is compared with those not yet reached.
+        for low, n in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+            left = np.arange(low, low + n)
+            while len(left) > 1:
+                queue, left = [left[0]], left[1:]
+                while queue and len(left):
+                    one = queue.pop()
+                    near = far(prints[left], prints[one][None]) <= distance
+                    if near.any():
+                        found, left = left[near], left[~near]
+                        a.append(np.full(len(found), node[one]))
+                        b.append(node[found])
+                        queue += found.tolist()
+        if not a:
+            return None
+        x, y = np.concatenate(a), np.concatenate(b)
+        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1)[x != y], axis=0)
+        return pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], schema=schema) if len(pairs) else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.stack([batch.column(k + 2).to_numpy() for k in range(WIDE)], 1).view(np.uint64)))
+            if len(held[-1][0]) and held[-1][0][-1] != held[0][0][0] and sum(len(h[0]) for h in held) > 100_000:
+                key, node, prints = (np.concatenate(h) for h in zip(*held, strict=True))
+                cut = int(np.flatnonzero(key != key[-1])[-1]) + 1
+                if out := groups(key[:cut], node[:cut], prints[:cut]):
+                    yield out
+                held = [(key[cut:], node[cut:], prints[cut:])]
+        if held and sum(len(h[0]) for h in held) and (out := groups(*(np.concatenate(h) for h in zip(*held, strict=True)))):
+            yield out
+
+    return run
+
+
+def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, of which one of each group of near-duplicates stays.
+
+    Texts are near-duplicates if fingerprints of 256 bits over shingles of `words` words
+    differ in at most as many bits as a similarity of `similarity` makes them, plus one
+    standard deviation. Groups are what such links connect; the smallest doc_id stays.
+    Buckets are samples of a fingerprint's bits, as many of them as two texts at the
+    threshold share one of with a chance of about nine in ten, and rising fast above it; in
+    the first, Hamming balls are enumerated. Rows that share a doc_id stay or go together;
+    those with a null id stay. Texts without words have the fingerprint zero and are one
+    group. Empty table: no rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = wide_fingerprints([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(WIDE)]], ["doc_id", *parts])
+
+    parts = [f"f{k}" for k in range(WIDE)]
+    fields = ", ".join(f"{p} long" for p in parts)
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
+    hashed = durable(slim.mapInArrow(run, f"doc_id long, {fields}"))
+    prints = durable(hashed.groupBy(*parts).agg(F.min("doc_id").alias("__least")).withColumn("node", F.monotonically_increasing_id()))
+    wide = max(SAMPLE_BITS, (max(prints.count(), 1) - 1).bit_length() - 6)
+    probes = prints.select("node", *parts).mapInArrow(lambda b: _probes(b, wide), f"bucket long, node long, {fields}")
+    links = (
+        probes.repartition(width(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
+        .mapInArrow(_compare(distance_for(similarity)), "a long, b long").distinct()
+    )
+    roots = connected_components(links, "a", "b")
+    rooted = prints.join(roots, "node", "left").withColumn("__root", F.coalesce("root", "node"))
+    stays = rooted.groupBy("__root").agg(F.min("__least").alias("__stays"))
+    named = rooted.join(stays, "__root").select(*parts, "__stays")
+    goes = hashed.join(named, parts).where("doc_id <> __stays").select(F.col("doc_id").alias("__goes")).distinct()
+    return docs.join(goes, docs[doc_id] == goes["__goes"], "left_anti")
