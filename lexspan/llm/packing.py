@@ -24,18 +24,31 @@ from .common import durable
 
 WINDOW, OPEN, PAD, END = 2048, 64, 16, 1
 #: Partitions whose leftovers one merging task packs, and words a tokenizer remembers.
-MERGED, REMEMBERED = 64, 500_000
+MERGED, REMEMBERED = 64, 800_000
 
 _TWO_SPACES = re.compile(r"\s\s|^ | $")
 _CUTS = re.compile(r"(?<=\S)(?= \S)")
 
 
+#: Marks that are a token of their own behind a letter, and the last of the letters told here.
+_MARKS, _LAST = ".,;:!?", "\u024f"
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as a printable character: itself if it is one, else from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
 class Encoder:
     """Token ids of a text as unsigned 32-bit numbers (little-endian, as all machines here), by a `tokenizers` file.
 
     The file's pre-tokenizer never joins what a single space between two other characters
-    separates, so each word is tokenized once and remembered with its leading space.
-    Special tokens' strings are ordinary text.
+    separates, so each word is tokenized once and remembered with its leading space. A word
+    of Latin letters is one piece to it, so the file's model gets such a word directly; a
+    mark behind it and a line break between two other characters are pieces of their own.
+    All else goes the whole way. Special tokens' strings are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -43,13 +56,26 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.known[word] = array("I", found.ids).tobytes()
+    def _ids(self, word: str) -> bytes:
+        found = self.known.get(word)
+        if found is not None:
+            return found
+        core = word[1:] if word[:1] == " " else word
+        before, broken, after = core.partition("\n")
+        if core.isalpha() and max(core) <= _LAST:
+            found = array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        elif broken and before and after and not before[-1].isspace() and not after[0].isspace():
+            found = self._ids(word[: len(word) - len(after) - 1]) + self._ids("\n") + self._ids(after)
+        elif core[-1:] in _MARKS and core[:-1].isalpha() and max(core[:-1]) <= _LAST:
+            found = self._ids(word[:-1]) + self._ids(core[-1])
+        else:
+            found = array("I", self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids).tobytes()
+        self.known[word] = found
+        return found
 
     def batch(self, texts: list[str]) -> list[bytes]:
         cut = []
@@ -62,10 +88,11 @@ class Encoder:
         out = [list(map(get, words)) for words in cut]
         missing = list({word for words, ids in zip(cut, out, strict=True) if None in ids for word, i in zip(words, ids, strict=True) if i is None})
         if missing:
-            if len(self.known) + len(missing) > REMEMBERED:
+            if len(self.known) > REMEMBERED:
                 self.known.clear()
                 missing = list({word for words in cut for word in words})
-            self._learn(missing)
+            for word in missing:
+                self._ids(word)
             get = self.known.__getitem__
             out = [list(map(get, words)) if None in ids else ids for words, ids in zip(cut, out, strict=True)]
         return [b"".join(ids) for ids in out]
