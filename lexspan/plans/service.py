@@ -34,8 +34,9 @@ class Service:
         """Opens the final snapshot, or a checkpoint while there is none; whether it has chunks."""
         self.manifest = self.store.manifest("final")
         self.mode = "final" if self.manifest else "none"
-        if self.manifest is None and (self.manifest := self.store.checkpoint(self.rebuild_plan.commit)):
-            self.mode = "checkpoint"
+        if self.manifest is None:
+            self.manifest = self.store.checkpoint(self.rebuild_plan.commit)
+            self.mode = "checkpoint" if self.manifest else "none"
         return self.indexed_chunks > 0
 
     @property
