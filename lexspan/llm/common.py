@@ -39,3 +39,11 @@ def n_words(text: Column) -> Column:
 def width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, or that with underscores behind it, if a column has it (case doesn't tell columns apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -94,17 +94,13 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mos
     Of rows that repeat both doc_id and text one stays. Texts of rows that the filter lets
     pass are never shuffled.
     """
-    columns = [c for c in docs.columns]
-    tagged = docs.withColumn("__digest", digests(docs, text))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    tagged = docs.select(row, docs[doc_id].alias("id"), digests(docs, text).alias("__digest"))
     hashed = durable(tagged.select("__digest"))
     slots = table_slots(hashed.count(), most_slots)
     pages = durable(repeated_slots(hashed, "__digest", slots))
     judged = with_suspicion(tagged, "__digest", pages, slots)
-    straight = judged.where(~F.col("__suspect")).select(*columns)
     suspects = judged.where("__suspect")
-    groups = suspects.groupBy("__digest").agg(F.max(doc_id).alias("__keep"))
-    kept = (
-        suspects.join(groups, "__digest").where(F.col(doc_id).eqNullSafe(F.col("__keep")))
-        .dropDuplicates(["__digest"]).select(*columns)
-    )
-    return straight.unionByName(kept)
+    groups = suspects.groupBy("__digest").agg(F.max("id").alias("__keep"))
+    kept = suspects.join(groups, "__digest").where(F.col("id").eqNullSafe(F.col("__keep"))).dropDuplicates(["__digest"])
+    return judged.where(~F.col("__suspect")).select("row.*").unionByName(kept.select("row.*"))

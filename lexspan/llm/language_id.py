@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
 from .substring_dedup import SuffixAutomaton
 
 #: Characters of the reference of one language, and of all; the bound of the training sample.
@@ -96,13 +97,15 @@ class Parser:
         for k, table in enumerate(self.tables):
             state, phrases = np.zeros(columns.shape[1], np.int32), np.zeros(columns.shape[1], np.int64)
             root = table[:SYMBOLS]
+            open_ = np.zeros(columns.shape[1], bool)
             for c, is_text in zip(columns, real, strict=True):
-                to = table[state * SYMBOLS + c]
-                failed = to == 0
-                phrases += failed & is_text
-                state = np.where(failed, root[c], to)
-            # A phrase ends where the next begins, and at the end of each stretch.
-            totals = np.add.reduceat(phrases + 1, starts // STRETCH)
+                to, fresh = table[state * SYMBOLS + c], root[c]
+                failed = (to == 0) & is_text
+                # What was open ends here; a character unknown to the reference is a phrase of its own.
+                phrases += (failed & (state != 0)).astype(np.int64) + (failed & (fresh == 0))
+                state = np.where(to == 0, fresh, to)
+                open_ = np.where(is_text, state != 0, open_)
+            totals = np.add.reduceat(phrases + open_, starts // STRETCH)
             out[:, k] = totals * self.cost[k] / lengths
         return out
 
@@ -113,12 +116,15 @@ _parsers: dict[int, Parser] = {}
 def identify(docs: DataFrame, texts: dict[str, list[str]], text: str = "text", lang_pred: str = "lang_pred", score: str = "score", keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of `docs` (default: all), lang_pred and score, for every row.
 
+    Columns that have the names of the new ones are replaced.
+
     lang_pred is a language of `texts`; `und` with score 0 if the text is null or has no
     letter, or if `texts` is empty. score, 0 to 1, is the winner's share when each language
     counts 2 to the minus four times its bits a character. Of ties the first in code point
     order wins. The references travel with the task: at most REFERENCES characters.
     """
-    kept = docs.select(*[docs[c] for c in (docs.columns if keep is None else keep)], docs[text].cast("string").alias("__text"))
+    columns = [c for c in (docs.columns if keep is None else keep) if c not in (lang_pred, score)]
+    kept = docs.select(*[docs[c] for c in columns], docs[text].cast("string").alias(unused("__text", columns)))
     mark = hash(tuple((k, tuple(v)) for k, v in sorted(texts.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

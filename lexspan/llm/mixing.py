@@ -120,4 +120,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     times = plan.select(F.col("doc_id").alias("__id"), F.explode(whole).alias("__position")).dropDuplicates()
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.join(times, docs[doc_id].eqNullSafe(times["__id"]))
-    return rows.repartitionByRange(partitions, "__position", "__id").sortWithinPartitions("__position", "__id").select(*[docs[c] for c in columns])
+    order = [times["__position"], times["__id"]]
+    return rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select(*[docs[c] for c in columns])

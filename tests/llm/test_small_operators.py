@@ -34,7 +34,7 @@ def crowded(docs):
     """Columns that operators use inside or return."""
     from pyspark.sql import functions as F
 
-    return docs.withColumns({c: F.lit("x") for c in ("keep_id", "group_size", "kept", "text_sha256", "size", "shard", "slot", "position", "batch", "__slot", "__text", "score", "fingerprint", "node")})
+    return docs.withColumns({c: F.lit("x") for c in ("keep_id", "group_size", "kept", "text_sha256", "size", "shard", "slot", "position", "batch", "__slot", "__text", "score", "fingerprint", "node", "__digest", "__page0", "__id", "__position", "__goes", "row", "id", "f0")})
 
 
 @pytest.mark.parametrize("name", ["op10_exact_dedup", "op9_mixing"])
@@ -134,6 +134,7 @@ def test_mix(odd, none, spark):
     assert out.columns == docs.columns
     copies = Counter(r["doc_id"] for r in out.collect())
     assert max(copies.values()) == 2 and mixing.mix(docs).collect() == out.collect()
+    assert mixing.mix(crowded(docs)).columns == crowded(docs).columns and mixing.mix(crowded(docs)).count() == out.count()
     assert mixing.mix(none).count() == 0 and mixing.mixing_plan(none).count() == 0
     assert mixing.mixing_plan(crowded(odd)).count() == len(ODD)
 
