@@ -27,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import width
+
 #: Text bytes a batch should hold, and occurrences from which an anchor is hot.
 BATCH, HOT = 4_000_000, 4096
-#: Windows whose anchors are sought at once.
-SLICE = 1 << 16
+#: Windows whose anchors are sought at once, and pieces that are matched at once.
+SLICE, PART = 1 << 16, 4000
+LARGEST = np.iinfo(np.int64).max
 
 _BASE, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LOW, _HIGH = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000)
@@ -163,25 +166,33 @@ def window_hashes(units, length: int, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def bucket_edges(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where each bucket, the leading bits of a key, begins among sorted keys."""
+    return np.r_[np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(keys)] if bits else np.array([0, len(keys)])
+
+
+def short_keys(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The 32 bits behind the bucket's. A bucket has few enough keys that hardly any collide, and those that do cost a comparison."""
+    return (keys << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
+
+
 class Batch:
     """A batch's documents and runs; after `reply`, its pieces, numbered alike whenever they are made."""
 
     def __init__(self, kind, table: pa.Table, length: int, gram: int):
         self.length = length
-        self.rows = table
+        # In an order of their own, as a shuffle may deliver them in any: runs are cut and numbered by it.
+        rows = [(x, y or b"") for x, y in zip(table["doc_id"].to_pylist(), table["text"].cast(pa.binary()).to_pylist(), strict=True)]
         # A null id counts as larger than any other, and as equal to other nulls.
-        self.ids = np.array([np.iinfo(np.int64).max if i is None else i for i in table["doc_id"].to_pylist()], np.int64)
-        texts = table["text"].combine_chunks().cast(pa.binary()).to_pylist()
-        self.units = kind([t or b"" for t in texts])
+        rows.sort(key=lambda r: (LARGEST if r[0] is None else r[0], r[1]))
+        self.docs = [r[0] for r in rows]
+        self.ids = np.array([LARGEST if i is None else i for i in self.docs], np.int64)
+        self.units = kind([r[1] for r in rows])
         self.anchor, self.first, self.count, self.content = runs(self.units, length, gram)
         self.keys, self.key_of, self.times = np.unique(self.anchor, return_inverse=True, return_counts=True)
 
-    def edges(self, bits: int) -> np.ndarray:
-        """Where each bucket's keys begin."""
-        return np.searchsorted(self.keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, len(self.keys)])
-
     def reply(self, replies: pa.Table, bits: int) -> None:
-        edges = self.edges(bits)
+        edges = bucket_edges(self.keys, bits)
         repeated, hot = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
         for bucket, a, b in zip(*(replies[c].to_pylist() for c in ("bucket", "a", "b")), strict=True):
             if bucket >= 0:
@@ -223,8 +234,8 @@ def _send_keys(kind, length: int, gram: int, bits: int):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         batch = Batch(kind, table, length, gram)
-        edges = batch.edges(bits)
-        short = (batch.keys << np.uint64(bits) >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
+        edges = bucket_edges(batch.keys, bits)
+        short = short_keys(batch.keys, bits)
         times = np.minimum(batch.times, 255).astype(np.uint8)
         used = np.flatnonzero(np.diff(edges))
         return pa.table({
@@ -238,56 +249,80 @@ def _send_keys(kind, length: int, gram: int, bits: int):
 
 def _reply_keys(key: tuple, table: pa.Table) -> pa.Table:
     keys, times = table["a"].to_pylist(), table["b"].to_pylist()
-    wide = np.zeros((sum(map(len, times)), 8), np.uint8)
-    wide[:, :6] = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 6)
-    _, which = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
+    _, which = np.unique(np.frombuffer(b"".join(keys), np.uint32), return_inverse=True)
     total = np.bincount(which, np.frombuffer(b"".join(times), np.uint8))[which]
     edges = np.r_[0, np.cumsum([len(t) for t in times])]
     pack = lambda x: [np.packbits(x[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
     return pa.table({"batch": table["batch"], "bucket": table["bucket"], "a": pa.array(pack(total >= 2), pa.binary()), "b": pa.array(pack(total >= HOT), pa.binary())})
 
 
-PIECES = "key long, batch int, piece int, least long, windows int, content binary"
+def _send_pieces(kind, length: int, gram: int, bits: int):
+    """A row for each bucket: its pieces' keys, least ids, windows and contents, compressed."""
+    from zstandard import ZstdCompressor
 
+    schema = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("first", pa.int32()), ("n", pa.int32()), ("data", pa.binary())])
 
-def _send_pieces(kind, length: int, gram: int, bits: int):
     def run(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
         batch = Batch(kind, docs, length, gram)
         batch.reply(replies, bits)
-        first, count = batch.first[batch.heads], batch.count[batch.heads]
+        keys, first, count = batch.key[batch.heads], batch.first[batch.heads], batch.count[batch.heads]
         starts, widths = batch.units.stretch(first, first + count + length - 1)
-        data, bounds = gather(batch.units.buffer, starts, widths)
-        n = len(first)
+        edges = bucket_edges(keys, bits)
+        short, press = short_keys(keys, bits), ZstdCompressor(level=3)
+        used, data = np.flatnonzero(np.diff(edges)), []
+        for u in used:
+            x, y = edges[u], edges[u + 1]
+            contents, _ = gather(batch.units.buffer, starts[x:y], widths[x:y])
+            parts = (short[x:y], batch.least[x:y], widths[x:y].astype(np.int32), count[x:y].astype(np.uint8), contents)
+            # Numbers byte by byte, so that alike bytes stand together.
+            data.append(press.compress(b"".join(p.view(np.uint8).reshape(len(p), -1).T.tobytes() for p in parts)))
         return pa.table({
-            "key": pa.array(batch.key[batch.heads].view(np.int64)), "batch": pa.array(np.full(n, key[0].as_py() or 0, np.int32)), "piece": pa.array(np.arange(n, dtype=np.int32)),
-            "least": pa.array(batch.least), "windows": pa.array(count.astype(np.int32)),
-            "content": pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]),
-        })
+            "bucket": pa.array(used, pa.int32()), "batch": pa.array([key[0].as_py()] * len(used), pa.int32()),
+            "first": pa.array(edges[used], pa.int32()), "n": pa.array(np.diff(edges)[used], pa.int32()), "data": pa.array(data, pa.binary()),
+        }, schema)
 
     return run
 
 
 def _match(matcher: Callable, length: int):
     """matcher(key, content buffer, bounds, windows, least, length): for each piece, the bits of the windows that an earlier document has."""
+    from zstandard import ZstdDecompressor
+
     schema = pa.schema([("batch", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 
+    def numbers(data: bytes, at: int, n: int, kind) -> tuple[np.ndarray, int]:
+        size = np.dtype(kind).itemsize
+        return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel(), at + n * size
+
     def run(_: tuple, table: pa.Table) -> pa.Table:
-        contents = table["content"].to_pylist()
-        bounds = np.r_[0, np.cumsum(np.fromiter(map(len, contents), np.int64, len(contents)))]
-        buffer = np.frombuffer(b"".join(contents), np.uint8)
-        column = lambda c: table[c].to_numpy()
-        masks = matcher(column("key"), buffer, bounds, column("windows").astype(np.int64), column("least"), length)
-        found = np.flatnonzero(masks)
-        batch, piece, masks = column("batch")[found], column("piece")[found].astype(np.int32), masks[found].astype(np.uint32)
-        order = np.argsort(batch, kind="stable")
-        batch, piece, masks = batch[order], piece[order], masks[order]
-        first = np.flatnonzero(np.r_[True, batch[1:] != batch[:-1]]) if len(batch) else np.zeros(0, np.int64)
-        ends = np.r_[first[1:], len(batch)] if len(batch) else first
-        return pa.table({
-            "batch": pa.array(batch[first], pa.int32()), "bucket": pa.array(np.full(len(first), -1, np.int32)),
-            "a": pa.array([piece[x:y].tobytes() for x, y in zip(first, ends, strict=True)], pa.binary()),
-            "b": pa.array([masks[x:y].tobytes() for x, y in zip(first, ends, strict=True)], pa.binary()),
-        }, schema)
+        press, columns, contents = ZstdDecompressor(), [], []
+        for n, packed in zip(table["n"].to_pylist(), table["data"].to_pylist(), strict=True):
+            data, own, at = press.decompress(packed), [], 0
+            for kind in (np.uint32, np.int64, np.int32, np.uint8):
+                values, at = numbers(data, at, n, kind)
+                own.append(values)
+            columns.append(own)
+            contents.append(data[at:])
+        key, least, widths, windows = (np.concatenate(c) for c in zip(*columns, strict=True))
+        starts, buffer = np.r_[0, np.cumsum(widths, dtype=np.int64)[:-1]], np.frombuffer(b"".join(contents), np.uint8)
+        masks = np.zeros(len(key), np.uint32)
+        # In parts that fit a processor's cache, each with all pieces of its keys.
+        order = np.argsort(key, kind="stable")
+        ranked = key[order]
+        low = 0
+        while low < len(order):
+            high = int(np.searchsorted(ranked, ranked[min(low + PART, len(order)) - 1], "right"))
+            own = order[low:high]
+            content, bounds = gather(buffer, starts[own], widths[own].astype(np.int64))
+            masks[own] = matcher(ranked[low:high].astype(np.int64), content, bounds, windows[own].astype(np.int64), least[own], length)
+            low = high
+        out, at = [], 0
+        for batch, first, n in zip(*(table[c].to_pylist() for c in ("batch", "first", "n")), strict=True):
+            found = np.flatnonzero(masks[at : at + n])
+            if len(found):
+                out.append((batch, -1, (first + found).astype(np.int32).tobytes(), masks[at + found].tobytes()))
+            at += n
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)] if out else [pa.array([], f.type) for f in schema], schema=schema)
 
     return run
 
@@ -310,7 +345,7 @@ def _finish(kind, length: int, gram: int, bits: int, with_content: bool):
         removed = np.cumsum(cover[:-1]) > 0
         bounds = batch.units.bounds
         out: dict[str, list] = {c: [] for c in ("doc_id", "n_units", "n_removed", "n_spans", "kept_sha256", "spans", "kept")}
-        for doc, low, high in zip(batch.rows["doc_id"].to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        for doc, low, high in zip(batch.docs, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             own = np.diff(np.r_[0, removed[low:high].astype(np.int8), 0])
             starts, ends = np.flatnonzero(own == 1), np.flatnonzero(own == -1)
             kept = batch.units.kept(low, high, removed)
@@ -337,7 +372,6 @@ def remove_repeats(docs: DataFrame, kind, length: int, gram: int, matcher: Calla
     own = dealt.groupBy("batch")
     keys = own.applyInArrow(_send_keys(kind, length, gram, bits), blobs)
     replies = keys.groupBy("bucket").applyInArrow(_reply_keys, blobs)
-    pieces = own.cogroup(replies.groupBy("batch")).applyInArrow(_send_pieces(kind, length, gram, bits), PIECES)
-    shard = F.pmod(F.xxhash64("key"), F.lit(4 * batches)).cast("int")
-    masks = pieces.withColumn("shard", shard).groupBy("shard").applyInArrow(_match(matcher, length), blobs)
+    pieces = own.cogroup(replies.groupBy("batch")).applyInArrow(_send_pieces(kind, length, gram, bits), "bucket int, batch int, first int, n int, data binary")
+    masks = pieces.repartition(width(docs.sparkSession), "bucket").groupBy("bucket").applyInArrow(_match(matcher, length), blobs)
     return own.cogroup(replies.unionByName(masks).groupBy("batch")).applyInArrow(_finish(kind, length, gram, bits, with_content), RESULT)
