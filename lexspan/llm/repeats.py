@@ -236,21 +236,23 @@ def _send_keys(kind, length: int, gram: int, bits: int):
         batch = Batch(kind, table, length, gram)
         edges = bucket_edges(batch.keys, bits)
         short = short_keys(batch.keys, bits)
-        times = np.minimum(batch.times, 255).astype(np.uint8)
+        times = np.minimum(batch.times, 65535).astype(np.uint16)
         used = np.flatnonzero(np.diff(edges))
         return pa.table({
             "batch": pa.array([key[0].as_py()] * len(used), pa.int32()), "bucket": pa.array(used, pa.int32()),
             "a": pa.array([short[edges[u] : edges[u + 1]].tobytes() for u in used], pa.binary()),
-            "b": pa.array([times[edges[u] : edges[u + 1]].tobytes() for u in used], pa.binary()),
+            # The low bytes and then the high ones, which are nearly all zero.
+            "b": pa.array([times[edges[u] : edges[u + 1]].view(np.uint8).reshape(-1, 2).T.tobytes() for u in used], pa.binary()),
         }, schema)
 
     return run
 
 
 def _reply_keys(key: tuple, table: pa.Table) -> pa.Table:
-    keys, times = table["a"].to_pylist(), table["b"].to_pylist()
+    keys = table["a"].to_pylist()
+    times = [np.frombuffer(t, np.uint8).reshape(2, -1).T.astype(np.int64) @ (1, 256) for t in table["b"].to_pylist()]
     _, which = np.unique(np.frombuffer(b"".join(keys), np.uint32), return_inverse=True)
-    total = np.bincount(which, np.frombuffer(b"".join(times), np.uint8))[which]
+    total = np.bincount(which, np.concatenate([np.zeros(0), *times]))[which]
     edges = np.r_[0, np.cumsum([len(t) for t in times])]
     pack = lambda x: [np.packbits(x[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
     return pa.table({"batch": table["batch"], "bucket": table["bucket"], "a": pa.array(pack(total >= 2), pa.binary()), "b": pa.array(pack(total >= HOT), pa.binary())})
