@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
 from .repeats import powers
 
 #: Bound of the training sample: documents of each label, and characters taken of each.
@@ -114,8 +115,11 @@ class Model:
 
     @staticmethod
     def summary(p: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
-        """For each text: 1, log(1 + expected toxic tokens), greatest marginal, log(1 + tokens)."""
-        total, count, most = np.bincount(owner, p, texts), np.bincount(owner, minlength=texts), np.zeros(texts)
+        """For each text: 1, log(1 + expected toxic tokens), greatest marginal, log(1 + tokens).
+
+        Marginals under a tenth don't add up, or every long text would become toxic.
+        """
+        total, count, most = np.bincount(owner, np.where(p > 0.1, p, 0), texts), np.bincount(owner, minlength=texts), np.zeros(texts)
         np.maximum.at(most, owner, p)
         return np.stack([np.ones(texts), np.log1p(total), most, np.log1p(count) / 10], 1)
 
@@ -192,14 +196,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 
     The third result is the log-odds by which labels at large are more often toxic than those sampled.
 
-    Ids are sampled by hash at a rate set from each label's count, before they meet the texts.
+    Ids are sampled by hash at a rate set from each label's count, before they meet the texts;
+    being about 2 * EACH_LABEL, whatever the table, they are broadcast, and texts don't shuffle.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
     counts = {r["__label"]: r["count"] for r in known.groupBy("__label").count().collect()}
     rate = [min(1.0, EACH_LABEL / counts.get(k, 1)) * 2**31 for k in (0, 1)]
     order = F.pmod(F.xxhash64(F.col("__id").cast("string"), F.lit(seed)), F.lit(2**31))
     ids = known.where(order < F.when(F.col("__label") == 1, rate[1]).otherwise(rate[0]))
-    rows = docs.join(ids, docs[doc_id] == ids["__id"]).select(F.col("__id"), F.col("__label"), F.substring(docs[text], 1, A_TEXT).alias("t")).collect()
+    rows = docs.join(F.broadcast(ids), docs[doc_id] == ids["__id"]).select(F.col("__id"), F.col("__label"), F.substring(docs[text], 1, A_TEXT).alias("t")).collect()
     rows = sorted(((r["__id"], r["__label"], r["t"] or "") for r in rows))
     shift = float(np.log(rate[0] / rate[1]))
     return [t.encode("utf-8", "replace") for _, _, t in rows], np.array([y == 1 for _, y, _ in rows], bool), shift
@@ -208,13 +213,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
 def score_documents(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """The columns `keep` of `docs` (default: all), score, predicted and spans, for every row.
 
-    spans are the tokens tagged toxic (marginal over one half), as (offset, length) in UTF-8
+    Columns that have the names of the new ones are replaced. spans are the tokens tagged toxic (marginal over one half), as (offset, length) in UTF-8
     bytes. Null and empty texts get the score of a text without tokens. Whole texts are
     tagged; the chain restarts every STRETCH tokens. The model is broadcast: about 1 MB.
     """
     from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-    kept = docs.select(*[docs[c] for c in (docs.columns if keep is None else keep)], docs[text].cast("string").alias("__text"))
+    columns = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted", "spans")]
+    kept = docs.select(*[docs[c] for c in columns], docs[text].cast("string").alias(unused("__text", columns)))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
