@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from urllib.parse import unquote_to_bytes
+from urllib.parse import quote, unquote_to_bytes
 
 import pandas as pd
 from pyspark.sql import Column
@@ -149,3 +149,8 @@ def slice_page(text: Column, offset: int, limit: int) -> dict[str, Column]:
         "offset": start, "returned_characters": end - start, "total_characters": total, "has_more": end < total,
         "next_offset": F.when(end < total, end), "text": F.substring(text, start + 1, end - start),
     }
+
+
+def url_path(path: str) -> str:
+    """A path with each of its parts percent-encoded for a URL."""
+    return "/".join(quote(part, safe="!~*'()") for part in path.replace("\\", "/").split("/"))

@@ -78,13 +78,20 @@ class Service:
         page = read_document(self.chunks(), file, clamp_int(body.get("offset"), 0, 0, 2**31 - 1), limit).first()
         return (404, {"error": "the file is not in the index", "file": file}) if page is None else (200, page.asDict() | {"indexMode": self.mode})
 
-    def rebuild(self, token: str | None, files: DataFrame) -> tuple[int, dict]:
+    def refusal(self, token: str | None) -> tuple[int, dict] | None:
+        """Why a rebuild isn't allowed now, if it isn't."""
         if not self.admin_token:
             return 503, {"error": "rebuilding is not enabled"}
         if not hmac.compare_digest((token or "").encode(), f"Bearer {self.admin_token}".encode()):
             return 401, {"error": "unauthorised"}
         if self.rebuild_plan._running.locked():
             return 409, {"error": "a rebuild is in progress"}
+        return None
+
+    def rebuild(self, token: str | None, files: DataFrame) -> tuple[int, dict]:
+        refused = self.refusal(token)
+        if refused:
+            return refused
         report = self.rebuild_plan.run(files)
         self.load()
         return 202, report

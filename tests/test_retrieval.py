@@ -1,5 +1,9 @@
+import json
 import random
+import threading
+import time
 import zipfile
+from http.client import HTTPConnection
 
 import pytest
 
@@ -8,6 +12,7 @@ from lexspan.operators.chunking import ChunkSize, chunk_documents, in_ingest_ord
 from lexspan.operators.document import join_overlapping, read_document, reassemble, reassemble_exactly
 from lexspan.operators.search import search, search_many
 from lexspan.operators.shards import next_fit
+from lexspan.plans.http import serve
 from lexspan.plans.rebuild import Rebuild
 from lexspan.plans.service import Service
 from lexspan.sources.files import discover, extract, extract_one, list_files, source_map
@@ -112,12 +117,36 @@ def test_discovery_and_extraction(spark, tmp_path):
 
 
 def test_a_slow_reader_is_ended():
-    import time
-
     assert extract_one("a.pdf", b"", {"pdf": lambda c: time.sleep(60)}, 0.5) == (False, None, "timed out after 0.5 s")
     assert extract_one("a.pdf", b"", {"pdf": lambda c: "ok"}, 20) == (True, "ok", None)
 
 
+def test_http(spark, tmp_path):
+    docx(tmp_path / "src/02_LAW/Italy/a.docx", "The space law of Italy")
+    store = Store(spark, f"file://{tmp_path}/store")
+    service = Service(store, Rebuild(store), "secret")
+    server = serve(service, lambda: discover(spark, f"{tmp_path}/src"), "127.0.0.1", 0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+
+    def call(method, path, body=None, token=""):
+        c = HTTPConnection(*server.server_address, timeout=60)
+        c.request(method, path, body if body is None or isinstance(body, str) else json.dumps(body), {"Authorization": token})
+        r = c.getresponse()
+        return r.status, json.loads(r.read())
+
+    assert call("GET", "/health")[1]["ready"] is False and call("GET", "/x")[0] == 404 and call("POST", "/x")[0] == 404
+    assert call("POST", "/rag/search", "[1]")[0] == 400 and call("POST", "/rag/search", {"query": "a"})[0] == 503
+    assert call("POST", "/rag/rebuild")[0] == 401 and call("POST", "/rag/rebuild", {}, "Bearer secret")[0] == 202
+    for _ in range(120):
+        if service.indexed_chunks:
+            break
+        time.sleep(0.5)
+    code, body = call("POST", "/rag/search", {"query": "space law"})
+    assert code == 200 and [h["file"] for h in body["results"]] == ["02_LAW/Italy/a.docx"]
+    assert call("POST", "/rag/document", {"file": "02_LAW/Italy/a.docx"})[1]["text"] == "The space law of Italy"
+    server.shutdown()
+
+
 def test_rebuild_service_and_stream(spark, tmp_path):
     root, store = tmp_path / "src", Store(spark, f"file://{tmp_path}/store")
     docx(root / "02_LAW/Italy/a.docx", "The space law of Italy and the law of space")

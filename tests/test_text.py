@@ -58,5 +58,6 @@ def test_driver_side_arguments():
     assert valid_alternates("abc") == []
     assert [T.clamp_int(v, 8, 1, 50) for v in ("5abc", "x", None, 99, -3, 7.9)] == [5, 8, 8, 50, 1, 7]
     assert T.requested_file(" a\\b ") == "a/b"
+    assert T.url_path("a b\\c+é(1).pdf") == "a%20b/c%2B%C3%A9(1).pdf"
     assert T.percent_decode("a%20b%C3%A9") == "a bé"
     assert T.percent_decode("50%") == "50%" and T.percent_decode("%FF") == "%FF"
