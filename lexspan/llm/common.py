@@ -47,3 +47,19 @@ def unused(name: str, columns: list[str]) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+#: A key is hot if it has more than this share of all rows; so there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 0.001
+
+
+def join_by_key(rows: DataFrame, small: DataFrame, key: str, count: str, total: int, how: str = "inner") -> DataFrame:
+    """Joins rows to a table of one row a key, in which `count` has how many of the `total` rows have it.
+
+    The hot keys, at most a thousand, are broadcast, so that their rows stay where they are;
+    only the other rows shuffle, and no key of these has more than a thousandth of all.
+    """
+    hot = F.broadcast(small.where(F.col(count) > HOT_SHARE * total).withColumn("__hot", F.lit(True)))
+    met = rows.join(hot, key, "left")
+    rest = met.where("__hot IS NULL").select(*rows.columns).join(small, key, how)
+    return met.where("__hot").drop("__hot").unionByName(rest)

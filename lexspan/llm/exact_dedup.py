@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fold_ascii
+from .common import durable, fold_ascii, join_by_key
 
 #: Bits in one page of a bitmap, as bitmap_construct_agg makes them.
 PAGE = 32768
@@ -75,14 +75,15 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
     are not read.
     """
     hashed = durable(docs.select(F.col(doc_id).alias("doc_id"), digests(docs, text).alias("text_sha256")))
-    slots = table_slots(hashed.count(), most_slots)
+    total = hashed.count()
+    slots = table_slots(total, most_slots)
     judged = with_suspicion(hashed, "text_sha256", repeated_slots(hashed, "text_sha256", slots), slots)
     straight = judged.where(~F.col("__suspect")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
-    suspects = judged.where("__suspect")
-    groups = suspects.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    grouped = suspects.join(groups, "text_sha256").select(
+    suspects = durable(judged.where("__suspect").drop("__suspect"))
+    groups = durable(suspects.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+    grouped = join_by_key(suspects, groups, "text_sha256", "group_size", total).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
     return straight.unionByName(grouped)
