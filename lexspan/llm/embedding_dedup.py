@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, join_by_key
 from .components import connected_components
 
 #: Quantisation step, the chance to miss a pair at the threshold, most members compared at once.
@@ -152,9 +152,9 @@ def embedding_dedup(vectors: DataFrame, cosine: float = 0.98, seed: int = 4, vec
     rooted = known.join(roots, known["class"] == roots["node"], "left").withColumn("__root", F.coalesce("root", "class")).drop("node", "root")
     least = rooted.groupBy("__root").agg(F.min("__least").alias("__component"))
     named = rooted.join(least, "__root").join(degree, rooted["class"] == degree["a"], "left").select(
-        "__key", "__component", (F.col("__copies") - 1 + F.coalesce("__others", F.lit(0))).alias("__links")
+        "__key", "__component", "__copies", (F.col("__copies") - 1 + F.coalesce("__others", F.lit(0))).alias("__links")
     )
     component = F.coalesce("__component", "vec_id")
-    return rows.join(named, "__key", "left").select(
+    return join_by_key(rows, durable(named), "__key", "__copies", rows.count(), "left").select(
         "vec_id", F.coalesce("__links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept")
     )
