@@ -100,7 +100,8 @@ def mixing_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
 
 def by_position(rows: DataFrame, partitions: int, position: str = "position") -> DataFrame:
     """Sorted by ranges of the training time; rows never trained on come last."""
-    return rows.repartitionByRange(partitions, F.col(position).asc_nulls_last()).sortWithinPartitions(F.col(position).asc_nulls_last(), "doc_id")
+    order = [F.col(position).asc_nulls_last(), F.col("doc_id")]  # the id parts the rows that are never trained on
+    return rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most_passes: float = 2.0,
