@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, width
+from .common import durable, join_by_key, width
 from .components import connected_components
 
 BITS = 64
@@ -185,14 +185,14 @@ def near_components(hashed: DataFrame, distance: int = 4) -> DataFrame:
 
     A component of nothing but null ids has a null id.
     """
-    prints = durable(hashed.groupBy("fingerprint").agg(F.min("doc_id").alias("__least")))
+    prints = durable(hashed.groupBy("fingerprint").agg(F.min("doc_id").alias("__least"), F.count(F.lit(1)).alias("__rows")))
     roots = connected_components(fingerprint_links(prints, prints.count(), distance), "a", "b")
     rooted = prints.join(roots, prints["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "__least", F.coalesce("root", "fingerprint").alias("__root")
+        "fingerprint", "__least", "__rows", F.coalesce("root", "fingerprint").alias("__root")
     )
     least = rooted.groupBy("__root").agg(F.min("__least").alias("component_id"))
-    named = rooted.join(least, "__root").select("fingerprint", "component_id")
-    return hashed.join(named, "fingerprint")
+    named = durable(rooted.join(least, "__root").select("fingerprint", "component_id", "__rows"))
+    return join_by_key(hashed, named, "fingerprint", "__rows", hashed.count()).drop("__rows")
 
 
 def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -257,14 +257,31 @@ def _probes(batches: Iterator[pa.RecordBatch], width_: int) -> Iterator[pa.Recor
             )
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Links (smallest node, other) that connect what the given links connect, one for each other node."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while len(x):
+        least = np.minimum(label[x], label[y])
+        before = label.copy()
+        np.minimum.at(label, label[x], least)
+        np.minimum.at(label, label[y], least)
+        label = label[label]
+        if np.array_equal(label, before):
+            break
+    other = np.flatnonzero(label != np.arange(len(nodes)))
+    return np.stack([nodes[label[other]], nodes[other]], 1)
+
+
 def _compare(distance: int) -> Callable:
-    """Rows sorted by bucket: links of each bucket that connect all within the distance."""
+    """Rows sorted by bucket: links of a task that connect what its buckets hold within the distance, one a document."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
 
-    def groups(key: np.ndarray, node: np.ndarray, prints: np.ndarray) -> pa.RecordBatch | None:
+    def groups(key: np.ndarray, node: np.ndarray, prints: np.ndarray) -> np.ndarray:
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         size = np.diff(np.r_[first, len(key)])
         end = np.repeat(first + size, size)
@@ -290,24 +307,29 @@ def _compare(distance: int) -> Callable:
                         a.append(np.full(len(found), node[one]))
                         b.append(node[found])
                         queue += found.tolist()
-        if not a:
-            return None
-        x, y = np.concatenate(a), np.concatenate(b)
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1)[x != y], axis=0)
-        return pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], schema=schema) if len(pairs) else None
+        none = np.zeros(0, np.int64)
+        return stars(np.concatenate([none, *a]), np.concatenate([none, *b]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        links = np.zeros((0, 2), np.int64)
         for batch in batches:
             held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.stack([batch.column(k + 2).to_numpy() for k in range(WIDE)], 1).view(np.uint64)))
             if len(held[-1][0]) and held[-1][0][-1] != held[0][0][0] and sum(len(h[0]) for h in held) > 100_000:
                 key, node, prints = (np.concatenate(h) for h in zip(*held, strict=True))
                 cut = int(np.flatnonzero(key != key[-1])[-1]) + 1
-                if out := groups(key[:cut], node[:cut], prints[:cut]):
-                    yield out
+                links = np.concatenate([links, groups(key[:cut], node[:cut], prints[:cut])])
                 held = [(key[cut:], node[cut:], prints[cut:])]
-        if held and sum(len(h[0]) for h in held) and (out := groups(*(np.concatenate(h) for h in zip(*held, strict=True)))):
-            yield out
+                if len(links) > 1_000_000:
+                    links = stars(links[:, 0], links[:, 1])
+                    if len(links) > 500_000:  # these many documents are linked: pass them on
+                        yield pa.record_batch([pa.array(np.ascontiguousarray(links[:, k])) for k in (0, 1)], schema=schema)
+                        links = links[:0]
+        if held and sum(len(h[0]) for h in held):
+            links = np.concatenate([links, groups(*(np.concatenate(h) for h in zip(*held, strict=True)))])
+        if len(links):
+            links = stars(links[:, 0], links[:, 1])
+            yield pa.record_batch([pa.array(np.ascontiguousarray(links[:, k])) for k in (0, 1)], schema=schema)
 
     return run
 

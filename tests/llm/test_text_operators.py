@@ -170,6 +170,15 @@ def test_links_among_crowded_fingerprints(spark, count):
     assert roots_of(len(signed), [(at[x["a"]], at[x["b"]]) for x in links]) == roots_of(len(signed), want)
 
 
+def test_stars():
+    r = np.random.default_rng(1)
+    a, b = r.integers(0, 80, 60), r.integers(0, 80, 60)
+    got = simhash.stars(np.r_[a, np.arange(100, 160)], np.r_[b, np.arange(101, 161)])
+    linked = [*zip(a.tolist(), b.tolist(), strict=True), *((i, i + 1) for i in range(100, 160))]
+    assert roots_of(161, got.tolist()) == roots_of(161, linked) and len(set(got[:, 1].tolist())) == len(got)
+    assert len(simhash.stars(np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
+
+
 def edited(words, r, share):
     return [r.choice(["xx", "yy", "zz"]) + str(r.randrange(1000)) if r.random() < share else w for w in words]
 
