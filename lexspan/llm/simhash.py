@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import durable, join_by_key, width
 from .components import connected_components
+from .exact_dedup import PAGE, table_slots, with_suspicion
+from .exact_dedup import _slots as bloom_slots
 
 BITS = 64
 
@@ -208,19 +210,37 @@ def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: s
 
 #: For similarity rather than a given distance: 64-bit words of a fingerprint, sampled segments, their bits, those with a ball of radius 1.
 WIDE, SAMPLES, SAMPLE_BITS, BALLED = 4, 40, 18, 2
+#: Standard deviations by which fingerprints of a candidate pair may be farther apart than the similarity makes them.
+DEVIATIONS = 3
 #: Bucket sizes up to which all pairs are compared at once.
 SMALL = 48
 _STREAMS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03], np.uint64)
 
 
 def wide_fingerprints(texts: list[bytes], words: int) -> np.ndarray:
-    """Fingerprints of WIDE words: each word from the shingles' XXH64, mixed by another multiplier."""
+    """Fingerprints of WIDE words: each word from the different shingles' XXH64, mixed by another multiplier."""
+    return set_prints([shingle_set(t, words) for t in texts])
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The sorted XXH64 (seed 42) of a text's different shingles."""
     from xxhash import xxh64_intdigest
 
-    out = np.zeros((len(texts), WIDE * BITS), np.uint8)
-    for i, text in enumerate(texts):
-        if found := shingles(text, words):
-            hashes = np.array([xxh64_intdigest(s, 42) for s in found], np.uint64)
+    return np.unique(np.array([xxh64_intdigest(s, 42) for s in shingles(text, words)], np.uint64))
+
+
+def set_digest(hashes: np.ndarray) -> bytes:
+    """16 bytes by which equal shingle sets are known."""
+    from xxhash import xxh3_128_digest
+
+    return xxh3_128_digest(hashes.tobytes())
+
+
+def set_prints(sets: list[np.ndarray]) -> np.ndarray:
+    """Wide fingerprints of shingle sets."""
+    out = np.zeros((len(sets), WIDE * BITS), np.uint8)
+    for i, hashes in enumerate(sets):
+        if len(hashes):
             for k in range(WIDE):
                 x = hashes * _STREAMS[k]
                 x = (x ^ (x >> np.uint64(29))) * _STREAMS[(k + 1) % 4]
@@ -229,10 +249,10 @@ def wide_fingerprints(texts: list[bytes], words: int) -> np.ndarray:
 
 
 def distance_for(similarity: float) -> int:
-    """Bits in which fingerprints of texts of a Jaccard similarity differ, plus one standard deviation."""
+    """Bits in which fingerprints of texts of a Jaccard similarity differ, plus DEVIATIONS standard deviations."""
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     bits = WIDE * BITS
-    return round(bits * share + np.sqrt(bits * share * (1 - share)))
+    return round(bits * share + DEVIATIONS * np.sqrt(bits * share * (1 - share)))
 
 
 def _probes(batches: Iterator[pa.RecordBatch], width_: int) -> Iterator[pa.RecordBatch]:
@@ -243,6 +263,7 @@ def _probes(batches: Iterator[pa.RecordBatch], width_: int) -> Iterator[pa.Recor
         for low in range(0, batch.num_rows, 1000):
             part = batch.slice(low, 1000)
             node, prints = part.column(0).to_numpy(), np.stack([part.column(k + 1).to_numpy() for k in range(WIDE)], 1)
+            root = [c.to_numpy() for c in part.columns[1 + WIDE :]]
             bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
             buckets = []
             for k, sample in enumerate(samples):
@@ -252,8 +273,8 @@ def _probes(batches: Iterator[pa.RecordBatch], width_: int) -> Iterator[pa.Recor
                     buckets += [value ^ w for w in weights]
             n = len(buckets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(buckets)), pa.array(np.tile(node, n)), *[pa.array(np.tile(prints[:, k], n)) for k in range(WIDE)]],
-                ["bucket", "node", *[f"f{k}" for k in range(WIDE)]],
+                [pa.array(np.concatenate(buckets)), pa.array(np.tile(node, n)), *[pa.array(np.tile(prints[:, k], n)) for k in range(WIDE)], *[pa.array(np.tile(r, n)) for r in root]],
+                ["bucket", "node", *[f"f{k}" for k in range(WIDE)], *["root" for _ in root]],
             )
 
 
@@ -274,98 +295,242 @@ def stars(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([nodes[label[other]], nodes[other]], 1)
 
 
-def _compare(distance: int) -> Callable:
-    """Rows sorted by bucket: links of a task that connect what its buckets hold within the distance, one a document."""
+def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+
+
+def _ordered(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The different pairs, the smaller node first."""
+    none = np.zeros(0, np.int64)
+    x, y = np.concatenate([none, *a]), np.concatenate([none, *b])
+    return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+
+
+def _spanning(key: np.ndarray, node: np.ndarray, prints: np.ndarray, root: np.ndarray, distance: int) -> Iterator[np.ndarray]:
+    """Pairs within the distance that connect all such pairs of a bucket; of small buckets all pairs."""
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.r_[first, len(key)])
+    end = np.repeat(first + size, size)
+    at = np.flatnonzero(np.repeat((size > 1) & (size <= SMALL), size))
+    a, b = [], []
+    for shift in range(1, SMALL):
+        at = at[at + shift < end[at]]
+        if not len(at):
+            break
+        near = at[_far(prints[at], prints[at + shift]) <= distance]
+        a.append(node[near])
+        b.append(node[near + shift])
+    # Crowded buckets: each one reached is compared with those not yet reached.
+    for low, n in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+        left = np.arange(low, low + n)
+        while len(left) > 1:
+            queue, left = [left[0]], left[1:]
+            while queue and len(left):
+                one = queue.pop()
+                near = _far(prints[left], prints[one][None]) <= distance
+                if near.any():
+                    found, left = left[near], left[~near]
+                    a.append(np.full(len(found), node[one]))
+                    b.append(node[found])
+                    queue += found.tolist()
+    yield _ordered(a, b)
+
+
+def _across(key: np.ndarray, node: np.ndarray, prints: np.ndarray, root: np.ndarray, distance: int) -> Iterator[np.ndarray]:
+    """All pairs of a bucket within the distance whose roots differ."""
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    end = np.repeat(np.r_[first[1:], len(key)], np.diff(np.r_[first, len(key)]))
+    at, shift, a, b = np.arange(len(key)), 0, [], []
+    while True:
+        shift += 1
+        at = at[at + shift < end[at]]
+        if not len(at):
+            break
+        other = at[root[at] != root[at + shift]]
+        near = other[_far(prints[other], prints[other + shift]) <= distance]
+        a.append(node[near])
+        b.append(node[near + shift])
+        if sum(map(len, a)) > 1_000_000:
+            yield _ordered(a, b)
+            a, b = [], []
+    yield _ordered(a, b)
+
+
+def _compare(pairs_of: Callable, distance: int) -> Callable:
+    """Rows sorted by bucket: the candidate pairs that `pairs_of` finds in its buckets, the smaller node first."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
-
-    def groups(key: np.ndarray, node: np.ndarray, prints: np.ndarray) -> np.ndarray:
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[first, len(key)])
-        end = np.repeat(first + size, size)
-        at = np.flatnonzero(np.repeat((size > 1) & (size <= SMALL), size))
-        a, b = [], []
-        for shift in range(1, SMALL):
-            at = at[at + shift < end[at]]
-            if not len(at):
-                break
-            near = at[far(prints[at], prints[at + shift]) <= distance]
-            a.append(node[near])
-            b.append(node[near + shift])
-        # Crowded buckets: each one reached is compared with those not yet reached.
-        for low, n in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-            left = np.arange(low, low + n)
-            while len(left) > 1:
-                queue, left = [left[0]], left[1:]
-                while queue and len(left):
-                    one = queue.pop()
-                    near = far(prints[left], prints[one][None]) <= distance
-                    if near.any():
-                        found, left = left[near], left[~near]
-                        a.append(np.full(len(found), node[one]))
-                        b.append(node[found])
-                        queue += found.tolist()
-        none = np.zeros(0, np.int64)
-        return stars(np.concatenate([none, *a]), np.concatenate([none, *b]))
+    def out(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        links = np.zeros((0, 2), np.int64)
+        pairs, waiting = [], 0
         for batch in batches:
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.stack([batch.column(k + 2).to_numpy() for k in range(WIDE)], 1).view(np.uint64)))
-            if len(held[-1][0]) and held[-1][0][-1] != held[0][0][0] and sum(len(h[0]) for h in held) > 100_000:
-                key, node, prints = (np.concatenate(h) for h in zip(*held, strict=True))
+            if not batch.num_rows:
+                continue
+            prints = np.stack([batch.column(k + 2).to_numpy() for k in range(WIDE)], 1).view(np.uint64)
+            # The last column is the root, or the node where roots aren't known yet.
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), prints, batch.column(1 if batch.num_columns == 2 + WIDE else 2 + WIDE).to_numpy()))
+            if held[-1][0][-1] != held[0][0][0] and sum(len(h[0]) for h in held) > 100_000:
+                key, node, prints, root = (np.concatenate(h) for h in zip(*held, strict=True))
                 cut = int(np.flatnonzero(key != key[-1])[-1]) + 1
-                links = np.concatenate([links, groups(key[:cut], node[:cut], prints[:cut])])
-                held = [(key[cut:], node[cut:], prints[cut:])]
-                if len(links) > 1_000_000:
-                    links = stars(links[:, 0], links[:, 1])
-                    if len(links) > 500_000:  # these many documents are linked: pass them on
-                        yield pa.record_batch([pa.array(np.ascontiguousarray(links[:, k])) for k in (0, 1)], schema=schema)
-                        links = links[:0]
-        if held and sum(len(h[0]) for h in held):
-            links = np.concatenate([links, groups(*(np.concatenate(h) for h in zip(*held, strict=True)))])
-        if len(links):
-            links = stars(links[:, 0], links[:, 1])
-            yield pa.record_batch([pa.array(np.ascontiguousarray(links[:, k])) for k in (0, 1)], schema=schema)
+                held = [(key[cut:], node[cut:], prints[cut:], root[cut:])]
+                for found in pairs_of(key[:cut], node[:cut], prints[:cut], root[:cut], distance):
+                    pairs.append(found)
+                    waiting += len(found)
+                    if waiting > 1_000_000:
+                        yield out(np.unique(np.concatenate(pairs), axis=0))
+                        pairs, waiting = [], 0
+        if held:
+            for found in pairs_of(*(np.concatenate(h) for h in zip(*held, strict=True)), distance):
+                yield out(found)
+        if pairs:
+            yield out(np.unique(np.concatenate(pairs), axis=0))
+
+    return run
+
+
+def _similar(similarity: float) -> Callable:
+    """Rows (a, salt, side, node, set) sorted by the first three, a's own set at side 0: a, node if similar enough."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, own = None, None
+        for batch in batches:
+            a, b = [], []
+            for key, side, node, packed in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), strict=True):
+                hashes = np.frombuffer(packed.as_buffer(), np.uint64)
+                if side == 0:
+                    hub, own = key, hashes.copy()
+                    continue
+                if hub != key:
+                    raise RuntimeError("a candidate pair without its first set")
+                common = len(np.intersect1d(own, hashes, assume_unique=True))
+                if common / max(1, len(own) + len(hashes) - common) >= similarity:
+                    a.append(key)
+                    b.append(node)
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
 
     return run
 
 
+def shingle_sets(slim: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """node, set of (node, __least, digest): read again from the rows of `slim`, of which few others shuffle."""
+    slots = table_slots(nodes.count())
+    pages = durable(
+        nodes.select(F.explode(F.array(*bloom_slots(F.col("__least"), slots))).alias("__slot"))
+        .groupBy((F.col("__slot") / PAGE).cast("long").alias("__page")).agg(F.bitmap_construct_agg(F.col("__slot") % PAGE).alias("__bits"))
+    )
+    met = with_suspicion(slim, "doc_id", pages, slots).where("__suspect").select("doc_id", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t or b"", words) for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            # Another text under the same id has another digest.
+            same = [k for k, d in enumerate(batch.column(1).to_pylist()) if set_digest(sets[k]) == d]
+            yield pa.record_batch([batch.column(0).take(pa.array(same, pa.int64())), pa.array([sets[k].tobytes() for k in same], pa.binary())], names=["node", "set"])
+
+    rows = met.join(nodes, met["doc_id"] == nodes["__least"]).select("node", "digest", "text")
+    return rows.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
+
+
+def similar_pairs(pairs: DataFrame, prints: DataFrame, slim: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs a, b of nodes whose shingle sets have at least the Jaccard similarity.
+
+    A node's set goes to at most as many places as there are shuffle partitions, and its
+    pairs are dealt out among these; a task holds one set and a batch of others at a time.
+    """
+    n = width(slim.sparkSession)
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = durable(shingle_sets(slim, durable(prints.select("node", "__least", "digest").join(wanted, "node")), words))
+    salted = pairs.withColumns({"salt": F.pmod(F.xxhash64("b"), F.lit(n)), "place": F.pmod(F.xxhash64("a"), F.lit(n))})
+    hubs = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("node")).select("a", "salt", F.lit(0).alias("side"), "node", "set")
+    placed = salted.select("b", "place").distinct().join(sets, F.col("b") == F.col("node")).select("b", "place", "set")
+    leaves = salted.join(placed, ["b", "place"]).select("a", "salt", F.lit(1).alias("side"), F.col("b").alias("node"), "set")
+    return hubs.unionByName(leaves).repartition(n, "a", "salt").sortWithinPartitions("a", "salt", "side").mapInArrow(_similar(similarity), "a long, b long")
+
+
+def near_links(prints: DataFrame, slim: DataFrame, words: int, similarity: float) -> DataFrame:
+    """a, b: links that connect all candidate pairs of nodes with at least the similarity.
+
+    Only pairs whose exact similarity was checked are links. Each node is first checked
+    against its smallest candidate, then what is left of the pairs that span the buckets.
+    Where one of these isn't similar enough, others across it may be: there all candidate
+    pairs between what isn't connected yet are checked.
+    """
+    parts = [f"f{k}" for k in range(WIDE)]
+    fields = ", ".join(f"{p} long" for p in parts)
+    wide = max(SAMPLE_BITS, (max(prints.count(), 1) - 1).bit_length() - 6)
+
+    def candidates(nodes: DataFrame, pairs_of: Callable) -> DataFrame:
+        probes = nodes.mapInArrow(lambda b: _probes(b, wide), f"bucket long, node long, {fields}" + (", root long" if "root" in nodes.columns else ""))
+        met = probes.repartition(width(slim.sparkSession), "bucket").sortWithinPartitions("bucket", "node")
+        return durable(met.mapInArrow(_compare(pairs_of, distance_for(similarity)), "a long, b long").distinct())
+
+    def roots(links: DataFrame) -> DataFrame:
+        return durable(connected_components(links, "a", "b"))
+
+    def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+        left = known.select(F.col("node").alias("a"), F.col("root").alias("__a"))
+        right = known.select(F.col("node").alias("b"), F.col("root").alias("__b"))
+        both = pairs.join(left, "a", "left").join(right, "b", "left")
+        return both.withColumns({"__a": F.coalesce("__a", "a"), "__b": F.coalesce("__b", "b")}).where("__a <> __b")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return durable(similar_pairs(pairs, prints, slim, words, similarity))
+
+    pairs = candidates(prints.select("node", *parts), _spanning)
+    if pairs.isEmpty():
+        return pairs
+    links = checked(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    left = durable(apart(pairs, roots(links)).select("a", "b"))
+    if left.isEmpty():
+        return links
+    links = links.unionByName(checked(left))
+    known = roots(links)
+    doubt = apart(left, known)
+    doubt = durable(doubt.select(F.col("__a").alias("root")).unionByName(doubt.select(F.col("__b").alias("root"))).distinct())
+    if doubt.isEmpty():
+        return links
+    rooted = prints.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")).join(doubt, "root", "left_semi")
+    across = durable(candidates(rooted.select("node", *parts, "root"), _across).join(left, ["a", "b"], "left_anti"))
+    return links if across.isEmpty() else links.unionByName(checked(across))
+
+
 def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs`, with all their columns, of which one of each group of near-duplicates stays.
 
-    Texts are near-duplicates if fingerprints of 256 bits over shingles of `words` words
-    differ in at most as many bits as a similarity of `similarity` makes them, plus one
-    standard deviation. Groups are what such links connect; the smallest doc_id stays.
+    Texts are near-duplicates if the sets of their shingles of `words` words have a Jaccard
+    similarity of at least `similarity`. Groups are what such links connect; the smallest
+    doc_id stays. Candidates are pairs that share a bucket and whose fingerprints of 256
+    bits differ in at most as many bits as the similarity makes them, plus DEVIATIONS
+    standard deviations; the similarity of each is then checked on the sets themselves.
     Buckets are samples of a fingerprint's bits, as many of them as two texts at the
     threshold share one of with a chance of about nine in ten, and rising fast above it; in
     the first, Hamming balls are enumerated. Rows that share a doc_id stay or go together;
-    those with a null id stay. Texts without words have the fingerprint zero and are one
-    group. Empty table: no rows.
+    those with a null id stay. Texts without words are one group. Empty table: no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = wide_fingerprints([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(WIDE)]], ["doc_id", *parts])
+            sets = [shingle_set(t or b"", words) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            prints = set_prints(sets).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([set_digest(x) for x in sets], pa.binary()), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(WIDE)]],
+                ["doc_id", "digest", *parts],
+            )
 
     parts = [f"f{k}" for k in range(WIDE)]
     fields = ", ".join(f"{p} long" for p in parts)
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
-    hashed = durable(slim.mapInArrow(run, f"doc_id long, {fields}"))
-    prints = durable(hashed.groupBy(*parts).agg(F.min("doc_id").alias("__least")).withColumn("node", F.monotonically_increasing_id()))
-    wide = max(SAMPLE_BITS, (max(prints.count(), 1) - 1).bit_length() - 6)
-    probes = prints.select("node", *parts).mapInArrow(lambda b: _probes(b, wide), f"bucket long, node long, {fields}")
-    links = (
-        probes.repartition(width(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
-        .mapInArrow(_compare(distance_for(similarity)), "a long, b long").distinct()
+    hashed = durable(slim.mapInArrow(run, f"doc_id long, digest binary, {fields}"))
+    prints = durable(
+        hashed.groupBy("digest").agg(F.min("doc_id").alias("__least"), *[F.min(p).alias(p) for p in parts]).withColumn("node", F.monotonically_increasing_id())
     )
-    roots = connected_components(links, "a", "b")
+    roots = connected_components(near_links(prints, slim, words, similarity), "a", "b")
     rooted = prints.join(roots, "node", "left").withColumn("__root", F.coalesce("root", "node"))
     stays = rooted.groupBy("__root").agg(F.min("__least").alias("__stays"))
-    named = rooted.join(stays, "__root").select(*parts, "__stays")
-    goes = hashed.join(named, parts).where("doc_id <> __stays").select(F.col("doc_id").alias("__goes")).distinct()
+    named = rooted.join(stays, "__root").select("digest", "__stays")
+    goes = hashed.join(named, "digest").where("doc_id <> __stays").select(F.col("doc_id").alias("__goes")).distinct()
     return docs.join(goes, docs[doc_id] == goes["__goes"], "left_anti")

@@ -193,6 +193,60 @@ def test_near_copies_go_and_clean_documents_stay(spark, monkeypatch):
     assert set(range(60)) <= got and len(got) <= 62
 
 
+def brute_sets(texts, words=5):
+    out = []
+    for t in texts:
+        w = folded(t).split()
+        out.append({tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))})
+    return out
+
+
+def brute_near(docs, similarity=0.8):
+    """Ids that stay if the pairs with at least the similarity are linked."""
+    sets = brute_sets([t for _, t in docs])
+    links = [(a, b) for a in range(len(docs)) for b in range(a) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= similarity]
+    root, least = roots_of(len(docs), links), {}
+    for k, (i, _) in enumerate(docs):
+        least[root[k]] = min(i, least.get(root[k], LARGEST))
+    return set(least.values())
+
+
+def changed(words, r, places):
+    """Words with so many single ones changed, far enough apart that each changes five shingles."""
+    out = list(words)
+    for at in r.sample(range(10, len(words) - 10, 6), places):
+        out[at] = f"new{r.randrange(10**6)}"
+    return out
+
+
+def test_texts_below_the_similarity_stay(spark):
+    r = random.Random(7)
+    docs = []
+    for i in range(40):
+        base = [f"w{r.randrange(50_000)}" for _ in range(300)]
+        docs += [(10 * i, " ".join(base)), (10 * i + 1, " ".join(changed(base, r, 7 + i % 4)))]  # similarity 0.79, 0.76, 0.74, 0.71
+    assert brute_near(docs) == {i for i, _ in docs}
+    out = simhash.near_dedup(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(x["doc_id"] for x in out.collect()) == sorted(i for i, _ in docs)
+
+
+@pytest.mark.parametrize("small", [48, 4])
+def test_near_groups_equal_brute_force(spark, monkeypatch, small):
+    """Crowds in which some pairs are similar enough only to others than the first."""
+    monkeypatch.setattr(simhash, "SMALL", small)
+    r = random.Random(11)
+    docs = []
+    for i in range(4):
+        base = [f"w{r.randrange(50_000)}" for _ in range(300)]
+        far = [changed(base, r, 8) for _ in range(6)]
+        group = [base, *far, *[changed(f, r, 1) for f in far for _ in range(3)], *[changed(base, r, 1) for _ in range(8)]]
+        docs += [(100 * i + k, " ".join(g)) for k, g in enumerate(r.sample(group, len(group)))]
+    same = "one line again and again " * 60
+    docs += [(1000, same + "alpha beta gamma delta epsilon zeta eta"), (1001, same + "seven other words come at this end")]  # much alike by count, 0.3 as sets
+    out = simhash.near_dedup(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {x["doc_id"] for x in out.collect()} == brute_near(docs)
+
+
 def test_languages(spark, none):
     rows = queries.op7_language_id(spark, SF).collect()
     lang = {r["doc_id"]: r["lang"] for r in queries.table(spark, SF, "documents").collect()}
