@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import combinations
-from math import comb
+from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -208,8 +208,9 @@ def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: s
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: For similarity rather than a given distance: 64-bit words of a fingerprint, sampled segments, their bits, those with a ball of radius 1.
-WIDE, SAMPLES, SAMPLE_BITS, BALLED = 4, 40, 18, 2
+#: For similarity rather than a given distance: 64-bit words of a fingerprint, least bits of a sampled segment, and
+#: the chance that a pair that differs in as many bits as the similarity makes them shares no segment.
+WIDE, SAMPLE_BITS, MISS = 4, 18, 0.025
 #: Standard deviations by which fingerprints of a candidate pair may be farther apart than the similarity makes them.
 DEVIATIONS = 3
 #: Bucket sizes up to which all pairs are compared at once.
@@ -255,9 +256,21 @@ def distance_for(similarity: float) -> int:
     return round(bits * share + DEVIATIONS * np.sqrt(bits * share * (1 - share)))
 
 
-def _probes(batches: Iterator[pa.RecordBatch], width_: int) -> Iterator[pa.RecordBatch]:
+def expected_distance(similarity: float) -> int:
+    """Bits in which fingerprints of texts of a Jaccard similarity differ on average."""
+    return round(WIDE * BITS * float(np.arccos(2 * similarity / (1 + similarity)) / np.pi))
+
+
+def samples_for(count: int, similarity: float) -> tuple[int, int]:
+    """(bits of a sample, samples) for so many fingerprints: more of them, wider samples, and more for the same MISS."""
+    wide = max(SAMPLE_BITS, (max(count, 1) - 1).bit_length() - 6)
+    agree = comb(WIDE * BITS - expected_distance(similarity), wide) / comb(WIDE * BITS, wide)
+    return wide, 1 if agree == 1 else ceil(log(MISS) / log1p(-agree))
+
+
+def _probes(batches: Iterator[pa.RecordBatch], width_: int, count: int) -> Iterator[pa.RecordBatch]:
     rng = np.random.default_rng(3)
-    samples = [rng.choice(WIDE * BITS, width_, replace=False) for _ in range(SAMPLES)]
+    samples = [rng.choice(WIDE * BITS, width_, replace=False) for _ in range(count)]
     weights = np.int64(1) << np.arange(width_, dtype=np.int64)
     for batch in batches:
         for low in range(0, batch.num_rows, 1000):
@@ -265,12 +278,7 @@ def _probes(batches: Iterator[pa.RecordBatch], width_: int) -> Iterator[pa.Recor
             node, prints = part.column(0).to_numpy(), np.stack([part.column(k + 1).to_numpy() for k in range(WIDE)], 1)
             root = [c.to_numpy() for c in part.columns[1 + WIDE :]]
             bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
-            buckets = []
-            for k, sample in enumerate(samples):
-                value = (bits[:, sample] @ weights) | np.int64(k << 48)
-                buckets.append(value)
-                if k < BALLED:
-                    buckets += [value ^ w for w in weights]
+            buckets = [(bits[:, sample] @ weights) | np.int64(k << 48) for k, sample in enumerate(samples)]
             n = len(buckets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(buckets)), pa.array(np.tile(node, n)), *[pa.array(np.tile(prints[:, k], n)) for k in range(WIDE)], *[pa.array(np.tile(r, n)) for r in root]],
@@ -461,10 +469,10 @@ def near_links(prints: DataFrame, slim: DataFrame, words: int, similarity: float
     """
     parts = [f"f{k}" for k in range(WIDE)]
     fields = ", ".join(f"{p} long" for p in parts)
-    wide = max(SAMPLE_BITS, (max(prints.count(), 1) - 1).bit_length() - 6)
+    wide, samples = samples_for(prints.count(), similarity)
 
     def candidates(nodes: DataFrame, pairs_of: Callable) -> DataFrame:
-        probes = nodes.mapInArrow(lambda b: _probes(b, wide), f"bucket long, node long, {fields}" + (", root long" if "root" in nodes.columns else ""))
+        probes = nodes.mapInArrow(lambda b: _probes(b, wide, samples), f"bucket long, node long, {fields}" + (", root long" if "root" in nodes.columns else ""))
         met = probes.repartition(width(slim.sparkSession), "bucket").sortWithinPartitions("bucket", "node")
         return durable(met.mapInArrow(_compare(pairs_of, distance_for(similarity)), "a long, b long").distinct())
 
@@ -506,9 +514,9 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id:
     doc_id stays. Candidates are pairs that share a bucket and whose fingerprints of 256
     bits differ in at most as many bits as the similarity makes them, plus DEVIATIONS
     standard deviations; the similarity of each is then checked on the sets themselves.
-    Buckets are samples of a fingerprint's bits, as many of them as two texts at the
-    threshold share one of with a chance of about nine in ten, and rising fast above it; in
-    the first, Hamming balls are enumerated. Rows that share a doc_id stay or go together;
+    Buckets are samples of a fingerprint's bits, as many of them, whatever the table's size,
+    as leave a chance of MISS that two texts whose fingerprints differ as the threshold
+    makes them share none; it falls fast above the threshold. Rows that share a doc_id stay or go together;
     those with a null id stay. Texts without words are one group. Empty table: no rows.
     """
 

@@ -219,6 +219,27 @@ def changed(words, r, places):
     return out
 
 
+@pytest.mark.parametrize("count", [10, 2**24, 2**25, 2**28, 2**34])
+def test_larger_tables_miss_no_more(count):
+    """The chance that a pair at the threshold shares no bucket, over drawn pairs, for any size."""
+    import pyarrow as pa
+
+    wide, samples = simhash.samples_for(count, 0.8)
+    r = np.random.default_rng(0)
+    one = r.integers(0, 2, (800, 256), np.uint8)
+    two = one.copy()
+    for row in two:
+        row[r.choice(256, 39, replace=False)] ^= 1
+    prints = np.packbits(np.concatenate([one, two]), axis=1, bitorder="little").view(np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(1600)), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(4)]], ["node", "f0", "f1", "f2", "f3"])
+    own = {}
+    for out in simhash._probes(iter([batch]), wide, samples):
+        for bucket, node in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            own.setdefault(node, set()).add(bucket)
+    assert wide >= max(18, (count - 1).bit_length() - 6)
+    assert np.mean([own[k].isdisjoint(own[800 + k]) for k in range(800)]) < simhash.MISS + 0.02
+
+
 def test_texts_below_the_similarity_stay(spark):
     r = random.Random(7)
     docs = []
