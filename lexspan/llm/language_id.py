@@ -23,7 +23,7 @@ from .substring_dedup import SuffixAutomaton
 
 #: Characters of the reference of one language, and of all; the bound of the training sample.
 REFERENCE, REFERENCES = 40_000, 400_000
-#: Characters that one training text gives, symbols told apart, letters of a stretch.
+#: Characters that one training text gives, symbols with a column in the tables, letters of a stretch.
 A_TEXT, SYMBOLS, STRETCH = 1_000, 56, 256
 #: Texts parsed at once, in characters.
 AT_ONCE = 1_500_000
@@ -57,49 +57,70 @@ def references(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 class Parser:
-    """Automata of all languages as dense transition tables over a common set of symbols."""
+    """Automata of all languages over a common set of symbols, every character of the references.
+
+    Transitions by the commonest SYMBOLS - 2 of them are dense tables; those by all others
+    are found by bisection in a sorted list of (state, symbol).
+    """
 
     def __init__(self, texts: dict[str, list[str]]):
         self.langs = sorted(texts)
-        known = Counter(c for own in texts.values() for t in own for c in t.lower() if ord(c) < 65536)
-        self.code = np.zeros(65536, np.uint8)  # 0: a character that no reference tells apart
-        for k, (c, _) in enumerate(sorted(known.items(), key=lambda x: (-x[1], x[0]))[: SYMBOLS - 2]):
-            self.code[ord(c)] = k + 1
-        self.tables, self.cost = [], []
+        known = Counter(c for own in texts.values() for t in own for c in t.lower())
+        self.code = np.zeros(0x110000, np.int32)  # 0: a character that is in no reference
+        for k, (c, _) in enumerate(sorted(known.items(), key=lambda x: (-x[1], x[0]))):
+            self.code[ord(c)] = k + 1 if k < SYMBOLS - 2 else k + 2  # SYMBOLS - 1 fills stretches up
+        self.symbols = SYMBOLS + max(0, len(known) - (SYMBOLS - 2))
+        self.tables, self.rare, self.cost = [], [], []
         for lang in self.langs:
             automaton = SuffixAutomaton()
             for t in texts[lang]:
                 automaton.add(self.codes(t).tolist(), None)
             table = np.zeros((len(automaton.next), SYMBOLS), np.int32)
+            rare = []
             for state, moves in enumerate(automaton.next):
                 for c, to in moves.items():
-                    table[state, c] = to
+                    if c < SYMBOLS:
+                        table[state, c] = to
+                    else:
+                        rare.append((state * self.symbols + c, to))
             table[:, 0] = 0
             self.tables.append(table.ravel())
+            self.rare.append(np.array(sorted(rare) + [(2**62, 0)], np.int64).T.copy())  # the last one ends the search
             self.cost.append(np.log2(2 + sum(map(len, texts[lang]))))
 
     def codes(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-        return self.code[np.where(points < 65536, points, 0)]
+        return self.code[points]
+
+    def _rare_moves(self, k: int, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Where language k goes from the states by symbols that have no column; 0: nowhere."""
+        keys, to = self.rare[k]
+        wanted = state.astype(np.int64) * self.symbols + c
+        at = np.searchsorted(keys, wanted)
+        return np.where(keys[at] == wanted, to[at], 0).astype(np.int32)
 
     def bits(self, texts: list[str]) -> np.ndarray:
         """Bits a character that each language needs for each text, texts not empty."""
         codes = [self.codes(t) for t in texts]
         lengths = np.array([len(c) for c in codes], np.int64)
         pieces = -(-lengths // STRETCH)
-        flat = np.full(int(pieces.sum()) * STRETCH, SYMBOLS - 1, np.uint8)
+        flat = np.full(int(pieces.sum()) * STRETCH, SYMBOLS - 1, np.int32)
         starts = np.r_[0, np.cumsum(pieces)[:-1]] * STRETCH
         for start, c in zip(starts.tolist(), codes, strict=True):
             flat[start : start + len(c)] = c
-        columns = np.ascontiguousarray(flat.reshape(-1, STRETCH).T).astype(np.int32)
+        columns = np.ascontiguousarray(flat.reshape(-1, STRETCH).T)
         real = columns != SYMBOLS - 1
+        rare = [(at, c[at]) for c in columns for at in [np.flatnonzero(c >= SYMBOLS)]]
+        columns[columns >= SYMBOLS] = 0
         out = np.empty((len(texts), len(self.langs)))
         for k, table in enumerate(self.tables):
             state, phrases = np.zeros(columns.shape[1], np.int32), np.zeros(columns.shape[1], np.int64)
             root = table[:SYMBOLS]
             open_ = np.zeros(columns.shape[1], bool)
-            for c, is_text in zip(columns, real, strict=True):
+            for c, is_text, (at, own) in zip(columns, real, rare, strict=True):
                 to, fresh = table[state * SYMBOLS + c], root[c]
+                if len(at):
+                    to[at], fresh[at] = self._rare_moves(k, state[at], own), self._rare_moves(k, np.zeros(len(at), np.int32), own)
                 failed = (to == 0) & is_text
                 # What was open ends here; a character unknown to the reference is a phrase of its own.
                 phrases += (failed & (state != 0)).astype(np.int64) + (failed & (fresh == 0))

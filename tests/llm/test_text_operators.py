@@ -284,6 +284,39 @@ def test_language_of_odd_texts(odd, none):
     assert language_id.identify(none, texts).count() == 0 and language_id.references(none) == {}
 
 
+def test_languages_of_large_scripts():
+    """Scripts of thousands of characters, in and beyond the first plane, next to Latin ones."""
+    r = random.Random(2)
+    scripts = {"en": range(97, 123), "x": range(0x4E00, 0x5A00), "y": range(0x5A00, 0x6600), "z": range(0x20000, 0x20C00)}
+    common = {k: [[chr(r.choice(s)) for _ in range(r.randint(2, 5))] for _ in range(1500)] for k, s in scripts.items()}
+    text = lambda k, n: "".join(c for _ in range(n) for c in r.choice(common[k]))
+    parser = language_id.Parser({k: [text(k, 300) for _ in range(10)] for k in scripts})
+    truth = [k for k in scripts for _ in range(50)]
+    found = parser.bits([text(k, 20) for k in truth]).argmin(1)
+    assert [parser.langs[i] for i in found] == truth
+
+
+def test_rare_characters_parse_like_common_ones():
+    """Phrases counted by hand over more characters than have a column, and those no reference has."""
+    r = random.Random(4)
+    letters = [chr(0x4E00 + k) for k in range(200)]
+    reference = "".join(r.choice(letters) for _ in range(3000))
+    parser = language_id.Parser({"a": [reference]})
+
+    def phrases(t):
+        n = at = 0
+        while at < len(t):
+            size = 1
+            while at + size < len(t) and t[at : at + size + 1] in reference:
+                size += 1
+            n, at = n + 1, at + size
+        return n
+
+    texts = [reference[k : k + 7] + r.choice(letters) + reference[3 * k : 3 * k + 20] + "?" * (k % 3) + "\U00020000" for k in range(60)]
+    got = parser.bits(texts)[:, 0] * [len(t) for t in texts] / parser.cost[0]
+    assert got.round().astype(int).tolist() == [phrases(t) for t in texts]
+
+
 def test_cross_parsing_counts_phrases():
     parser = language_id.Parser({"a": ["abcab"]})
     phrases = lambda t: round(float(parser.bits([t])[0, 0]) * len(t) / parser.cost[0])
