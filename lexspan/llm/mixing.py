@@ -8,10 +8,10 @@ by range of that time. A source whose target exceeds its size is streamed again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, n_words
+from .common import durable, n_words, unused
 from .numbering import running_total
 
 
@@ -71,11 +71,17 @@ def mixing_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
     one's; for a document of which nothing is taken, null. Repeated rows are streamed
     each. Reruns agree. Empty table: no rows; other columns aren't read.
     """
+    return _plan(docs, weights, share, most_passes, doc_id, text, source)
+
+
+def _plan(docs: DataFrame, weights: tuple[float, ...], share: float, most_passes: float, doc_id: str, text: str, source: str, row: list[Column] = []) -> DataFrame:
+    """`mixing_plan` with the columns `row` too, by which rows of one id and size are told apart and ordered."""
     slim = durable(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"),
+        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), *row,
     ))
+    keys = slim.columns[3:]
     targets = durable(source_targets(slim, weights, share, most_passes))
-    placed = running_total(slim, "doc_id", ["doc_id", "size"], "size", "source").drop("__total").withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))).drop("source")
+    placed = running_total(slim, "doc_id", ["doc_id", "size", *keys], "size", "source").drop("__total").withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))).drop("source")
     # One row a source: its count doesn't grow with the texts; Spark decides on its measured size whether to broadcast.
     known = targets.withColumn("__source", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")))
     joined = placed.join(known, "__source").withColumn("__quota", F.round("target").cast("long"))
@@ -94,7 +100,7 @@ def mixing_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share:
     return timed.withColumn("passes", parts).select(
         "doc_id", "source", "size", "source_size", "target",
         sum((F.col(f"__taken{k}") for k in range(1, most)), F.col("__taken0")).alias("taken"),
-        "passes", F.expr("get(passes, 0).position").alias("position"),
+        "passes", F.expr("get(passes, 0).position").alias("position"), *keys,
     )
 
 
@@ -110,16 +116,36 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
 
     Whole documents are kept whole: a pass counts if it takes at least half of the
     document, so a source is off its target by at most half of one document. Documents
-    without words ask for nothing and stay once, at the beginning. doc_id must be unique.
+    without words ask for nothing and stay once, at the beginning. A row is known by its
+    id, source and the hash of its text, so repeated and null ids are told apart; rows equal
+    in all of these are numbered, and each comes out as often as its number is taken.
     """
     spark = docs.sparkSession
     columns = docs.columns
-    plan = mixing_plan(docs, weights, share, most_passes, doc_id, text, source)
+    row = F.xxhash64(docs[text], docs[source].cast("string"), docs[source].isNull())
+    plan = _plan(docs, weights, share, most_passes, doc_id, text, source, [row.alias("__row")])
     whole = F.when(F.col("size") == 0, F.array(F.lit(0.0))).otherwise(
         F.transform(F.filter("passes", lambda p: p["words"] * 2 >= F.col("size")), lambda p: p["position"])
     )
-    times = plan.select(F.col("doc_id").alias("__id"), F.explode(whole).alias("__position")).dropDuplicates()
+    same = Window.partitionBy("__id", "__row")
+    planned = plan.select(F.col("doc_id").alias("__id"), "__row", whole.alias("__times"))
+    planned = durable(planned.withColumns({"__copies": F.count(F.lit(1)).over(same), "__copy": F.row_number().over(same.orderBy("__times"))}))
+    times = planned.select("__id", "__row", "__copies", "__copy", F.explode("__times").alias("__position"))
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.join(times, docs[doc_id].eqNullSafe(times["__id"]))
-    order = [times["__position"], times["__id"]]
-    return rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select(*[docs[c] for c in columns])
+
+    def met(rows: DataFrame, times: DataFrame, more: list[Column]) -> DataFrame:
+        times = times.select(*[F.col(c).alias(c) for c in times.columns])  # told apart from what `rows` were joined to
+        on = docs[doc_id].eqNullSafe(times["__id"]) & (row == times["__row"])
+        for c in more:
+            on = on & (c == times["__copy"])
+        return rows.join(times, on).select(F.struct(*[docs[c] for c in columns]).alias("row"), times["__position"], times["__id"], times["__row"])
+
+    rows = met(docs, times.where("__copies = 1"), [])
+    if not planned.where("__copies > 1").isEmpty():
+        repeats = planned.where("__copies > 1 AND __copy = 1").select(F.col("__id").alias("__i"), F.col("__row").alias("__r"))
+        numbered = docs.join(repeats, docs[doc_id].eqNullSafe(repeats["__i"]) & (row == repeats["__r"]), "left_semi")
+        number = unused("__number", columns)
+        numbered = numbered.withColumn(number, F.row_number().over(Window.partitionBy(docs[doc_id], row).orderBy(F.lit(0))))
+        rows = rows.unionByName(met(numbered, times.where("__copies > 1"), [F.col(number)]))
+    order = [F.col("__position"), F.col("__id"), F.col("__row")]
+    return rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("row.*")

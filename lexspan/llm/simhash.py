@@ -424,22 +424,22 @@ def _similar(similarity: float) -> Callable:
 
 
 def shingle_sets(slim: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, set of (node, __least, digest): read again from the rows of `slim`, of which few others shuffle."""
+    """node, set of (node, __row, digest): read again from the rows of `slim`, of which few others shuffle."""
     slots = table_slots(nodes.count())
     pages = durable(
-        nodes.select(F.explode(F.array(*bloom_slots(F.col("__least"), slots))).alias("__slot"))
+        nodes.select(F.explode(F.array(*bloom_slots(F.col("__row"), slots))).alias("__slot"))
         .groupBy((F.col("__slot") / PAGE).cast("long").alias("__page")).agg(F.bitmap_construct_agg(F.col("__slot") % PAGE).alias("__bits"))
     )
-    met = with_suspicion(slim, "doc_id", pages, slots).where("__suspect").select("doc_id", "text")
+    met = with_suspicion(slim, "row", pages, slots).where("__suspect").select("row", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t or b"", words) for t in batch.column(2).cast(pa.binary()).to_pylist()]
-            # Another text under the same id has another digest.
+            # Another text under the same key has another digest.
             same = [k for k, d in enumerate(batch.column(1).to_pylist()) if set_digest(sets[k]) == d]
             yield pa.record_batch([batch.column(0).take(pa.array(same, pa.int64())), pa.array([sets[k].tobytes() for k in same], pa.binary())], names=["node", "set"])
 
-    rows = met.join(nodes, met["doc_id"] == nodes["__least"]).select("node", "digest", "text")
+    rows = met.join(nodes, met["row"] == nodes["__row"]).select("node", "digest", "text")
     return rows.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
 
 
@@ -451,7 +451,7 @@ def similar_pairs(pairs: DataFrame, prints: DataFrame, slim: DataFrame, words: i
     """
     n = width(slim.sparkSession)
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = durable(shingle_sets(slim, durable(prints.select("node", "__least", "digest").join(wanted, "node")), words))
+    sets = durable(shingle_sets(slim, durable(prints.select("node", "__least.row", "digest").withColumnRenamed("row", "__row").join(wanted, "node")), words))
     salted = pairs.withColumns({"salt": F.pmod(F.xxhash64("b"), F.lit(n)), "place": F.pmod(F.xxhash64("a"), F.lit(n))})
     hubs = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("node")).select("a", "salt", F.lit(0).alias("side"), "node", "set")
     placed = salted.select("b", "place").distinct().join(sets, F.col("b") == F.col("node")).select("b", "place", "set")
@@ -516,29 +516,40 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id:
     standard deviations; the similarity of each is then checked on the sets themselves.
     Buckets are samples of a fingerprint's bits, as many of them, whatever the table's size,
     as leave a chance of MISS that two texts whose fingerprints differ as the threshold
-    makes them share none; it falls fast above the threshold. Rows that share a doc_id stay or go together;
-    those with a null id stay. Texts without words are one group. Empty table: no rows.
+    makes them share none; it falls fast above the threshold. A row is known by its id and
+    the hash of its text, so rows that share an id are told apart; of rows equal in both one
+    stays, and a null id is larger than all others. Texts without words are one group.
+    Empty table: no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t or b"", words) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            sets = [shingle_set(t or b"", words) for t in batch.column(2).cast(pa.binary()).to_pylist()]
             prints = set_prints(sets).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([set_digest(x) for x in sets], pa.binary()), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(WIDE)]],
-                ["doc_id", "digest", *parts],
+                [batch.column(0), batch.column(1), pa.array([set_digest(x) for x in sets], pa.binary()), *[pa.array(np.ascontiguousarray(prints[:, k])) for k in range(WIDE)]],
+                ["doc_id", "row", "digest", *parts],
             )
 
     parts = [f"f{k}" for k in range(WIDE)]
     fields = ", ".join(f"{p} long" for p in parts)
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
-    hashed = durable(slim.mapInArrow(run, f"doc_id long, digest binary, {fields}"))
+    own, content = docs[doc_id].cast("long"), docs[text].cast("string")
+    row = F.xxhash64(own, content)
+    slim = docs.select(own.alias("doc_id"), row.alias("row"), content.alias("text"))
+    hashed = durable(slim.mapInArrow(run, f"doc_id long, row long, digest binary, {fields}"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     prints = durable(
-        hashed.groupBy("digest").agg(F.min("doc_id").alias("__least"), *[F.min(p).alias(p) for p in parts]).withColumn("node", F.monotonically_increasing_id())
+        hashed.groupBy("digest").agg(F.min(order).alias("__least"), *[F.min(p).alias(p) for p in parts]).withColumn("node", F.monotonically_increasing_id())
     )
     roots = connected_components(near_links(prints, slim, words, similarity), "a", "b")
     rooted = prints.join(roots, "node", "left").withColumn("__root", F.coalesce("root", "node"))
     stays = rooted.groupBy("__root").agg(F.min("__least").alias("__stays"))
     named = rooted.join(stays, "__root").select("digest", "__stays")
-    goes = hashed.join(named, "digest").where("doc_id <> __stays").select(F.col("doc_id").alias("__goes")).distinct()
-    return docs.join(goes, docs[doc_id] == goes["__goes"], "left_anti")
+    goes = hashed.join(named, "digest").where(order != F.col("__stays")).select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).distinct()
+    kept = docs.join(goes, own.eqNullSafe(goes["__id"]) & (row == goes["__row"]), "left_anti")
+    twice = durable(hashed.groupBy("doc_id", "row").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")))
+    if twice.isEmpty():
+        return kept
+    same = own.eqNullSafe(twice["__id"]) & (row == twice["__row"])
+    one = kept.join(twice, same).dropDuplicates(["__id", "__row"]).select(*[docs[c] for c in docs.columns])
+    return kept.join(twice, same, "left_anti").unionByName(one)

@@ -139,6 +139,16 @@ def test_mix(odd, none, spark):
     assert mixing.mixing_plan(crowded(odd)).count() == len(ODD)
 
 
+def test_mix_of_repeated_and_null_ids(spark):
+    """Every row is on its own, whatever its id: none comes out more often than the passes."""
+    docs = [(None, f"text {k} without an id", "a") for k in range(30)] + [(7, f"text {k} of one id", "a") for k in range(30)] + [(8, "equal rows", "a")] * 5
+    docs += [(100 + k, f"{k} other words here", "b") for k in range(100)]
+    out = Counter(tuple(r) for r in mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect())
+    rows = Counter(docs)
+    assert set(out) <= set(rows) and all(n <= 2 * rows[k] for k, n in out.items())
+    assert abs(sum(len(k[1].split()) * n for k, n in out.items()) - 1.5 * sum(len(t.split()) for _, t, _ in docs)) < 20
+
+
 def test_running_totals(spark):
     rows = [(i, i % 3, None if i % 5 == 0 else "g") for i in range(300)]
     got = numbering.running_total(spark.createDataFrame(rows, "i long, v long, g string"), "i", ["i"], "v", "g", blocks=7).collect()

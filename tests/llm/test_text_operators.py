@@ -251,6 +251,18 @@ def test_texts_below_the_similarity_stay(spark):
     assert sorted(x["doc_id"] for x in out.collect()) == sorted(i for i, _ in docs)
 
 
+def test_near_copies_of_repeated_and_null_ids(spark):
+    r = random.Random(8)
+    base = [[f"w{r.randrange(50_000)}" for _ in range(200)] for _ in range(6)]
+    text = [" ".join(b) for b in base]
+    copy = [" ".join(changed(b, r, 1)) for b in base]
+    # A null id loses to others, one of two null ids stays, a clean row outlives the copy with its id, equal rows are one.
+    docs = [(None, copy[0]), (1, text[0]), (None, text[1]), (None, copy[1]), (2, text[2]), (3, copy[2]), (3, text[3]), (4, text[4]), (4, text[4]), (None, text[5])]
+    out = [tuple(x) for x in simhash.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert Counter(i for i, _ in out) == Counter([1, 2, 3, 4, None, None])
+    assert (3, text[3]) in out and (None, text[5]) in out
+
+
 @pytest.mark.parametrize("small", [48, 4])
 def test_near_groups_equal_brute_force(spark, monkeypatch, small):
     """Crowds in which some pairs are similar enough only to others than the first."""
