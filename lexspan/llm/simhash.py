@@ -223,6 +223,11 @@ def wide_fingerprints(texts: list[bytes], words: int) -> np.ndarray:
     return set_prints([shingle_set(t, words) for t in texts])
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, so that few shingle sets are held at once."""
+    return (batch.slice(low, rows) for batch in batches for low in range(0, batch.num_rows, rows))
+
+
 def shingle_set(text: bytes, words: int) -> np.ndarray:
     """The sorted XXH64 (seed 42) of a text's different shingles."""
     from xxhash import xxh64_intdigest
@@ -358,7 +363,7 @@ def _across(key: np.ndarray, node: np.ndarray, prints: np.ndarray, root: np.ndar
         near = other[_far(prints[other], prints[other + shift]) <= distance]
         a.append(node[near])
         b.append(node[near + shift])
-        if sum(map(len, a)) > 1_000_000:
+        if sum(map(len, a)) > 200_000:
             yield _ordered(a, b)
             a, b = [], []
     yield _ordered(a, b)
@@ -387,7 +392,7 @@ def _compare(pairs_of: Callable, distance: int) -> Callable:
                 for found in pairs_of(key[:cut], node[:cut], prints[:cut], root[:cut], distance):
                     pairs.append(found)
                     waiting += len(found)
-                    if waiting > 1_000_000:
+                    if waiting > 200_000:
                         yield out(np.unique(np.concatenate(pairs), axis=0))
                         pairs, waiting = [], 0
         if held:
@@ -405,7 +410,7 @@ def _similar(similarity: float) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, None
-        for batch in batches:
+        for batch in slices(batches):
             a, b = [], []
             for key, side, node, packed in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), strict=True):
                 hashes = np.frombuffer(packed.as_buffer(), np.uint64)
@@ -433,7 +438,7 @@ def shingle_sets(slim: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     met = with_suspicion(slim, "row", pages, slots).where("__suspect").select("row", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t or b"", words) for t in batch.column(2).cast(pa.binary()).to_pylist()]
             # Another text under the same key has another digest.
             same = [k for k, d in enumerate(batch.column(1).to_pylist()) if set_digest(sets[k]) == d]
@@ -523,7 +528,7 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t or b"", words) for t in batch.column(2).cast(pa.binary()).to_pylist()]
             prints = set_prints(sets).view(np.int64)
             yield pa.RecordBatch.from_arrays(
