@@ -217,6 +217,24 @@ def test_encoder_is_exact():
     assert [np.frombuffer(x, "<u4").tolist() for x in e.batch(texts)] == want
 
 
+def test_encoder_of_all_characters_and_long_texts(monkeypatch):
+    e = packing.Encoder(queries.tokenizer_path())
+    assert e.fast is not None
+    exact = lambda texts: [x.ids for x in e.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    texts = ["".join(f"a{chr(c)}1{chr(c)}!{chr(c)} {chr(c)}{chr(c)} x" for c in range(low, low + 256) if not 0xD800 <= c <= 0xDFFF) for low in range(0, 0x20000, 256)]
+    long = [" " * 1_500_000 + "x", "\n" * 900_000, "ab" * 600_000, "x  y " * 300_000, "one word after another\n" * 30_000]
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.batch(texts + long)] == exact(texts + long)
+    monkeypatch.setattr(packing, "STRETCH", 7)
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.batch(texts)] == exact(texts)
+
+
+def test_a_file_of_another_kind_goes_to_its_own_library():
+    import public_tokenizers
+
+    e = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert e.fast is None and np.frombuffer(e.encode("Some words, here"), "<u4").tolist() == e.tokenizer.encode("Some words, here", add_special_tokens=False).ids
+
+
 def test_open_windows_are_bounded():
     w, r = packing.Windows(100, 4, 0), random.Random(2)
     closed = []
