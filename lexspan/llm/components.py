@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, join_by_key
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -17,7 +17,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternating large-star and small-star steps until nothing changes, about the logarithm
     of the number of links. Each step is aggregations with map-side combine and equi-joins
-    that Spark may split where a node has very many links; its result is checkpointed.
+    in which the nodes with very many links are broadcast; its result is checkpointed.
     Nulls and links from a node to itself are left out. No links: no rows.
     """
     u, v = F.col(a).cast("long"), F.col(b).cast("long")
@@ -25,13 +25,14 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
         # Large star: neighbours above u go to the smallest of u and its neighbours.
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = join_by_key(both, least, "u", "n", 2 * state[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u and its smaller neighbours go to the smallest of those.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = durable(large)
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         pairs = F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-        edges = durable(large.join(least, "u").select(pairs.alias("e")).select("e.u", "e.v").where("u > v").distinct())
+        edges = durable(join_by_key(large, least, "u", "n", state[0]).select(pairs.alias("e")).select("e.u", "e.v").where("u > v").distinct())
         before, state = state, _state(edges)
         if state == before:
             break

@@ -1,71 +1,42 @@
 """Exact deduplication by two-pass Bloom filtering, in DataFrame operations only.
 
-Pass one hashes each text to one slot in each of two tables and counts the slots; those
-hit twice or more become a bitmap of bounded size. Pass two probes it: a row both of whose
-slots were hit twice is possibly repeated and joins the shuffle, every other row passes
-straight through. False hits only cost a shuffle of that row, as groups are then formed
-by the SHA-256 of the text.
+Pass one counts 64-bit hashes of the texts' digests, combined before they shuffle, and makes
+a Bloom filter of those that two or more rows have. Pass two probes it: a row that the filter
+knows is possibly repeated and joins the shuffle, every other row passes straight through.
+False hits only cost a shuffle of that row, as groups are then formed by the SHA-256 of the
+text. Texts themselves are never shuffled to find groups.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import MOST_PAGES, Bloom, without
 from .common import durable, fold_ascii, join_by_key
 
-#: Bits in one page of a bitmap, as bitmap_construct_agg makes them.
-PAGE = 32768
-#: Slots a row in each table, and the most slots of a table (two tables: 32 MB broadcast).
-SLOTS_A_ROW, MOST_SLOTS = 16, 2**27
-
 
 def digests(docs: DataFrame, text: str = "text") -> Column:
     """SHA-256 in lowercase hex of the ASCII-folded text (null: empty)."""
     return F.sha2(fold_ascii(docs[text]), 256)
 
 
-def table_slots(rows: int, most: int = MOST_SLOTS) -> int:
-    """Slots of one table: a power of two near 16 a row, never over `most`."""
-    return min(most, max(PAGE, 1 << (max(1, SLOTS_A_ROW * rows) - 1).bit_length()))
-
-
-def _slots(digest: Column, slots: int) -> list[Column]:
-    """A slot in each of the two tables, which lie one behind the other."""
-    return [F.pmod(F.xxhash64(digest, F.lit(k)), F.lit(slots)) + F.lit(k * slots) for k in (0, 1)]
+def repeated(hashed: DataFrame, digest: str) -> DataFrame:
+    """`__key`: the hashes of digests that two or more rows have.
 
-
-def repeated_slots(hashed: DataFrame, digest: str, slots: int) -> DataFrame:
-    """Pages (`__page`, `__bits`) of the slots that two or more rows hit; at most 2 * slots bits.
-
-    Counts are combined before the shuffle, so a slot hit by a third of all rows is one row
-    from each task.
+    Counts are combined before the shuffle, so a text of a third of all rows is one number
+    from each task; a text that no other row of its task has is one number of 8 bytes.
     """
-    return (
-        hashed.select(F.explode(F.array(*_slots(F.col(digest), slots))).alias("__slot"))
-        .groupBy("__slot").count().where("count > 1")
-        .groupBy((F.col("__slot") / PAGE).cast("long").alias("__page"))
-        .agg(F.bitmap_construct_agg(F.col("__slot") % PAGE).alias("__bits"))
-    )
+    return hashed.groupBy(F.xxhash64(digest).alias("__key")).count().where("count > 1").select("__key")
 
 
-def with_suspicion(hashed: DataFrame, digest: str, pages: DataFrame, slots: int) -> DataFrame:
-    """Adds `__suspect`: whether both slots of the row were hit twice. Doesn't shuffle `hashed`."""
-    hits = []
-    for k, slot in enumerate(_slots(F.col(digest), slots)):
-        page, bits = f"__page{k}", f"__bits{k}"
-        hashed = hashed.withColumn(page, (slot / PAGE).cast("long")).join(
-            F.broadcast(pages.select(F.col("__page").alias(page), F.col("__bits").alias(bits))), page, "left"
-        )
-        bit = (slot % PAGE).cast("int")
-        byte = F.conv(F.hex(F.substring(F.col(bits), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        hits.append(F.coalesce(F.getbit(byte, bit % 8) == 1, F.lit(False)))
-    return hashed.withColumn("__suspect", reduce(lambda a, b: a & b, hits)).drop("__page0", "__page1", "__bits0", "__bits1")
+def _judged(hashed: DataFrame, most_pages: int) -> DataFrame:
+    """Adds `__suspect` to rows with text_sha256: whether another row possibly has the same."""
+    keyed = hashed.withColumn("__key", F.xxhash64("text_sha256"))
+    return Bloom(repeated(hashed, "text_sha256"), "__key", most_pages).mark(keyed, "__key").drop("__key")
 
 
-def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_slots: int = MOST_SLOTS) -> DataFrame:
+def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_pages: int = MOST_PAGES) -> DataFrame:
     """One row per row of `docs`: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z; null counts as empty. The row
@@ -75,33 +46,34 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
     are not read.
     """
     hashed = durable(docs.select(F.col(doc_id).alias("doc_id"), digests(docs, text).alias("text_sha256")))
-    total = hashed.count()
-    slots = table_slots(total, most_slots)
-    judged = with_suspicion(hashed, "text_sha256", repeated_slots(hashed, "text_sha256", slots), slots)
+    judged = _judged(hashed, most_pages)
     straight = judged.where(~F.col("__suspect")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
     suspects = durable(judged.where("__suspect").drop("__suspect"))
     groups = durable(suspects.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    grouped = join_by_key(suspects, groups, "text_sha256", "group_size", total).select(
+    grouped = join_by_key(suspects, groups, "text_sha256", "group_size", hashed.count()).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
     return straight.unionByName(grouped)
 
 
-def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_slots: int = MOST_SLOTS) -> DataFrame:
+def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_pages: int = MOST_PAGES) -> DataFrame:
     """The rows of `docs`, with all their columns, less those whose text a row with a larger doc_id has too.
 
-    Of rows that repeat both doc_id and text one stays. Texts of rows that the filter lets
-    pass are never shuffled.
+    Of equal texts under one id, also ones that differ in case, one stays. Each text is
+    digested once; the rows that go are then known by their id and a hash of the text, and
+    only rows that a filter over those knows are shuffled.
     """
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    tagged = docs.select(row, docs[doc_id].alias("id"), digests(docs, text).alias("__digest"))
-    hashed = durable(tagged.select("__digest"))
-    slots = table_slots(hashed.count(), most_slots)
-    pages = durable(repeated_slots(hashed, "__digest", slots))
-    judged = with_suspicion(tagged, "__digest", pages, slots)
-    suspects = judged.where("__suspect")
-    groups = suspects.groupBy("__digest").agg(F.max("id").alias("__keep"))
-    kept = suspects.join(groups, "__digest").where(F.col("id").eqNullSafe(F.col("__keep"))).dropDuplicates(["__digest"])
-    return judged.where(~F.col("__suspect")).select("row.*").unionByName(kept.select("row.*"))
+    own, row = docs[doc_id], F.xxhash64(docs[doc_id], docs[text])
+    hashed = durable(docs.select(own.alias("__id"), row.alias("__row"), digests(docs, text).alias("text_sha256")))
+    suspects = durable(_judged(hashed, most_pages).where("__suspect").drop("__suspect"))
+    groups = durable(
+        suspects.groupBy("text_sha256").agg(F.max(F.struct("__id", "__row")).alias("__stays"), F.count(F.lit(1)).alias("__size")).where("__size > 1")
+    )
+    met = durable(join_by_key(suspects, groups, "text_sha256", "__size", hashed.count()).withColumn(
+        "__kept", F.col("__id").eqNullSafe(F.col("__stays.__id")) & (F.col("__row") == F.col("__stays.__row"))
+    ))
+    goes = met.where(~F.col("__kept")).select("__id", "__row").distinct()
+    once = met.where("__kept").groupBy("__id", "__row").count().where("count > 1").select("__id", "__row")
+    return without(docs, own, row, goes, once, most_pages)

@@ -130,15 +130,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     same = Window.partitionBy("__id", "__row")
     planned = plan.select(F.col("doc_id").alias("__id"), "__row", whole.alias("__times"))
     planned = durable(planned.withColumns({"__copies": F.count(F.lit(1)).over(same), "__copy": F.row_number().over(same.orderBy("__times"))}))
-    times = planned.select("__id", "__row", "__copies", "__copy", F.explode("__times").alias("__position"))
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Ranges are found on the positions alone, so the texts' shuffles needn't be sampled first.
+    order = [F.col("__position"), F.col("__id"), F.col("__row")]
+    placed = planned.select("__id", "__row", "__copies", "__copy", F.explode("__times").alias("__position")).repartitionByRange(partitions, *order)
+    times = durable(placed.withColumn("__part", F.spark_partition_id()))
 
     def met(rows: DataFrame, times: DataFrame, more: list[Column]) -> DataFrame:
         times = times.select(*[F.col(c).alias(c) for c in times.columns])  # told apart from what `rows` were joined to
         on = docs[doc_id].eqNullSafe(times["__id"]) & (row == times["__row"])
         for c in more:
             on = on & (c == times["__copy"])
-        return rows.join(times, on).select(F.struct(*[docs[c] for c in columns]).alias("row"), times["__position"], times["__id"], times["__row"])
+        return rows.join(times, on).select(F.struct(*[docs[c] for c in columns]).alias("row"), *[times[c] for c in ("__position", "__id", "__row", "__part")])
 
     rows = met(docs, times.where("__copies = 1"), [])
     if not planned.where("__copies > 1").isEmpty():
@@ -147,5 +150,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
         number = unused("__number", columns)
         numbered = numbered.withColumn(number, F.row_number().over(Window.partitionBy(docs[doc_id], row).orderBy(F.lit(0))))
         rows = rows.unionByName(met(numbered, times.where("__copies > 1"), [F.col(number)]))
-    order = [F.col("__position"), F.col("__id"), F.col("__row")]
-    return rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("row.*")
+    parts = times.agg(F.max("__part")).first()[0]
+    return rows.repartitionById((parts or 0) + 1, F.col("__part")).sortWithinPartitions(*order).select("row.*")

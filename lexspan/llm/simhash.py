@@ -17,10 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import Bloom, without
 from .common import durable, join_by_key, width
 from .components import connected_components
-from .exact_dedup import PAGE, table_slots, with_suspicion
-from .exact_dedup import _slots as bloom_slots
 
 BITS = 64
 
@@ -211,10 +210,9 @@ def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: s
 #: For similarity rather than a given distance: 64-bit words of a fingerprint, least bits of a sampled segment, and
 #: the chance that a pair that differs in as many bits as the similarity makes them shares no segment.
 WIDE, SAMPLE_BITS, MISS = 4, 18, 0.025
-#: Standard deviations by which fingerprints of a candidate pair may be farther apart than the similarity makes them.
-DEVIATIONS = 3
-#: Bucket sizes up to which all pairs are compared at once.
-SMALL = 48
+#: Standard deviations by which fingerprints of a candidate pair may be farther apart than the similarity makes them:
+#: of pairs that span a bucket, and of all others that these leave in doubt.
+DEVIATIONS, DOUBT = 3, 1
 _STREAMS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03], np.uint64)
 
 
@@ -254,11 +252,11 @@ def set_prints(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(out, axis=1, bitorder="little").view(np.uint64)
 
 
-def distance_for(similarity: float) -> int:
-    """Bits in which fingerprints of texts of a Jaccard similarity differ, plus DEVIATIONS standard deviations."""
+def distance_for(similarity: float, deviations: float = DEVIATIONS) -> int:
+    """Bits in which fingerprints of texts of a Jaccard similarity differ, plus so many standard deviations."""
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     bits = WIDE * BITS
-    return round(bits * share + DEVIATIONS * np.sqrt(bits * share * (1 - share)))
+    return round(bits * share + deviations * np.sqrt(bits * share * (1 - share)))
 
 
 def expected_distance(similarity: float) -> int:
@@ -320,32 +318,27 @@ def _ordered(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 
 def _spanning(key: np.ndarray, node: np.ndarray, prints: np.ndarray, root: np.ndarray, distance: int) -> Iterator[np.ndarray]:
-    """Pairs within the distance that connect all such pairs of a bucket; of small buckets all pairs."""
+    """Pairs within the distance that connect all such pairs of a bucket: fewer than it has nodes."""
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[first, len(key)])
-    end = np.repeat(first + size, size)
-    at = np.flatnonzero(np.repeat((size > 1) & (size <= SMALL), size))
-    a, b = [], []
-    for shift in range(1, SMALL):
-        at = at[at + shift < end[at]]
-        if not len(at):
-            break
-        near = at[_far(prints[at], prints[at + shift]) <= distance]
-        a.append(node[near])
-        b.append(node[near + shift])
-    # Crowded buckets: each one reached is compared with those not yet reached.
-    for low, n in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-        left = np.arange(low, low + n)
-        while len(left) > 1:
-            queue, left = [left[0]], left[1:]
-            while queue and len(left):
-                one = queue.pop()
-                near = _far(prints[left], prints[one][None]) <= distance
-                if near.any():
-                    found, left = left[near], left[~near]
-                    a.append(np.full(len(found), node[one]))
-                    b.append(node[found])
-                    queue += found.tolist()
+    hub = np.repeat(first, size)
+    near = (_far(prints, prints[hub]) <= distance) & (np.arange(len(key)) != hub)
+    a, b = [node[hub[near]]], [node[near]]
+    # Where the first node doesn't reach all others, each one reached is compared with those not yet reached.
+    beyond = size - 1 - np.add.reduceat(near.astype(np.int64), first) if len(first) else first
+    for low, n in zip(first[(beyond > 0) & (size > 2)].tolist(), size[(beyond > 0) & (size > 2)].tolist(), strict=True):
+        own = np.arange(low, low + n)
+        queue, left = own[near[own]].tolist(), own[1:][~near[own[1:]]]
+        while len(left) > 1 or (queue and len(left)):
+            if not queue:
+                queue, left = [left[0]], left[1:]
+            one = queue.pop()
+            close = _far(prints[left], prints[one][None]) <= distance
+            if close.any():
+                found, left = left[close], left[~close]
+                a.append(np.full(len(found), node[one]))
+                b.append(node[found])
+                queue += found.tolist()
     yield _ordered(a, b)
 
 
@@ -430,12 +423,7 @@ def _similar(similarity: float) -> Callable:
 
 def shingle_sets(slim: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """node, set of (node, __row, digest): read again from the rows of `slim`, of which few others shuffle."""
-    slots = table_slots(nodes.count())
-    pages = durable(
-        nodes.select(F.explode(F.array(*bloom_slots(F.col("__row"), slots))).alias("__slot"))
-        .groupBy((F.col("__slot") / PAGE).cast("long").alias("__page")).agg(F.bitmap_construct_agg(F.col("__slot") % PAGE).alias("__bits"))
-    )
-    met = with_suspicion(slim, "row", pages, slots).where("__suspect").select("row", "text")
+    met = Bloom(nodes, "__row").mark(slim, "row").where("__suspect").select("row", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -469,17 +457,18 @@ def near_links(prints: DataFrame, slim: DataFrame, words: int, similarity: float
 
     Only pairs whose exact similarity was checked are links. Each node is first checked
     against its smallest candidate, then what is left of the pairs that span the buckets.
-    Where one of these isn't similar enough, others across it may be: there all candidate
-    pairs between what isn't connected yet are checked.
+    Where one of these isn't similar enough, others across it may be: there all pairs of a
+    bucket between what isn't connected yet are checked, if their fingerprints differ by at
+    most DOUBT standard deviations more than the similarity makes them.
     """
     parts = [f"f{k}" for k in range(WIDE)]
     fields = ", ".join(f"{p} long" for p in parts)
     wide, samples = samples_for(prints.count(), similarity)
 
-    def candidates(nodes: DataFrame, pairs_of: Callable) -> DataFrame:
+    def candidates(nodes: DataFrame, pairs_of: Callable, deviations: float) -> DataFrame:
         probes = nodes.mapInArrow(lambda b: _probes(b, wide, samples), f"bucket long, node long, {fields}" + (", root long" if "root" in nodes.columns else ""))
         met = probes.repartition(width(slim.sparkSession), "bucket").sortWithinPartitions("bucket", "node")
-        return durable(met.mapInArrow(_compare(pairs_of, distance_for(similarity)), "a long, b long").distinct())
+        return durable(met.mapInArrow(_compare(pairs_of, distance_for(similarity, deviations)), "a long, b long").distinct())
 
     def roots(links: DataFrame) -> DataFrame:
         return durable(connected_components(links, "a", "b"))
@@ -493,7 +482,7 @@ def near_links(prints: DataFrame, slim: DataFrame, words: int, similarity: float
     def checked(pairs: DataFrame) -> DataFrame:
         return durable(similar_pairs(pairs, prints, slim, words, similarity))
 
-    pairs = candidates(prints.select("node", *parts), _spanning)
+    pairs = candidates(prints.select("node", *parts), _spanning, DEVIATIONS)
     if pairs.isEmpty():
         return pairs
     links = checked(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
@@ -507,7 +496,7 @@ def near_links(prints: DataFrame, slim: DataFrame, words: int, similarity: float
     if doubt.isEmpty():
         return links
     rooted = prints.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")).join(doubt, "root", "left_semi")
-    across = durable(candidates(rooted.select("node", *parts, "root"), _across).join(left, ["a", "b"], "left_anti"))
+    across = durable(candidates(rooted.select("node", *parts, "root"), _across, DOUBT).join(left, ["a", "b"], "left_anti"))
     return links if across.isEmpty() else links.unionByName(checked(across))
 
 
@@ -551,10 +540,5 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id:
     stays = rooted.groupBy("__root").agg(F.min("__least").alias("__stays"))
     named = rooted.join(stays, "__root").select("digest", "__stays")
     goes = hashed.join(named, "digest").where(order != F.col("__stays")).select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).distinct()
-    kept = docs.join(goes, own.eqNullSafe(goes["__id"]) & (row == goes["__row"]), "left_anti")
-    twice = durable(hashed.groupBy("doc_id", "row").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row")))
-    if twice.isEmpty():
-        return kept
-    same = own.eqNullSafe(twice["__id"]) & (row == twice["__row"])
-    one = kept.join(twice, same).dropDuplicates(["__id", "__row"]).select(*[docs[c] for c in docs.columns])
-    return kept.join(twice, same, "left_anti").unionByName(one)
+    once = hashed.groupBy("doc_id", "row").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"))
+    return without(docs, own, row, goes, once)

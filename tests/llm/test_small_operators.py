@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lexspan.llm import embedding_dedup, exact_dedup, mixing, numbering, packing, queries, sharding
+from lexspan.llm import bloom, embedding_dedup, exact_dedup, mixing, numbering, packing, queries, sharding
 from lexspan.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -50,7 +50,7 @@ def folded(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
 
 
-@pytest.mark.parametrize("most", [2**27, exact_dedup.PAGE])
+@pytest.mark.parametrize("most", [8192, 0])
 def test_exact_groups(odd, most):
     groups = defaultdict(list)
     for r in ODD:
@@ -60,14 +60,37 @@ def test_exact_groups(odd, most):
         own = groups[folded(r[1])]
         keep = max((i for i in own if i is not None), default=None)
         want.append((r[0], keep, len(own), r[0] == keep, hashlib.sha256(folded(r[1]).encode()).hexdigest()))
-    got = [tuple(r) for r in exact_dedup.exact_groups(crowded(odd), most_slots=most).collect()]
+    got = [tuple(r) for r in exact_dedup.exact_groups(crowded(odd), most_pages=most).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     kept = crowded(odd)
-    out = exact_dedup.exact_dedup(kept, most_slots=most)
+    out = exact_dedup.exact_dedup(kept, most_pages=most)
     assert out.columns == kept.columns
     assert Counter(folded(r["text"]) for r in out.collect()) == Counter(groups.keys())
 
 
+@pytest.mark.parametrize("most", [8192, 0])
+def test_few_unique_rows_are_suspects_however_many_there_are(spark, most):
+    """The filter grows with what is repeated, so it never fills up; half of all rows share one text."""
+    hashed = spark.range(60_000).selectExpr("CASE WHEN id < 30000 THEN sha2('one', 256) WHEN id < 40000 THEN sha2(string(id % 5000), 256) ELSE sha2(string(id), 256) END AS text_sha256", "id")
+    judged = exact_dedup._judged(hashed, most).selectExpr("__suspect", "id >= 40000 AS alone").groupBy("__suspect", "alone").count().collect()
+    counts = {(r["__suspect"], r["alone"]): r["count"] for r in judged}
+    assert counts[True, False] == 40_000 and (False, False) not in counts and counts.get((True, True), 0) < 400
+
+
+def test_rows_that_go_and_rows_that_stay_once(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(2000).selectExpr("id % 1000 AS doc_id", "IF(id % 10 = 3, 'a', string(id)) AS text", "'x' AS __own", "'y' AS row")
+    own, row = docs["doc_id"], F.xxhash64(docs["doc_id"], docs["text"])
+    keys = docs.select(own.alias("__id"), row.alias("__row"), "text")
+    goes, once = keys.where("__id % 10 = 5"), keys.where("text = 'a'")
+    for most in (8192, 0):
+        out = bloom.without(docs, own, row, goes, once, most)
+        assert out.columns == docs.columns
+        rows = Counter((r["doc_id"], r["text"]) for r in out.collect())
+        assert sum(rows.values()) == 2000 - 200 - 100 and all(n == 1 for n in rows.values()) and sum(t == "a" for _, t in rows) == 100
+
+
 def test_exact_empty(none):
     assert exact_dedup.exact_groups(none).count() == 0 and exact_dedup.exact_dedup(none).count() == 0
 
