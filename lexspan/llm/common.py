@@ -63,3 +63,16 @@ def join_by_key(rows: DataFrame, small: DataFrame, key: str, count: str, total:
     met = rows.join(hot, key, "left")
     rest = met.where("__hot IS NULL").select(*rows.columns).join(small, key, how)
     return met.where("__hot").drop("__hot").unionByName(rest)
+
+
+def block_pairs(mine: Column, blocks: Column) -> Column:
+    """Where a member of block `mine` goes if each two of the blocks meet: an array of (i, j, side), i <= j.
+
+    side: 0 where the blocks are the same one, 1 for a member of i, 2 for a member of j.
+    """
+    return F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda other: F.struct(
+            F.least(other, mine).alias("i"), F.greatest(other, mine).alias("j"), F.when(other == mine, 0).when(mine < other, 1).otherwise(2).alias("side")
+        ),
+    )

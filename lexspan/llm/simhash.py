@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import Bloom, without
-from .common import durable, join_by_key, width
+from .common import block_pairs, durable, join_by_key, width
 from .components import connected_components
 
 BITS = 64
@@ -210,9 +210,10 @@ def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: s
 #: For similarity rather than a given distance: 64-bit words of a fingerprint, least bits of a sampled segment, and
 #: the chance that a pair that differs in as many bits as the similarity makes them shares no segment.
 WIDE, SAMPLE_BITS, MISS = 4, 18, 0.025
-#: Standard deviations by which fingerprints of a candidate pair may be farther apart than the similarity makes them:
-#: of pairs that span a bucket, and of all others that these leave in doubt.
-DEVIATIONS, DOUBT = 3, 1
+#: Standard deviations by which fingerprints of a candidate pair may be farther apart than the similarity makes them.
+DEVIATIONS = 3
+#: Bytes of shingle sets, and texts, of a block; two blocks meet in a task.
+BLOCK_BYTES, BLOCK = 16_000_000, 4096
 _STREAMS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xABC98388FB8FAC03], np.uint64)
 
 
@@ -252,11 +253,11 @@ def set_prints(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(out, axis=1, bitorder="little").view(np.uint64)
 
 
-def distance_for(similarity: float, deviations: float = DEVIATIONS) -> int:
-    """Bits in which fingerprints of texts of a Jaccard similarity differ, plus so many standard deviations."""
+def distance_for(similarity: float) -> int:
+    """Bits in which fingerprints of texts of a Jaccard similarity differ, plus DEVIATIONS standard deviations."""
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     bits = WIDE * BITS
-    return round(bits * share + deviations * np.sqrt(bits * share * (1 - share)))
+    return round(bits * share + DEVIATIONS * np.sqrt(bits * share * (1 - share)))
 
 
 def expected_distance(similarity: float) -> int:
@@ -279,13 +280,12 @@ def _probes(batches: Iterator[pa.RecordBatch], width_: int, count: int) -> Itera
         for low in range(0, batch.num_rows, 1000):
             part = batch.slice(low, 1000)
             node, prints = part.column(0).to_numpy(), np.stack([part.column(k + 1).to_numpy() for k in range(WIDE)], 1)
-            root = [c.to_numpy() for c in part.columns[1 + WIDE :]]
             bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")
             buckets = [(bits[:, sample] @ weights) | np.int64(k << 48) for k, sample in enumerate(samples)]
             n = len(buckets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(buckets)), pa.array(np.tile(node, n)), *[pa.array(np.tile(prints[:, k], n)) for k in range(WIDE)], *[pa.array(np.tile(r, n)) for r in root]],
-                ["bucket", "node", *[f"f{k}" for k in range(WIDE)], *["root" for _ in root]],
+                [pa.array(np.concatenate(buckets)), pa.array(np.tile(node, n)), *[pa.array(np.tile(prints[:, k], n)) for k in range(WIDE)]],
+                ["bucket", "node", *[f"f{k}" for k in range(WIDE)]],
             )
 
 
@@ -317,7 +317,7 @@ def _ordered(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
 
 
-def _spanning(key: np.ndarray, node: np.ndarray, prints: np.ndarray, root: np.ndarray, distance: int) -> Iterator[np.ndarray]:
+def _spanning(key: np.ndarray, node: np.ndarray, prints: np.ndarray, distance: int) -> np.ndarray:
     """Pairs within the distance that connect all such pairs of a bucket: fewer than it has nodes."""
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[first, len(key)])
@@ -339,64 +339,46 @@ def _spanning(key: np.ndarray, node: np.ndarray, prints: np.ndarray, root: np.nd
                 a.append(np.full(len(found), node[one]))
                 b.append(node[found])
                 queue += found.tolist()
-    yield _ordered(a, b)
+    return _ordered(a, b)
 
 
-def _across(key: np.ndarray, node: np.ndarray, prints: np.ndarray, root: np.ndarray, distance: int) -> Iterator[np.ndarray]:
-    """All pairs of a bucket within the distance whose roots differ."""
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    end = np.repeat(np.r_[first[1:], len(key)], np.diff(np.r_[first, len(key)]))
-    at, shift, a, b = np.arange(len(key)), 0, [], []
-    while True:
-        shift += 1
-        at = at[at + shift < end[at]]
-        if not len(at):
-            break
-        other = at[root[at] != root[at + shift]]
-        near = other[_far(prints[other], prints[other + shift]) <= distance]
-        a.append(node[near])
-        b.append(node[near + shift])
-        if sum(map(len, a)) > 200_000:
-            yield _ordered(a, b)
-            a, b = [], []
-    yield _ordered(a, b)
-
-
-def _compare(pairs_of: Callable, distance: int) -> Callable:
-    """Rows sorted by bucket: the candidate pairs that `pairs_of` finds in its buckets, the smaller node first."""
+def _candidates(distance: int) -> Callable:
+    """Rows sorted by bucket: pairs that span its buckets, the smaller node first."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def out(pairs: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], schema=schema)
+    def out(pairs: list[np.ndarray]) -> pa.RecordBatch:
+        different = np.unique(np.concatenate(pairs), axis=0)
+        return pa.record_batch([pa.array(np.ascontiguousarray(different[:, k])) for k in (0, 1)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        pairs, waiting = [], 0
+        pairs: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
             prints = np.stack([batch.column(k + 2).to_numpy() for k in range(WIDE)], 1).view(np.uint64)
-            # The last column is the root, or the node where roots aren't known yet.
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), prints, batch.column(1 if batch.num_columns == 2 + WIDE else 2 + WIDE).to_numpy()))
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), prints))
             if held[-1][0][-1] != held[0][0][0] and sum(len(h[0]) for h in held) > 100_000:
-                key, node, prints, root = (np.concatenate(h) for h in zip(*held, strict=True))
+                key, node, prints = (np.concatenate(h) for h in zip(*held, strict=True))
                 cut = int(np.flatnonzero(key != key[-1])[-1]) + 1
-                held = [(key[cut:], node[cut:], prints[cut:], root[cut:])]
-                for found in pairs_of(key[:cut], node[:cut], prints[:cut], root[:cut], distance):
-                    pairs.append(found)
-                    waiting += len(found)
-                    if waiting > 200_000:
-                        yield out(np.unique(np.concatenate(pairs), axis=0))
-                        pairs, waiting = [], 0
+                held = [(key[cut:], node[cut:], prints[cut:])]
+                pairs.append(_spanning(key[:cut], node[:cut], prints[:cut], distance))
+                if sum(map(len, pairs)) > 400_000:
+                    yield out(pairs)
+                    pairs = []
         if held:
-            for found in pairs_of(*(np.concatenate(h) for h in zip(*held, strict=True)), distance):
-                yield out(found)
-        if pairs:
-            yield out(np.unique(np.concatenate(pairs), axis=0))
+            yield out([*pairs, _spanning(*(np.concatenate(h) for h in zip(*held, strict=True)), distance)])
 
     return run
 
 
+def common(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many of the sorted hashes each of the others, none empty, has too."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    return np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum([0, *map(len, others[:-1])]))
+
+
 def _similar(similarity: float) -> Callable:
     """Rows (a, salt, side, node, set) sorted by the first three, a's own set at side 0: a, node if similar enough."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -412,8 +394,8 @@ def _similar(similarity: float) -> Callable:
                     continue
                 if hub != key:
                     raise RuntimeError("a candidate pair without its first set")
-                common = len(np.intersect1d(own, hashes, assume_unique=True))
-                if common / max(1, len(own) + len(hashes) - common) >= similarity:
+                both = int(common(own, [hashes])[0]) if len(own) and len(hashes) else 0
+                if both / max(1, len(own) + len(hashes) - both) >= similarity:
                     a.append(key)
                     b.append(node)
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
@@ -421,6 +403,55 @@ def _similar(similarity: float) -> Callable:
     return run
 
 
+def settle(root: np.ndarray, prints: np.ndarray, sets: list[np.ndarray], side: np.ndarray, distance: int, similarity: float, at_once: int = 32) -> list[tuple[int, int]]:
+    """Places of similar pairs, of one side and the other or both of side 0, that connect whatever such pairs of different roots connect.
+
+    The closest fingerprints are compared first, and nothing that is connected by then.
+    """
+    label, size, links = np.unique(root, return_inverse=True)[1], np.array([len(x) for x in sets]), []
+    for x in np.flatnonzero((side != 2) & (size > 0)).tolist():
+        others = np.flatnonzero(side == 2) if side[x] == 1 else np.flatnonzero(side[x + 1 :] == 0) + x + 1
+        alike = np.minimum(size[others], size[x]) >= similarity * np.maximum(size[others], size[x])
+        others = others[alike & (label[others] != label[x])]
+        far = _far(prints[others], prints[x][None])
+        others = others[far <= distance][np.argsort(far[far <= distance], kind="stable")]
+        while len(others):
+            part, others = others[:at_once], others[at_once:]
+            both = common(sets[x], [sets[y] for y in part])
+            for y in part[both >= similarity * (size[x] + size[part] - both)].tolist():
+                if label[y] != label[x]:
+                    links.append((x, y))
+                    label[label == label[y]] = label[x]
+            others = others[label[others] != label[x]]
+    return links
+
+
+def _settled(distance: int, similarity: float) -> Callable:
+    """Rows (task, side, root, node, fingerprint, set) sorted by task: links a, b of each task. One task's rows are held at a time."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        side, root, node, prints, sets = zip(*rows, strict=True)
+        pairs = settle(np.array(root), np.array(prints, np.int64).view(np.uint64).reshape(-1, WIDE), list(sets), np.array(side), distance, similarity)
+        ends = [[min(node[x], node[y]) for x, y in pairs], [max(node[x], node[y]) for x, y in pairs]]
+        return pa.record_batch([pa.array(e, pa.int64()) for e in ends], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, rows = None, []
+        for batch in slices(batches):
+            own = [c.to_pylist() for c in batch.columns[: 4 + WIDE]]
+            for key, one_side, root, node, *prints, packed in zip(*own, batch.column(4 + WIDE), strict=True):
+                if key != task and rows:
+                    yield links(rows)
+                    rows = []
+                task = key
+                rows.append((one_side, root, node, prints, np.frombuffer(packed.as_buffer(), np.uint64).copy()))
+        if rows:
+            yield links(rows)
+
+    return run
+
+
 def shingle_sets(slim: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """node, set of (node, __row, digest): read again from the rows of `slim`, of which few others shuffle."""
     met = Bloom(nodes, "__row").mark(slim, "row").where("__suspect").select("row", "text")
@@ -436,15 +467,13 @@ def shingle_sets(slim: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return rows.mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
 
 
-def similar_pairs(pairs: DataFrame, prints: DataFrame, slim: DataFrame, words: int, similarity: float) -> DataFrame:
+def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs a, b of nodes whose shingle sets have at least the Jaccard similarity.
 
     A node's set goes to at most as many places as there are shuffle partitions, and its
     pairs are dealt out among these; a task holds one set and a batch of others at a time.
     """
-    n = width(slim.sparkSession)
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = durable(shingle_sets(slim, durable(prints.select("node", "__least.row", "digest").withColumnRenamed("row", "__row").join(wanted, "node")), words))
+    n = width(pairs.sparkSession)
     salted = pairs.withColumns({"salt": F.pmod(F.xxhash64("b"), F.lit(n)), "place": F.pmod(F.xxhash64("a"), F.lit(n))})
     hubs = salted.select("a", "salt").distinct().join(sets, F.col("a") == F.col("node")).select("a", "salt", F.lit(0).alias("side"), "node", "set")
     placed = salted.select("b", "place").distinct().join(sets, F.col("b") == F.col("node")).select("b", "place", "set")
@@ -453,51 +482,46 @@ def similar_pairs(pairs: DataFrame, prints: DataFrame, slim: DataFrame, words: i
 
 
 def near_links(prints: DataFrame, slim: DataFrame, words: int, similarity: float) -> DataFrame:
-    """a, b: links that connect all candidate pairs of nodes with at least the similarity.
+    """a, b: links that connect the nodes that candidate pairs of at least the similarity connect.
 
     Only pairs whose exact similarity was checked are links. Each node is first checked
-    against its smallest candidate, then what is left of the pairs that span the buckets.
-    Where one of these isn't similar enough, others across it may be: there all pairs of a
-    bucket between what isn't connected yet are checked, if their fingerprints differ by at
-    most DOUBT standard deviations more than the similarity makes them.
+    against its smallest candidate. Where a pair that spans a bucket isn't connected by
+    these, its similarity or that of others across it is in doubt: there all texts that such
+    pairs lead to meet in blocks, whose pairs are compared where they are and never listed.
     """
     parts = [f"f{k}" for k in range(WIDE)]
     fields = ", ".join(f"{p} long" for p in parts)
+    n = width(slim.sparkSession)
     wide, samples = samples_for(prints.count(), similarity)
-
-    def candidates(nodes: DataFrame, pairs_of: Callable, deviations: float) -> DataFrame:
-        probes = nodes.mapInArrow(lambda b: _probes(b, wide, samples), f"bucket long, node long, {fields}" + (", root long" if "root" in nodes.columns else ""))
-        met = probes.repartition(width(slim.sparkSession), "bucket").sortWithinPartitions("bucket", "node")
-        return durable(met.mapInArrow(_compare(pairs_of, distance_for(similarity, deviations)), "a long, b long").distinct())
-
-    def roots(links: DataFrame) -> DataFrame:
-        return durable(connected_components(links, "a", "b"))
-
-    def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
-        left = known.select(F.col("node").alias("a"), F.col("root").alias("__a"))
-        right = known.select(F.col("node").alias("b"), F.col("root").alias("__b"))
-        both = pairs.join(left, "a", "left").join(right, "b", "left")
-        return both.withColumns({"__a": F.coalesce("__a", "a"), "__b": F.coalesce("__b", "b")}).where("__a <> __b")
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        return durable(similar_pairs(pairs, prints, slim, words, similarity))
-
-    pairs = candidates(prints.select("node", *parts), _spanning, DEVIATIONS)
+    distance = distance_for(similarity)
+    probes = prints.select("node", *parts).mapInArrow(lambda b: _probes(b, wide, samples), f"bucket long, node long, {fields}")
+    spanning = probes.repartition(n, "bucket").sortWithinPartitions("bucket", "node").mapInArrow(_candidates(distance), "a long, b long")
+    pairs = durable(spanning.distinct())
     if pairs.isEmpty():
         return pairs
-    links = checked(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    left = durable(apart(pairs, roots(links)).select("a", "b"))
-    if left.isEmpty():
-        return links
-    links = links.unionByName(checked(left))
-    known = roots(links)
-    doubt = apart(left, known)
-    doubt = durable(doubt.select(F.col("__a").alias("root")).unionByName(doubt.select(F.col("__b").alias("root"))).distinct())
+    wanted = durable(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    rows = prints.select("node", F.col("__least.row").alias("__row"), "digest").join(wanted, "node")
+    sets = durable(shingle_sets(slim, durable(rows), words))
+    links = durable(similar_pairs(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, similarity))
+    known = wanted.join(connected_components(links, "a", "b"), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    known = durable(known)
+    left, right = known.select(F.col("node").alias("a"), F.col("root").alias("__a")), known.select(F.col("node").alias("b"), F.col("root").alias("__b"))
+    doubt = durable(pairs.join(left, "a").join(right, "b").where("__a <> __b").select("__a", "__b").distinct())
     if doubt.isEmpty():
         return links
-    rooted = prints.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")).join(doubt, "root", "left_semi")
-    across = durable(candidates(rooted.select("node", *parts, "root"), _across, DOUBT).join(left, ["a", "b"], "left_anti"))
-    return links if across.isEmpty() else links.unionByName(checked(across))
+    crowds = connected_components(doubt, "__a", "__b").select(F.col("node").alias("root"), F.col("root").alias("crowd"))
+    sized = known.join(crowds, "root").join(sets.select("node", F.octet_length("set").alias("bytes")), "node")
+    sized = durable(sized)
+    blocks = durable(sized.groupBy("crowd").agg(F.count(F.lit(1)).alias("size"), F.sum("bytes").alias("bytes")).select(
+        "crowd", "size", F.ceil(F.greatest(F.col("size") / BLOCK, F.col("bytes") / BLOCK_BYTES, F.lit(1.0))).cast("int").alias("blocks")
+    ))
+    met = join_by_key(sized.drop("bytes"), blocks, "crowd", "size", sized.count())
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = met.withColumn("mine", mine).select("node", "root", "crowd", F.explode(block_pairs(F.col("mine"), F.col("blocks"))).alias("t"))
+    tasks = dealt.select(F.xxhash64("crowd", "t.i", "t.j").alias("task"), "t.side", "root", "node")
+    tasks = tasks.join(prints.select("node", *parts), "node").join(sets, "node").select("task", "side", "root", "node", *parts, "set")
+    more = tasks.repartition(n, "task").sortWithinPartitions("task").mapInArrow(_settled(distance, similarity), "a long, b long")
+    return links.unionByName(durable(more))
 
 
 def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

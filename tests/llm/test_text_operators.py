@@ -279,8 +279,10 @@ def test_near_copies_of_repeated_and_null_ids(spark):
     assert (3, text[3]) in out and (None, text[5]) in out
 
 
-def test_near_groups_equal_brute_force(spark):
-    """Crowds in which some pairs are similar enough only to others than the first."""
+@pytest.mark.parametrize("block", [4096, 7])
+def test_near_groups_equal_brute_force(spark, monkeypatch, block):
+    """Crowds in which some pairs are similar enough only to others than the first, in one block and in several."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
     r = random.Random(11)
     docs = []
     for i in range(4):
