@@ -2,7 +2,9 @@
 
 Normalised vectors are projected on Gaussian directions and the projections quantised; a
 bucket is a tuple of several. In each of multiple tables, vectors that share a bucket are
-compared by their exact cosine. Copies of a vector count as one class throughout.
+compared by their exact cosine, and a pair counts in the first table in which it meets.
+Copies of a vector count as one class throughout. Pairs are counted and connected where
+they are found and never listed.
 """
 
 from __future__ import annotations
@@ -15,11 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, join_by_key
+from .common import block_pairs, durable, join_by_key, width
 from .components import connected_components
+from .simhash import stars
 
-#: Quantisation step, the chance to miss a pair at the threshold, most members compared at once.
+#: Quantisation step, the chance to miss a pair at the threshold, members of a block of a crowded bucket.
 STEP, MISS, BLOCK = 2.0, 0.001, 2048
+#: Rows of a block compared with another at once, and rows whose tasks are worked off together.
+STRIPE, HELD = 128, 20_000
 
 
 def hit_rate(distance: float, step: float = STEP) -> float:
@@ -45,80 +50,143 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a column of arrays one behind the other, and the arrays' lengths."""
+    return column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())
+
+
+def _by_size(flat: np.ndarray, sizes: np.ndarray):
+    """(rows, their vectors as a matrix) for each length of the vectors."""
+    starts = np.cumsum(sizes) - sizes
+    for size in np.unique(sizes).tolist():
+        own = np.flatnonzero(sizes == size)
+        yield own, flat[starts[own][:, None] + np.arange(size)]
+
+
 def _hash(k: int, tables: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mix = np.random.default_rng([seed, 1]).integers(1, 2**62, k, dtype=np.int64) * 2 + 1
         for batch in batches:
-            classes, vectors = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            by_size: dict[int, list[int]] = {}
-            for i, v in enumerate(vectors):
-                by_size.setdefault(len(v), []).append(i)
-            for dim, own in by_size.items():
+            keys = np.zeros((batch.num_rows, tables), np.int64)
+            for own, vectors in _by_size(*_lists(batch.column(1))) if batch.num_rows else ():
+                dim = vectors.shape[1]
                 directions, shifts = _directions(dim, k, tables, seed)
-                units = _unit(np.array([vectors[i] for i in own], np.float64))
-                cells = np.floor((units @ directions + shifts) / STEP).astype(np.int64).reshape(len(own), tables, k)
-                keys = (cells * mix).sum(2) * np.int64(0x9E3779B97F4A7C1) + np.arange(tables) + dim * 1000
-                yield pa.record_batch([
-                    pa.array(np.repeat(classes[own], tables)), pa.array(keys.ravel()),
-                ], names=["class", "bucket"])
+                for low in range(0, len(own), HELD):
+                    part = slice(low, low + HELD)
+                    cells = np.floor((_unit(vectors[part]) @ directions + shifts) / STEP).astype(np.int64).reshape(-1, tables, k)
+                    keys[own[part]] = (cells * mix).sum(2) * np.int64(0x9E3779B97F4A7C1) + np.arange(tables) + dim * 1000
+            yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * tables, keys.ravel())], names=["class", "keys"])
 
     return run
 
 
-def _compare(cosine: float):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+class _Task:
+    """Rows of whole tasks, sorted by task, with vectors of one size; finds which link, and were not met in an earlier table."""
+
+    def __init__(self, task: np.ndarray, own: np.ndarray, table: np.ndarray, side: np.ndarray, label: np.ndarray, copies: np.ndarray, keys: np.ndarray, vectors: np.ndarray, cosine: float):
+        self.own, self.table, self.side, self.label, self.copies, self.keys, self.cosine = own, table, side, label, copies, keys, cosine
+        self.units = _unit(vectors)
+        self.bounds = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
+
+    def _new(self, p: np.ndarray, q: np.ndarray, table: int) -> np.ndarray:
+        """Which pairs of rows are of two classes with one label that share no bucket of an earlier table."""
+        new = (self.own[p] != self.own[q]) & (self.label[p] == self.label[q])
+        for t in range(table):
+            new &= self.keys[p, t] != self.keys[q, t]
+        return new
+
+    def rows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(class, rows linked to it, a class that it is connected with), a row for each class of a task that has links."""
+        size = np.diff(self.bounds)
+        p = self.bounds[:-1][size == 2]
+        p = p[(self.side[p] == 0) | (self.side[p] != self.side[p + 1])]
+        p = p[np.einsum("ij,ij->i", self.units[p], self.units[p + 1]) >= self.cosine]
+        same = self.keys[p] == self.keys[p + 1]
+        p = p[(self.own[p] != self.own[p + 1]) & (self.label[p] == self.label[p + 1]) & ~(same & (np.arange(same.shape[1]) < self.table[p][:, None])).any(1)]
+        least = np.minimum(self.own[p], self.own[p + 1])
+        yield np.r_[self.own[p], self.own[p + 1]], np.r_[self.copies[p + 1], self.copies[p]], np.r_[least, least]
+        for low, n in zip(self.bounds[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
+            yield self._crowd(np.arange(low, low + n))
+
+    def _crowd(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        table, none = int(self.table[at[0]]), np.zeros(0, np.int64)
+        if any((self.keys[at, t] == self.keys[at[0], t]).all() for t in range(table)):
+            return none, none, none  # an earlier table had them all in one bucket
+        x, y = at[self.side[at] != 2], at[self.side[at] != 1]
+        across = bool(len(x)) and self.side[x[0]] == 1
+        linked, links = np.zeros(len(self.own), np.int64), [np.zeros((0, 2), np.int64)]
+        for low in range(0, len(x), STRIPE):
+            part = x[low : low + STRIPE]
+            i, j = np.nonzero(self.units[part] @ self.units[y].T >= self.cosine)
+            p, q = part[i], y[j]
+            new = self._new(p, q, table)
+            p, q = p[new], q[new]
+            linked += np.bincount(p, self.copies[q], len(linked)).astype(np.int64)
+            if across:
+                linked += np.bincount(q, self.copies[p], len(linked)).astype(np.int64)
+            if len(p):
+                links.append(stars(self.own[p], self.own[q]))
+        found = at[linked[at] > 0]
+        own = self.own[found]
+        links = np.concatenate(links)
+        root = dict(stars(links[:, 0], links[:, 1])[:, ::-1].tolist()) if len(links) else {}
+        return own, linked[found], np.array([root.get(c, c) for c in own.tolist()], np.int64)
+
+
+def _compare(cosine: float, tables: int):
+    """Rows (task, class, table, side, label, copies, keys, embedding) sorted by task. Whole tasks are held, about HELD rows of small ones at once."""
+    schema = pa.schema([("class", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+
+    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        task, own, table, side = (batch.column(k).to_numpy() for k in range(4))
+        label = np.unique(batch.column(4).to_pylist(), return_inverse=True)[1]
+        copies, keys = batch.column(5).to_numpy(), _lists(batch.column(6))[0].reshape(-1, tables)
+        out = []
+        for rows, vectors in _by_size(*_lists(batch.column(7))):
+            out += _Task(task[rows], own[rows], table[rows], side[rows], label[rows], copies[rows], keys[rows], vectors, cosine).rows()
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+        yield pa.record_batch([pa.array(c) for c in columns], schema=schema)
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        task, own, vectors = table["task"].to_numpy(), table["class"].to_numpy(), table["embedding"].to_pylist()
-        side = table["side"].to_numpy()
-        order = np.argsort(task, kind="stable")
-        bounds = np.flatnonzero(np.r_[True, task[order][1:] != task[order][:-1], True])
-        a, b = [], []
-        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-            if high - low < 2:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            at = order[low:high]
-            if len({len(vectors[i]) for i in at}) > 1:
+            task = batch.column(0).to_numpy()
+            cut = int(np.flatnonzero(np.r_[True, task[1:] != task[:-1]])[-1])  # where the last task begins
+            if cut == 0 and held and held[-1].column(0)[-1].as_py() == task[0]:
+                held.append(batch)  # one task goes on
                 continue
-            units = _unit(np.array([vectors[i] for i in at], np.float64))
-            x, y = np.flatnonzero(side[at] != 2), np.flatnonzero(side[at] != 1)
-            for part in range(0, len(x), BLOCK):
-                i, j = np.nonzero(units[x[part : part + BLOCK]] @ units[y].T >= cosine)
-                p, q = own[at[x[part + i]]], own[at[y[j]]]
-                a.append(np.minimum(p, q)[p != q])
-                b.append(np.maximum(p, q)[p != q])
-        none = np.zeros(0, np.int64)
-        pairs = np.unique(np.stack([np.concatenate([none, *a]), np.concatenate([none, *b])], 1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])}, schema)
+            held.append(batch.slice(0, cut))
+            if sum(b.num_rows for b in held) >= HELD:
+                yield from found(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield from found(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
     return run
 
 
 def embedding_links(classes: DataFrame, count: int, cosine: float = 0.98, seed: int = 4) -> DataFrame:
-    """a, b: linked classes of (class long, label, embedding array<double>), a < b.
+    """class, links, root: rows linked to a class in one task, and a class that these links connect it with.
 
-    A bucket of more than BLOCK members is compared by blocks, each pair of blocks a task of
-    its own, so no task holds more than two blocks' vectors at a time.
+    `classes` has class long, label, copies and embedding array<double>. A bucket of more
+    than BLOCK members is compared by blocks, each pair of blocks a task of its own, so no
+    task holds more than two blocks' vectors at a time. A task gives at most one row for
+    each of its members.
     """
     k, tables = tables_for(count, cosine)
-    hashed = classes.select("class", "embedding").mapInArrow(_hash(k, tables, seed), "class long, bucket long")
-    slim = durable(hashed.join(classes.select("class", "label"), "class").select("class", F.xxhash64("label", "bucket").alias("bucket")))
-    sizes = slim.groupBy("bucket").count().where("count > 1").select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    hashed = durable(classes.select("class", "embedding").mapInArrow(_hash(k, tables, seed), "class long, keys array<long>"))
+    known = classes.select("class", F.col("label").cast("string").alias("label"), "copies", "embedding").join(hashed, "class")
+    slim = durable(known.select("class", "label", F.posexplode("keys").alias("table", "key")).select("class", "table", F.xxhash64("label", "table", "key").alias("bucket")))
+    sizes = durable(slim.groupBy("bucket").count().where("count > 1").select("bucket", "count", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    met = join_by_key(slim, sizes, "bucket", "count", count * tables)
     mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    # Row i of the block grid takes block i as its first side, column j as its second; i <= j.
-    tasks = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda o: F.struct(F.least(o, F.col("mine")).alias("i"), F.greatest(o, F.col("mine")).alias("j"),
-                           F.when(o == F.col("mine"), 0).when(F.col("mine") < o, 1).otherwise(2).alias("side")),
-    )
-    dealt = slim.join(sizes, "bucket").withColumn("mine", mine).select("class", "bucket", F.explode(tasks).alias("t")).select(
-        "class", F.xxhash64("bucket", "t.i", "t.j").alias("task"), "t.side"
-    )
-    shards = F.pmod("task", F.lit(max(8, count * tables // 50_000))).cast("int")
-    return (
-        dealt.join(classes.select("class", "embedding"), "class").withColumn("shard", shards)
-        .groupBy("shard").applyInArrow(_compare(cosine), "a long, b long").distinct()
-    )
+    dealt = met.withColumn("mine", mine).select("class", "table", "bucket", F.explode(block_pairs(F.col("mine"), F.col("blocks"))).alias("t"))
+    tasks = dealt.select("class", F.xxhash64("bucket", "t.i", "t.j").alias("task"), "table", "t.side").join(known, "class")
+    rows = tasks.select("task", "class", "table", "side", "label", "copies", "keys", "embedding")
+    return rows.repartition(width(classes.sparkSession), "task").sortWithinPartitions("task").mapInArrow(_compare(cosine, tables), "class long, links long, root long")
 
 
 def embedding_dedup(vectors: DataFrame, cosine: float = 0.98, seed: int = 4, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
@@ -144,11 +212,10 @@ def embedding_dedup(vectors: DataFrame, cosine: float = 0.98, seed: int = 4, vec
             F.min("vec_id").alias("__least"), F.count(F.lit(1)).alias("__copies"), F.first("label").alias("label"), F.first(v).alias("embedding")
         ).withColumn("class", F.monotonically_increasing_id())
     )
-    links = durable(embedding_links(classes.select("class", "label", "embedding"), classes.count(), cosine, seed))
-    roots = connected_components(links, "a", "b")
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    found = durable(embedding_links(classes.select("class", "label", F.col("__copies").alias("copies"), "embedding"), classes.count(), cosine, seed))
+    roots = connected_components(found, "class", "root")
     known = classes.select("class", "__key", "__least", "__copies")
-    degree = both.join(known.select(F.col("class").alias("b"), F.col("__copies").alias("__c")), "b").groupBy("a").agg(F.sum("__c").alias("__others"))
+    degree = found.groupBy("class").agg(F.sum("links").alias("__others")).withColumnRenamed("class", "a")
     rooted = known.join(roots, known["class"] == roots["node"], "left").withColumn("__root", F.coalesce("root", "class")).drop("node", "root")
     least = rooted.groupBy("__root").agg(F.min("__least").alias("__component"))
     named = rooted.join(least, "__root").join(degree, rooted["class"] == degree["a"], "left").select(

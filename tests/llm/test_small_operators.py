@@ -329,3 +329,23 @@ def test_embeddings_odd(spark, monkeypatch):
     exact = [(i, v if v is None else [None if x is None else float(np.float32(x)) for x in v], k) for i, v, k in rows]
     assert sorted(tuple(x) for x in embedding_dedup.embedding_dedup(df).collect()) == brute_embeddings(exact)
     assert embedding_dedup.embedding_dedup(df.limit(0)).count() == 0
+
+
+def test_embeddings_of_a_crowd(spark):
+    """Thousands of vectors of one direction and others near it: links counted once each, no pair listed."""
+    r = np.random.default_rng(5)
+    base = r.standard_normal(16)
+    rows = [(i, (base + (0.01 if i % 3 else 0.2) * r.standard_normal(16)).tolist(), "ab"[i % 2]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {x["vec_id"]: tuple(x) for x in embedding_dedup.embedding_dedup(df).collect()}
+    want, ids = {}, np.array([i for i, _, _ in rows])
+    for k in "ab":
+        own = ids[[y == k for _, _, y in rows]]
+        u = np.array([rows[i][1] for i in own])
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        near = u @ u.T >= 0.98
+        want |= dict(zip(own.tolist(), (near.sum(1) - 1).tolist(), strict=True))
+    total = sum(want.values())
+    assert total > 1_000_000 and sum(x[1] for x in got.values()) >= 0.998 * total and all(x[1] <= want[i] for i, x in got.items())
+    found = embedding_dedup.embedding_links(df.selectExpr("vec_id AS class", "label", "1L AS copies", "embedding"), 3000)
+    assert found.count() < 30 * 3000
