@@ -145,7 +145,8 @@ def runs(units, length: int, gram: int) -> tuple[np.ndarray, ...]:
         count = np.diff(np.r_[first, n])
         first, count = first[inside[first]], count[inside[first]]
         content = mixed((prefix[first + count + length - 1] - prefix[first]) * inverse[first] + count.astype(np.uint64))
-        parts.append((grams[anchor[first]], first + low, count, content))
+        # Least hashes are small numbers: mixed once more, they fill the buckets evenly.
+        parts.append((mixed(grams[anchor[first]] + _BASE), first + low, count, content))
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
@@ -368,7 +369,7 @@ def remove_repeats(docs: DataFrame, kind, length: int, gram: int, matcher: Calla
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     total = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     batches = max(1, -(-total // batch_bytes))
-    bits = max(0, (batches - 1).bit_length())
+    bits = max(batches - 1, width(docs.sparkSession) - 1).bit_length()
     dealt = slim.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")).select("batch", "doc_id", "text")
     blobs = "batch int, bucket int, a binary, b binary"
     own = dealt.groupBy("batch")
