@@ -16,16 +16,26 @@ def durable(df: DataFrame) -> DataFrame:
     """`df`, computed once and kept in the cluster's shared checkpoint folder.
 
     Lost executors don't lose it, and later passes read it instead of the texts. The
-    folder is the session's spark.checkpoint.dir; only where that is unset, as in tests,
-    a temporary one is taken.
+    folder is the session's spark.checkpoint.dir or that given to setCheckpointDir; only
+    in local mode, as in tests, a temporary one is taken where neither is set.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that all executors share. A cluster without one is an error."""
+    context = spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    named = context.getConf().get("spark.checkpoint.dir")
+    if named or known.isDefined():
+        return named or known.get()
+    if not context.master.startswith("local[") and context.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def fold_ascii(text: Column) -> Column:
     """A-Z to a-z; no other character changes. Null: empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -9,7 +9,7 @@ that advance together as arrays; no phrase crosses from one to the next.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,7 +28,10 @@ A_TEXT, SYMBOLS, STRETCH = 1_000, 56, 256
 #: Texts parsed at once, in characters.
 AT_ONCE = 1_500_000
 
-_LETTER = re.compile(r"[^\W\d_]")
+
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter (category L), as \\p{L} says."""
+    return any(unicodedata.category(c)[0] == "L" for c in text)
 
 
 def references(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, list[str]]:
@@ -156,7 +159,7 @@ def identify(docs: DataFrame, texts: dict[str, list[str]], text: str = "text", l
 
         def judged(own: list) -> list[tuple[str, float]]:
             out = [("und", 0.0)] * len(own)
-            real = [i for i, t in enumerate(own) if t and parser.langs and _LETTER.search(t)]
+            real = [i for i, t in enumerate(own) if t and parser.langs and has_letter(t)]
             if real:
                 bits = parser.bits([own[i] for i in real])
                 best = bits.argmin(1)

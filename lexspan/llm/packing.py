@@ -236,22 +236,27 @@ def pack(docs: DataFrame, tokenizer: str, size: int = WINDOW, open_windows: int
 
 
 def sequences(docs: DataFrame, pieces: DataFrame, tokenizer: str, end: int = END, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """sequence_id, ids array<int>: the packed token ids themselves, for unique doc_ids."""
+    """sequence_id, ids array<int>: the packed token ids themselves.
+
+    A piece takes its ids from a document with its doc_id, as many tokens and the same
+    checksum of its ids, so documents that share an id are told apart.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         tokens = encoder(tokenizer)
         for batch in batches:
-            texts, starts, lengths = (batch[c].to_pylist() for c in ("text", "start", "length"))
-            for at, (ids, start, length) in enumerate(zip(tokens.batch([t or "" for t in texts]), starts, lengths, strict=True)):
-                ids = np.frombuffer(ids + end.to_bytes(4, "little"), "<i4")[start : start + length]
-                yield pa.RecordBatch.from_arrays(
-                    [batch["sequence_id"].slice(at, 1), batch["offset"].slice(at, 1), pa.array([ids], pa.list_(pa.int32()))],
-                    ["sequence_id", "offset", "ids"],
-                )
+            for at, (text, start, length, crc, total) in enumerate(zip(*(batch[c].to_pylist() for c in ("text", "start", "length", "ids_crc32", "doc_tokens")), strict=True)):
+                ids = np.frombuffer(tokens.encode(text or "") + end.to_bytes(4, "little"), "<i4")
+                own = ids[start : start + length]
+                if len(ids) == total and zlib.crc32(own.tobytes()) == crc:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch["sequence_id"].slice(at, 1), batch["offset"].slice(at, 1), pa.array([own], pa.list_(pa.int32()))],
+                        ["sequence_id", "offset", "ids"],
+                    )
 
     own = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
-    joined = pieces.join(own, pieces["doc_id"].eqNullSafe(own["__id"])).select("sequence_id", "offset", "start", "length", "text")
+    joined = pieces.join(own, pieces["doc_id"].eqNullSafe(own["__id"])).select("sequence_id", "offset", "start", "length", "ids_crc32", "doc_tokens", "text")
     parts = joined.mapInArrow(cut, "sequence_id long, offset long, ids array<int>")
-    return parts.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))
+    return parts.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_set(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids"))

@@ -61,7 +61,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     sample = toxicity.training_rows(docs, labels.where(language_id.fold("doc_id", 5) != 0))
     judged = toxicity.score_documents(docs, toxicity.train(*sample), keep=["doc_id"])
-    return judged.select("doc_id", (language_id.fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return judged.select("doc_id", (language_id.fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "spans")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,10 @@ computable alone (`place`), and the shuffle can be inverted (`number`).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import durable
 from .numbering import PRIME, STEP, running_total
 
 ROUNDS = 6
@@ -110,7 +111,26 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 1, doc_id: str = "
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, seed: int = 1, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Writes `docs` as Parquet in folders shard=0.., each file in slot order. doc_id must be unique here."""
-    plan = shard_rows(docs, shards, seed, doc_id, text).select(F.col("doc_id").alias("__id"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
-    rows = docs.join(plan, docs[doc_id].eqNullSafe(plan["__id"])).drop("__id")
-    rows.repartition(shards, "__shard").sortWithinPartitions("__shard", "__slot").write.partitionBy("__shard").parquet(path)
+    """Writes `docs` as Parquet in folders __shard=0.., each file in slot order with the column __slot.
+
+    Any ids may repeat or be null: rows of one id, size and checksum are numbered, and each
+    takes a place of its own. Columns of `docs` named __shard or __slot are replaced. Empty
+    table: a folder without rows.
+    """
+    crc = F.crc32(F.coalesce(docs[text], F.lit("")))
+    names = [c for c in docs.columns if c.lower() not in ("__shard", "__slot")]
+    alike = Window.partitionBy("__id", "__crc", "__size")
+    size = (F.coalesce(F.octet_length(docs[text]), F.lit(0)).cast("long") + 16).alias("__size")
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), docs[doc_id].cast("long").alias("__id"), crc.alias("__crc"), size)
+    plan = durable(shard_rows(docs, shards, seed, doc_id, text).select(
+        F.col("doc_id").alias("__i"), F.col("text_crc32").alias("__c"), F.col("size").alias("__z"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot"),
+    ))
+    same = Window.partitionBy("__i", "__c", "__z")
+    plan = plan.withColumns({"__copies": F.count(F.lit(1)).over(same), "__copy": F.row_number().over(same.orderBy("__shard", "__slot"))})
+    on = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__crc") == F.col("__c")) & (F.col("__size") == F.col("__z"))
+    placed = rows.join(plan.where("__copies = 1"), on)
+    # Only rows that are alike in all three are numbered, and so shuffled once more.
+    several = rows.join(plan.where("__copies > 1 AND __copy = 1").select("__i", "__c", "__z"), on, "left_semi").withColumn("__copy", F.row_number().over(alike.orderBy(F.lit(0))))
+    again = plan.where("__copies > 1").withColumnRenamed("__copy", "__n")
+    placed = placed.select("row.*", "__shard", "__slot").unionByName(several.join(again, on & (F.col("__copy") == F.col("__n"))).select("row.*", "__shard", "__slot"))
+    placed.repartition(shards, "__shard").sortWithinPartitions("__shard", "__slot").write.partitionBy("__shard").parquet(path)

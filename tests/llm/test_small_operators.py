@@ -115,6 +115,13 @@ def test_shards(odd, none, spark, tmp_path):
     docs = spark.range(100).selectExpr("id doc_id", "concat('t', id) text")
     sharding.write_shards(docs, f"{tmp_path}/s", 4)
     assert Counter(r["__shard"] for r in spark.read.parquet(f"{tmp_path}/s").collect()) == {k: 25 for k in range(4)}
+    # Repeated rows, null ids and texts, names that clash: each row is written once, in its own place.
+    clash = crowded(odd).selectExpr("*", "'x' AS __shard", "1 AS __SLOT")
+    sharding.write_shards(clash, f"{tmp_path}/odd", 5, 3)
+    out = spark.read.parquet(f"{tmp_path}/odd").collect()
+    assert sorted((r["__shard"], r["__slot"]) for r in out) == sorted((r["shard"], r["slot"]) for r in rows)
+    assert Counter((r["doc_id"], r["text"]) for r in out) == Counter((i, t) for i, t, *_ in ODD)
+    sharding.write_shards(none, f"{tmp_path}/none")
 
 
 def poured(sizes, weights, share=1.5, most=2.0):
@@ -224,6 +231,16 @@ def test_packing_whole_table(spark):
     assert {r["sequence_id"]: len(r["ids"]) for r in sequences.collect()} == lengths
 
 
+def test_sequences_of_repeated_ids(odd):
+    path = queries.tokenizer_path()
+    pieces = packing.pack(odd, path, size=64, open_windows=2, pad=4)
+    total = {r["sequence_id"]: r["n"] for r in pieces.groupBy("sequence_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
+    got = {r["sequence_id"]: r["ids"] for r in packing.sequences(odd, pieces, path).collect()}
+    assert {k: len(v) for k, v in got.items()} == total
+    for r in pieces.collect():
+        assert zlib.crc32(np.array(got[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]], "<u4").tobytes()) == r["ids_crc32"]
+
+
 def test_packing_odd(odd, none):
     e = packing.encoder(queries.tokenizer_path()).tokenizer
     rows = packing.pack(crowded(odd), queries.tokenizer_path(), size=64, open_windows=2, pad=4).collect()

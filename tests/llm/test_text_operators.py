@@ -309,6 +309,10 @@ def test_language_of_odd_texts(odd, none):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(crowded(odd), texts).collect()}
     assert got[3] == got[4] == got[5] == ("und", 0.0) and got[1][0] in texts
     assert {r["lang_pred"] for r in language_id.identify(odd, {}).collect()} == {"und"}
+    signs = odd.sparkSession.createDataFrame([(k, t) for k, t in enumerate(["²", "½①", "Ⅷ", "12 _ %", "²a", "漢", "ª"])], "doc_id long, text string")
+    judged = {r["doc_id"]: r["lang_pred"] == "und" for r in language_id.identify(signs, texts).collect()}
+    assert [judged[k] for k in range(7)] == [True, True, True, True, False, False, False]
+    assert {r["doc_id"] for r in language_id.with_letters(signs).collect()} == {4, 5, 6}
     assert language_id.identify(none, texts).count() == 0 and language_id.references(none) == {}
 
 
