@@ -1,7 +1,7 @@
 """Removal of repeated byte strings by a hash-compared suffix sort.
 
-Suffixes are sorted by a bottom-up mergesort. Two are compared by their prefix polynomial
-hashes: a binary search over hash equality finds how far they agree, so a comparison takes
+Suffixes are grouped by their first sixteen bytes, and each group is sorted by a bottom-up
+mergesort. Two suffixes are compared by their prefix polynomial hashes: a binary search over hash equality finds how far they agree, so a comparison takes
 a logarithmic number of steps, and the next byte decides. Neighbours in the sorted order
 that agree over the whole length are then compared byte by byte; if hashes collided, the
 sort is done again with another base. All comparisons of a pass run as array operations.
@@ -15,13 +15,15 @@ from pyspark.sql import DataFrame
 from . import repeats
 
 LENGTH, GRAM = 50, 26
+#: Leading bytes by which suffixes are grouped before they are sorted.
+LEADING = 16
 
 
 class Suffixes:
     """Stretches of a buffer that can be compared by hashes."""
 
     def __init__(self, buffer: np.ndarray, base: int):
-        self.buffer = np.r_[buffer, np.zeros(1, np.uint8)]
+        self.buffer = np.r_[buffer, np.zeros(LEADING, np.uint8)]
         rng = np.random.default_rng(base % 2**32)
         self.prefix = repeats.prefix_hashes(rng.integers(0, 2**64, 256, dtype=np.uint64)[buffer], base)
         self.inverse = repeats.powers(len(buffer) + 1, base)[1]
@@ -50,10 +52,18 @@ class Suffixes:
 
     def sort(self, start: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Order of the stretches inside each group; groups are contiguous and stay in place."""
+        if not len(start):
+            return np.zeros(0, np.int64)
+        at = np.arange(LEADING)
+        leading = np.where(at < size[:, None], self.buffer[start[:, None] + at], 0).astype(np.uint8).view(">u8").astype(np.uint64)
+        first = np.lexsort((leading[:, 1], leading[:, 0], group))
+        kind = np.c_[group[first].astype(np.uint64), leading[first]]
+        return first[self._merge(start[first], size[first], np.cumsum(np.r_[False, (kind[1:] != kind[:-1]).any(1)]))]
+
+    def _merge(self, start: np.ndarray, size: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """The mergesort of each group."""
         n = len(start)
         order = np.arange(n)
-        if not n:
-            return order
         begins = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
         sizes = np.diff(np.r_[begins, n])
         begin, total = np.repeat(begins, sizes), np.repeat(sizes, sizes)
