@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, join_by_key
+from .common import durable, join_by_key, width
+
+#: Links that a task works on at least, so that a few links don't make a thousand small files.
+LINKS_A_TASK = 50_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -20,19 +23,22 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     in which the nodes with very many links are broadcast; its result is checkpointed.
     Nulls and links from a node to itself are left out. No links: no rows.
     """
+    most = width(links.sparkSession)
     u, v = F.col(a).cast("long"), F.col(b).cast("long")
     edges = durable(links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where("u > v").distinct())
     state = _state(edges)
     while state[0]:
+        tasks = min(most, 1 + state[0] // LINKS_A_TASK)
+        edges = edges.coalesce(tasks)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n")).coalesce(tasks)
         # Large star: neighbours above u go to the smallest of u and its neighbours.
-        large = join_by_key(both, least, "u", "n", 2 * state[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = join_by_key(both, least, "u", "n", 2 * state[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(tasks)
         # Small star: u and its smaller neighbours go to the smallest of those.
         large = durable(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).coalesce(tasks)
         pairs = F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-        edges = durable(join_by_key(large, least, "u", "n", state[0]).select(pairs.alias("e")).select("e.u", "e.v").where("u > v").distinct())
+        edges = durable(join_by_key(large, least, "u", "n", state[0]).select(pairs.alias("e")).select("e.u", "e.v").where("u > v").distinct().coalesce(tasks))
         before, state = state, _state(edges)
         if state == before:
             break
