@@ -60,11 +60,13 @@ def searchable(chunks: DataFrame) -> DataFrame:
 def in_ingest_order(chunks: DataFrame) -> DataFrame:
     """Adds doc_ord, the rank of the chunk's file by collated path: the tie-break of searches.
 
-    Files are ranked by range partitions and their counts, so no single task sorts them all.
+    Files are ranked by a fixed number of range partitions and their counts, so no single
+    task sorts them all. The ranges are kept while the ranks are made from them.
     """
     files = chunks.select("file").distinct()
     ranged = files.withColumn("__key", F.expr("file COLLATE UNICODE"))
-    sorted_ = ranged.repartitionByRange("__key").sortWithinPartitions("__key", "file").withColumn("__id", F.monotonically_increasing_id())
+    ranges = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = ranged.repartitionByRange(ranges, "__key", "file").sortWithinPartitions("__key", "file").withColumn("__id", F.monotonically_increasing_id()).persist()
     parts = sorted_.withColumn("__part", F.shiftright("__id", 33).cast("int")).withColumn("__at", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
     before = parts.groupBy("__part").count().withColumn("__before", F.sum("count").over(Window.orderBy("__part")) - F.col("count")).select("__part", "__before")
     ranks = parts.join(before, "__part").select("file", (F.col("__before") + F.col("__at")).alias("doc_ord"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -32,40 +33,57 @@ def _sum(columns: list[Column]) -> Column:
 
 
 class CompiledQuery:
-    """Expressions for one query: hits of each term, matched terms, score (null: no match)."""
+    """Expressions for one query: hits of each term, matched terms, score (null: no match).
 
-    def __init__(self, query: str, content: str = "content_norm", path: str = "path_norm"):
+    `hits` gives a term's count where it is known already; else the text is searched for it.
+    """
+
+    def __init__(self, query: str, content: str = "content_norm", path: str = "path_norm", hits: Callable[[str], Column] | None = None):
         self.query = query
         self.terms = Counter(query_terms(query))  # in order; a repeated term counts as often
         text, where = F.col(content), F.col(path)
-        self.hits = {t: count_occurrences(text, t) for t in self.terms}
+        self.hits = {t: hits(t) if hits else count_occurrences(text, t) for t in self.terms}
         found = {t: F.when(h > 0, 1).otherwise(0) for t, h in self.hits.items()}
         own = [t for t in self.terms if not is_generic_term(t)]
         self.matched = _sum([found[t] * n for t, n in self.terms.items()])
         self.path_bonus = _sum([F.when(where.contains(t), DISTINCTIVE_PATH * self.terms[t]).otherwise(0) for t in own])
         self.phrase_bonus = F.when(contains_phrase(text, query), PHRASE).otherwise(0)
         weigh = lambda t: GENERIC_HIT if is_generic_term(t) else DISTINCTIVE_HIT
-        hits = _sum([F.least(h, F.lit(CAPPED_HITS)) * (weigh(t) * self.terms[t]) for t, h in self.hits.items()])
+        weighed = _sum([F.least(h, F.lit(CAPPED_HITS)) * (weigh(t) * self.terms[t]) for t, h in self.hits.items()])
         distinct = _sum([found[t] * (DISTINCTIVE_CONTENT * self.terms[t]) for t in own])
-        total = hits + self.matched * self.matched * COVERAGE + distinct + self.path_bonus + self.phrase_bonus
+        total = weighed + self.matched * self.matched * COVERAGE + distinct + self.path_bonus + self.phrase_bonus
         self.score = F.when(self.matched >= LEAST_TERMS, total).cast("int") if self.terms else F.lit(None).cast("int")
         self.matched_terms = F.filter(F.array(*[F.when(h > 0, F.lit(t)) for t, h in self.hits.items()]), lambda t: t.isNotNull()) if self.terms else F.array().cast("array<string>")
 
 
-def scored_columns(queries: list[str], content: str = "content_norm", path: str = "path_norm") -> dict[str, Column]:
-    """score (best of the queries, and 8 for each further one that matches), matched_queries, matched_terms."""
-    compiled = [CompiledQuery(q, content, path) for q in queries]
-    useful = [c for c in compiled if c.terms]
-    if not useful:
-        none = F.array().cast("array<string>")
-        return {"score": F.lit(None).cast("int"), "matched_queries": none, "matched_terms": none}
-    best = F.greatest(*[F.coalesce(c.score, F.lit(0)) for c in useful], F.lit(0))
-    matching = _sum([F.when(c.score.isNotNull(), 1).otherwise(0) for c in useful])
-    matched = F.filter(F.array(*[F.when(c.score.isNotNull(), F.lit(c.query)) for c in useful]), lambda q: q.isNotNull())
-    empty = F.array().cast("array<string>")
-    terms = F.array_distinct(F.flatten(F.array(*[F.when(c.score.isNotNull(), c.matched_terms).otherwise(empty) for c in useful])))
-    return {
-        "score": F.when(best > 0, best + F.lit(ANOTHER_QUERY) * F.greatest(matching - 1, F.lit(0))).cast("int"),
-        "matched_queries": matched,
-        "matched_terms": terms,
-    }
+RESULT = "array<struct<score:int,matched_queries:array<string>,matched_terms:array<string>>>"
+
+
+def scored_row(queries: list[str], content: str = "content_norm", path: str = "path_norm") -> Column:
+    """An array of one struct: score (best of the queries, and 8 for each further one that matches; null: none), matched_queries, matched_terms.
+
+    Each different term is counted once a chunk, and each query's score computed once: both
+    are arguments of a lambda, which are evaluated before what uses them.
+    """
+    queries = [q for q in queries if query_terms(q)]
+    if not queries:
+        return F.array(F.struct(F.lit(None), F.array(), F.array())).cast(RESULT)
+    terms = list(dict.fromkeys(t for q in queries for t in query_terms(q)))
+    counts = F.array(*[count_occurrences(F.col(content), t) for t in terms])
+
+    def scores(h: Column) -> Column:
+        each = [CompiledQuery(q, content, path, lambda t: F.get(h, F.lit(terms.index(t)))) for q in queries]
+        return F.struct(F.array(*[c.score for c in each]).alias("scores"), F.array(*[c.matched_terms for c in each]).alias("terms"))
+
+    def result(s: Column) -> Column:
+        each = [F.get(s["scores"], F.lit(k)) for k in range(len(queries))]
+        best = F.array_max(s["scores"])
+        matching = F.size(F.filter(s["scores"], lambda x: x.isNotNull()))
+        matched = F.filter(F.array(*[F.when(x.isNotNull(), F.lit(q)) for x, q in zip(each, queries, strict=True)]), lambda q: q.isNotNull())
+        own = F.filter(s["terms"], lambda _, k: F.get(s["scores"], k).isNotNull())
+        return F.struct(
+            F.when(best > 0, best + F.lit(ANOTHER_QUERY) * F.greatest(matching - 1, F.lit(0))).cast("int").alias("score"),
+            matched.alias("matched_queries"), F.array_distinct(F.flatten(own)).alias("matched_terms"),
+        )
+
+    return F.transform(F.transform(F.array(counts), scores), result)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clamp_int
-from .scoring import scored_columns, unique_queries
+from .scoring import scored_row, unique_queries
 
 # The folder that searches leave out, and the bounds of k.
 EXCLUDED = "00_GPT_CONFIGURATION/"
@@ -16,12 +16,11 @@ DEFAULT_K, LEAST_K, MOST_K = 8, 1, 50
 def scored(chunks: DataFrame, queries: str | list) -> DataFrame:
     """Matching chunks with score, matched_queries and matched_terms; one narrow pass, nothing shuffled.
 
-    `chunks` needs content_norm and path_norm. The score is filtered on before the arrays,
-    which only matching rows compute.
+    `chunks` needs content_norm and path_norm. Each different term is counted once a chunk,
+    however many queries ask for it.
     """
-    columns = scored_columns(unique_queries(queries))
-    matching = chunks.where(~F.col("file").startswith(EXCLUDED)).withColumn("score", columns.pop("score")).where("score > 0")
-    return matching.withColumns(columns)
+    inside = chunks.where(~F.col("file").startswith(EXCLUDED))
+    return inside.select("*", F.inline(scored_row(unique_queries(queries)))).where("score > 0")
 
 
 def search(chunks: DataFrame, queries: str | list, k: object = DEFAULT_K) -> DataFrame:

@@ -10,30 +10,32 @@ from pyspark.sql import functions as F
 
 from ..operators import diff
 from ..operators.chunking import ChunkSize, chunk_documents, in_ingest_order, searchable
-from ..sources.files import READERS, extract, source_map
+from ..sources.files import READERS, TIMEOUT, extract, source_map
 from ..sources.store import Store, build_manifest
 
 STATES = "file string, sha256 string, size long, status string, reason string, chunks long"
-#: Changed files between checkpoints.
-CHECKPOINT_EVERY = 10
+#: Changed files between checkpoints at least, checkpoints of a rebuild at most, and failures that a report names.
+CHECKPOINT_EVERY, MOST_CHECKPOINTS, NAMED_FAILURES = 10, 10, 100
 
 
 class Rebuild:
     """One rebuild at a time over a store. `commit` names the build whose checkpoints are resumed."""
 
-    def __init__(self, store: Store, size: ChunkSize = ChunkSize(), readers: dict[str, Callable] = READERS, commit: str | None = None, timeout: float | None = None):
+    def __init__(self, store: Store, size: ChunkSize = ChunkSize(), readers: dict[str, Callable] = READERS, commit: str | None = None, timeout: float | None = TIMEOUT):
         self.store, self.size, self.readers, self.commit, self.timeout = store, size, readers, commit, timeout
         self._running = threading.Lock()
         self.last_error: str | None = None
         self.last_report: dict | None = None
 
-    def run(self, files: DataFrame, checkpoint_every: int | None = None, publish: bool = True) -> dict:
+    def run(self, files: DataFrame, checkpoint_every: int | None = CHECKPOINT_EVERY, publish: bool = True) -> dict:
         """Report of a rebuild from files (file, absolute_path, size, content).
 
-        With checkpoint_every the changed files are worked off in so many batches' worth,
-        each published as a checkpoint, which a later run resumes. Only chunks of unchanged
-        files are ever taken over, also from a checkpoint. An empty index is an error, and
-        nothing is published then.
+        The changed files are worked off in batches of about checkpoint_every files, but at
+        most MOST_CHECKPOINTS batches; each but the last is published as a checkpoint, which
+        a later run resumes. A file is extracted in one batch only: later ones take its
+        chunks over from the checkpoint. Only chunks of unchanged files are ever taken over.
+        The report names up to NAMED_FAILURES files that failed; the states have them all.
+        An empty index is an error, and nothing is published then.
         """
         if not self._running.acquire(blocking=False):
             raise RuntimeError("a rebuild is in progress")
@@ -62,16 +64,31 @@ class Rebuild:
         n_changed, kept = todo.count(), diff.unchanged(current, states)
         taken = diff.copy_chunks(store.chunks(base), kept) if base else None
         done_states = states.join(diff.completed(current, states).select("file"), "file", "left_semi")
-        batches = max(1, -(-n_changed // checkpoint_every)) if checkpoint_every else 1
-        report: dict = {}
+        batches = min(MOST_CHECKPOINTS, max(1, -(-n_changed // checkpoint_every))) if checkpoint_every and publish else 1
+        counts = {
+            "discoveredFiles": discovered, "unchangedFiles": done_states.where("status = 'indexed'").count(), "changedFiles": n_changed, "deletedFiles": gone.count(),
+            "indexedFiles": 0, "skippedFiles": 0, "copiedChunks": done_states.where("status = 'indexed'").agg(F.sum("chunks")).first()[0] or 0, "newChunks": 0, "failures": [],
+        }
         for k in range(batches):
-            own = todo.where(F.col("__n") % batches <= k).select("file")
-            report = self._publish(files, current, own, taken, done_states, gone, discovered, n_changed, k == batches - 1, publish)
+            own = todo.where(F.col("__n") % batches == k).select("file")
+            self._batch(files, current, own, taken, done_states, gone, counts, k == batches - 1, publish)
+            if k < batches - 1:
+                made = store.checkpoint(self.commit)
+                taken, done_states = store.chunks(made), store.states(made)
+        report = self._report(counts) | {"noChanges": False, "published": publish}
         current.unpersist()
         todo.unpersist()
         return report
 
-    def _publish(self, files, current, own, taken, done_states, gone, discovered, n_changed, final, publish) -> dict:
+    @staticmethod
+    def _report(counts: dict) -> dict:
+        worked = counts["indexedFiles"] + counts["skippedFiles"]
+        return counts | {
+            "processedChangedFiles": worked, "remainingChangedFiles": max(counts["changedFiles"] - worked, 0), "totalChunks": counts["copiedChunks"] + counts["newChunks"],
+        }
+
+    def _batch(self, files, current, own, taken, done_states, gone, counts, final, publish) -> None:
+        """Extracts a batch, adds to the counts, and publishes what is done by then."""
         texts = extract(files.join(own, "file", "left_semi"), self.readers, self.timeout).cache()
         new = chunk_documents(texts.where("ok"), self.size)
         counted = new.groupBy("file").agg(F.count(F.lit(1)).alias("chunks"))
@@ -84,21 +101,16 @@ class Rebuild:
         if taken is not None:
             chunks = diff.union_index(taken.select(*fields), chunks)
         merged = diff.merge_states(done_states, fresh, gone)
-        counts = {r["status"]: (r["n"], r["c"]) for r in fresh.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("chunks").alias("c")).collect()}
-        copied = done_states.where("status = 'indexed'").agg(F.sum("chunks")).first()[0] or 0
-        indexed, new_chunks = counts.get("indexed", (0, 0))
-        skipped = counts.get("skipped", (0, 0))[0]
-        if final and copied + new_chunks == 0:
+        for r in fresh.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("chunks").alias("c")).collect():
+            counts[f"{r['status']}Files"] += r["n"]
+            counts["newChunks"] += r["c"]
+        failed = fresh.where("status = 'skipped'").select("file", "reason").orderBy("file").limit(NAMED_FAILURES - len(counts["failures"])).collect()
+        counts["failures"] = counts["failures"] + [r.asDict() for r in failed]
+        report = self._report(counts)
+        if final and report["totalChunks"] == 0:
             raise ValueError("the rebuild made an empty index")
-        report = {
-            "discoveredFiles": discovered, "unchangedFiles": done_states.where("status = 'indexed'").count(), "changedFiles": n_changed,
-            "processedChangedFiles": indexed + skipped, "remainingChangedFiles": max(n_changed - indexed - skipped, 0),
-            "deletedFiles": gone.count(), "indexedFiles": indexed, "skippedFiles": skipped,
-            "copiedChunks": copied, "newChunks": new_chunks, "totalChunks": copied + new_chunks,
-        }
         if publish:
-            shards = [{"file": "chunks", "chunks": copied + new_chunks, "bytes": None}]
-            manifest = build_manifest(report, shards, copied + new_chunks, final, self.commit)
+            shards = [{"file": "chunks", "chunks": report["totalChunks"], "bytes": None}]
+            manifest = build_manifest(report, shards, report["totalChunks"], final, self.commit)
             self.store.publish(in_ingest_order(chunks), merged, manifest, "final" if final else "checkpoint")
         texts.unpersist()
-        return report | {"noChanges": False, "published": publish}

@@ -11,7 +11,7 @@ from ..operators.document import DEFAULT_LIMIT, LEAST_LIMIT, MOST_LIMIT, read_do
 from ..operators.scoring import unique_queries
 from ..operators.search import DEFAULT_K, LEAST_K, MOST_K, search
 from ..sources.store import Store
-from .rebuild import Rebuild
+from .rebuild import CHECKPOINT_EVERY, Rebuild
 
 MOST_ALTERNATES = 7
 
@@ -22,6 +22,11 @@ def valid_alternates(value: object) -> list[str]:
     return [v for v in kept if v][:MOST_ALTERNATES]
 
 
+def _camel(name: str) -> str:
+    first, *rest = name.split("_")
+    return first + "".join(w.capitalize() for w in rest)
+
+
 class Service:
     """Status, search, document and rebuild over a store; each call returns (status code, body)."""
 
@@ -43,6 +48,10 @@ class Service:
     def indexed_chunks(self) -> int:
         return (self.manifest or {}).get("totalChunks", 0)
 
+    def _index(self) -> dict:
+        """What every answer says of the index."""
+        return {"indexMode": self.mode, "indexedChunks": self.indexed_chunks, "rebuildInProgress": self.rebuild_plan._running.locked()}
+
     def chunks(self) -> DataFrame:
         return self.store.chunks(self.manifest)
 
@@ -50,11 +59,11 @@ class Service:
         """Counters and mode of the snapshot that is searched."""
         size = self.rebuild_plan.size
         return {
-            "ready": self.indexed_chunks > 0, "indexMode": self.mode, "indexedChunks": self.indexed_chunks,
-            "rebuildInProgress": self.rebuild_plan._running.locked(), "lastError": self.rebuild_plan.last_error,
+            "ready": self.indexed_chunks > 0, "indexLoaded": self.indexed_chunks > 0, "finalIndexedChunks": self.indexed_chunks if self.mode == "final" else 0,
+            "checkpointEveryFiles": CHECKPOINT_EVERY, "buildCommit": self.rebuild_plan.commit, "lastError": self.rebuild_plan.last_error,
             "lastReport": self.rebuild_plan.last_report, "createdAt": (self.manifest or {}).get("createdAt"),
             "chunkSize": size.size, "chunkOverlap": size.overlap,
-        }
+        } | self._index()
 
     def search(self, body: dict) -> tuple[int, dict]:
         query = body.get("query")
@@ -64,9 +73,10 @@ class Service:
         if not self.indexed_chunks:
             return 503, {"error": "no index is loaded"} | self.status()
         k = clamp_int(body.get("topK"), DEFAULT_K, LEAST_K, MOST_K)
-        queries = unique_queries([query, *valid_alternates(body.get("alternateQueries"))])
-        hits = [r.asDict() for r in search(self.chunks(), queries, k).drop("doc_ord", "chunk_no").collect()]  # at most fifty rows
-        return 200, {"query": query, "queries": queries, "topK": k, "indexMode": self.mode, "count": len(hits), "results": hits}
+        alternates = valid_alternates(body.get("alternateQueries"))
+        found = search(self.chunks(), unique_queries([query, *alternates]), k).drop("doc_ord", "chunk_no").collect()  # at most fifty rows
+        hits = [{_camel(c): v for c, v in r.asDict().items()} for r in found]
+        return 200, {"query": query, "alternateQueries": alternates, "topK": k, "resultCount": len(hits)} | self._index() | {"results": hits}
 
     def document(self, body: dict) -> tuple[int, dict]:
         file = requested_file(body.get("file") if isinstance(body.get("file"), str) else "")
@@ -76,7 +86,7 @@ class Service:
             return 503, {"error": "no index is loaded"}
         limit = clamp_int(body.get("limit"), DEFAULT_LIMIT, LEAST_LIMIT, MOST_LIMIT)
         page = read_document(self.chunks(), file, clamp_int(body.get("offset"), 0, 0, 2**31 - 1), limit).first()
-        return (404, {"error": "the file is not in the index", "file": file}) if page is None else (200, page.asDict() | {"indexMode": self.mode})
+        return (404, {"error": "the file is not in the index", "file": file}) if page is None else (200, {_camel(c): v for c, v in page.asDict().items()} | self._index())
 
     def refusal(self, token: str | None) -> tuple[int, dict] | None:
         """Why a rebuild isn't allowed now, if it isn't."""

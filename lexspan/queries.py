@@ -11,7 +11,7 @@ from .functions import text as T
 from .operators import diff
 from .operators.chunking import chunk_documents, chunk_stats, searchable
 from .operators.document import reassemble, reassemble_exactly
-from .operators.scoring import CompiledQuery, scored_columns, unique_queries
+from .operators.scoring import CompiledQuery, unique_queries
 from .operators.search import scored, search
 from .operators.shards import assign_shards, shard_descriptors
 from .sources.files import ROOTS

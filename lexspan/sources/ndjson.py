@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import _SPACE_CLASS
+from ..functions.text import SPACES
 
 
 def _string(variant: Column, name: str) -> Column:
@@ -17,13 +17,15 @@ def _string(variant: Column, name: str) -> Column:
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """The columns of `lines`, and file, folder, content of lines that are objects with a string file and content.
 
-    Blank and unparsable lines, scalars, and objects without both are dropped.
+    Blank and unparsable lines, scalars, and objects without both are dropped. A line is
+    trimmed and parsed once: it is the argument of a lambda, whose result is unnested.
     """
-    trimmed = F.regexp_replace(F.col(line), f"^{_SPACE_CLASS}|{_SPACE_CLASS}$", "")
-    parsed = lines.where(trimmed != "").withColumn("__v", F.try_parse_json(trimmed)).where("__v IS NOT NULL")
-    objects = parsed.where(F.schema_of_variant("__v").startswith("OBJECT"))
-    rows = objects.withColumns({c: _string(F.col("__v"), c) for c in ("file", "folder", "content")})
-    return rows.where("file IS NOT NULL AND content IS NOT NULL").drop("__v")
+    parsed = F.transform(F.array(F.btrim(F.col(line), F.lit(SPACES))), lambda t: F.when(t != "", F.try_parse_json(t)))
+    members = F.transform(parsed, lambda v: F.when(
+        F.schema_of_variant(v).startswith("OBJECT"), F.struct(*[_string(v, c).alias(c) for c in ("file", "folder", "content")])
+    ))
+    kept = [c for c in lines.columns if c not in ("file", "folder", "content")]
+    return lines.select(*kept, F.inline(F.filter(members, lambda m: m["file"].isNotNull() & m["content"].isNotNull())))
 
 
 def read_ndjson(spark: SparkSession, paths: list[str]) -> DataFrame:

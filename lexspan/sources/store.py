@@ -33,14 +33,17 @@ class Store:
             stream.close()
 
     def _write(self, name: str, text: str) -> None:
-        """Writes beside the name and renames, so that readers see the old text or the new."""
+        """Writes beside the name and renames over it in one step, so that readers see the old text or the new."""
         beside, path = self._path(f"{self.root}/{name}.{uuid.uuid4().hex}"), self._path(f"{self.root}/{name}")
         self._fs.mkdirs(path.getParent())
         stream = self._fs.create(beside, True)
         stream.write(bytearray(text.encode()))
         stream.close()
-        self._fs.delete(path, False)
-        self._fs.rename(beside, path)
+        options = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
+        overwrite = self.spark.sparkContext._gateway.new_array(options, 1)
+        overwrite[0] = options.OVERWRITE
+        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(context.makeQualified(beside), context.makeQualified(path), overwrite)
 
     def publish(self, chunks: DataFrame, states: DataFrame, manifest: dict, kind: str = "final") -> dict:
         """Writes a snapshot and then points to it; a final one drops the checkpoint."""

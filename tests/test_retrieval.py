@@ -65,6 +65,8 @@ def test_top_k_is_a_prefix_and_ties_keep_ingest_order(spark):
     assert best == [f"02_LAW/x/{i}.pdf" for i in (8, 7, 6, 5, 4)]
     assert [r["file"] for r in search(chunks, "alpha beta", 4).collect()] == best[:4]
     assert search(chunks, ["the"], 5).count() == 0 and search(chunks, [], 5).count() == 0
+    plan = search(chunks, queries.QUERIES)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("replace(") == len({t for q in queries.QUERIES for t in q.split()})
     assert search_many(chunks, {"a": ["alpha beta"], "b": ["gamma delta"]}, 2).groupBy("query_set").count().collect() == [("a", 2)]
 
 
@@ -87,6 +89,8 @@ def test_next_fit():
 
 
 def test_bad_lines_are_dropped(spark, tmp_path):
+    plan = parse_lines(spark.createDataFrame([("",)], "value string").where("value <> 'x'"))._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parse_json") + plan.count("parsejson") == 1
     bad = ["", "{bad", "5", '{"file":7,"content":"c"}', '{"file":"b"}', "null", "[1]", '  {"file":"b","folder":3,"content":"c"}  ']
     assert [tuple(r)[1:] for r in parse_lines(spark.createDataFrame([(b,) for b in bad], "value string")).collect()] == [("b", None, "c")]
     (tmp_path / "a.ndjson").write_text('{"file":"x","folder":"y","content":"z"}\n\n')
@@ -158,10 +162,11 @@ def test_rebuild_service_and_stream(spark, tmp_path):
     assert (first["changedFiles"], first["indexedFiles"], first["noChanges"]) == (2, 2, False) and service.load()
     assert plan.run(discover(spark, str(root)))["noChanges"]
     code, body = service.search({"query": "Italy space law", "topK": "3x", "alternateQueries": ["law space"]})
-    assert code == 200 and body["topK"] == 3 and body["results"][0]["file"] == "02_LAW/Italy/a.docx" and body["results"][0]["matched_queries"] == ["Italy space law", "law space"]
+    assert code == 200 and body["topK"] == 3 and body["results"][0]["file"] == "02_LAW/Italy/a.docx" and body["results"][0]["matchedQueries"] == ["Italy space law", "law space"]
+    assert (body["resultCount"], body["alternateQueries"], body["indexMode"], body["rebuildInProgress"]) == (1, ["law space"], "final", False) and body["indexedChunks"] == first["totalChunks"]
     assert service.search({"query": " "})[0] == 400
     code, page = service.document({"file": "02_LAW\\Italy\\a.docx", "limit": 5})
-    assert code == 200 and page["text"].startswith("The space law") and page["next_offset"] is None
+    assert code == 200 and page["text"].startswith("The space law") and page["nextOffset"] is None and page["totalCharacters"] == len(page["text"])
     assert service.document({"file": "nope"})[0] == 404 and service.document({})[0] == 400
     docx(root / "02_LAW/Spain/b.docx", "alpha beta delta")
     docx(root / "04_FUNDING/c.docx", "new text here")
@@ -173,6 +178,29 @@ def test_rebuild_service_and_stream(spark, tmp_path):
     docx(root / "04_FUNDING/d.docx", "more text here")
     plan.run(discover(spark, str(root)), checkpoint_every=1)
     assert store.manifest("checkpoint") is None and store.manifest()["totalChunks"] == 3
+    # An interrupted rebuild: the second batch dies, and the next run takes the first one over.
+    for k in range(6):
+        docx(root / f"05_COMPANIES/x/{k}.docx", f"company text number {k}")
+    (root / "05_COMPANIES/x/bad.docx").write_bytes(b"no archive")
+    batch, left = plan._batch, [1]
+
+    def dies(*a):
+        if not left:
+            raise OSError("lost")
+        left.pop()
+        return batch(*a)
+
+    plan._batch = dies
+    with pytest.raises(OSError):
+        plan.run(discover(spark, str(root)), checkpoint_every=2)
+    plan._batch = batch
+    done = store.manifest("checkpoint")["report"]
+    assert 0 < done["processedChangedFiles"] < 7
+    resumed = plan.run(discover(spark, str(root)))
+    assert resumed["changedFiles"] == 7 - done["processedChangedFiles"] and resumed["totalChunks"] == 9 and store.manifest("checkpoint") is None
+    failed = {r["file"]: r["reason"] for r in store.states(store.manifest()).where("status = 'skipped'").collect()}
+    assert list(failed) == ["05_COMPANIES/x/bad.docx"] and failed["05_COMPANIES/x/bad.docx"]
+    assert [f["file"] for r in (done, resumed) for f in r["failures"]] == ["05_COMPANIES/x/bad.docx"]
     for f in root.rglob("*.docx"):
         f.unlink()
     with pytest.raises(ValueError):
