@@ -90,7 +90,90 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_sharding": SHARDING, "op9_mixing": MIXING, "op10_exact_dedup": EXACT_DEDUP}
+    return {
+        "op1_suffix_dedup": SUFFIX_DEDUP, "op4_embedding_dedup": EMBEDDING_DEDUP, "op5_substring_dedup": SUBSTRING_DEDUP,
+        "op6_sharding": SHARDING, "op9_mixing": MIXING, "op10_exact_dedup": EXACT_DEDUP,
+    }
+
+
+def _repeats_sql(rows: str, n: str, part: str, window: str, length: int) -> str:
+    """CTEs up to `removed`, figures of a row's maximal removed runs, and `gaps`, what lies between the runs.
+
+    `rows` gives doc_id and its units and `n` their number. Windows are cut from parts, as a
+    position far behind in a long string is slow to reach: `part` is that with the windows at
+    units low to low + 499, `window` the window at unit p of a part x.
+    """
+    return f"""
+WITH units AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(doc_id, {2**63 - 1}) AS key, * FROM ({rows})
+),
+parts AS MATERIALIZED (
+  SELECT r, key, low, least(low + 500, {n} - {length - 1}) AS high, {part} AS x
+  FROM (SELECT *, unnest(range(0, greatest({n} - {length - 1}, 0), 500)) AS low FROM units)
+),
+windows AS MATERIALIZED (
+  SELECT r, key, low + p AS p, md5_number({window}) AS m FROM (SELECT *, unnest(range(0, high - low)) AS p FROM parts)
+),
+repeated AS (
+  SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before
+  FROM windows JOIN (SELECT m, min(key) AS least FROM windows GROUP BY m) USING (m) WHERE least < key
+),
+islands AS (
+  SELECT r, p, sum((before IS NULL OR p > before + {length})::INTEGER) OVER (PARTITION BY r ORDER BY p) AS island FROM repeated
+),
+spans AS (
+  SELECT r, min(p) AS low, max(p) + {length} AS high FROM islands GROUP BY r, island
+),
+removed AS (
+  SELECT r, count(*) AS n_spans, sum(high - low)::BIGINT AS n_removed FROM spans GROUP BY r
+),
+gaps AS (
+  SELECT r, coalesce(lag(high) OVER o, 0) AS low, least AS high
+  FROM (SELECT r, low AS least, high FROM spans UNION ALL SELECT r, {n}, {n} FROM units) WINDOW o AS (PARTITION BY r ORDER BY least, high)
+)"""
+
+
+# The bytes are held as hexadecimal digits, two a byte.
+SUFFIX_DEDUP = f"""{_repeats_sql("SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents", "strlen(h) // 2", "substr(h, 2 * low + 1, 1098)", "substr(x, 2 * p + 1, 100)", 50)},
+kept AS (
+  SELECT r, string_agg(substr(h, 2 * low + 1, 2 * (high - low)), '' ORDER BY low, high) AS h FROM gaps JOIN units USING (r) GROUP BY r
+)
+SELECT doc_id, (strlen(units.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM units JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
+
+SUBSTRING_DEDUP = f"""{_repeats_sql("SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents", "len(w)", "w[low + 1 : low + 512]", "array_to_string(x[p + 1 : p + 13], ' ')", 13)},
+kept AS (
+  SELECT r, flatten(list(w[low + 1 : high] ORDER BY low, high)) AS w FROM gaps JOIN units USING (r) GROUP BY r
+)
+SELECT doc_id, len(units.w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(array_to_string(kept.w, ' ')) AS kept_sha256
+FROM units JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
+
+# All pairs of a label; what a row reaches is followed link by link.
+EMBEDDING_DEDUP = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+),
+sound AS (
+  SELECT * FROM vectors WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM sound a JOIN sound b
+  ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r AND list_cosine_similarity(a.v, b.v) >= 0.98
+),
+reached AS (
+  SELECT a AS r, b FROM links UNION SELECT reached.r, links.b FROM reached JOIN links ON reached.b = links.a
+),
+least AS (
+  SELECT reached.r, min(vec_id) AS least FROM reached JOIN vectors ON vectors.r = b GROUP BY reached.r
+),
+degrees AS (
+  SELECT a AS r, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, least) AS component_id, coalesce(vec_id = least(vec_id, least), FALSE) AS kept
+FROM vectors LEFT JOIN degrees USING (r) LEFT JOIN least USING (r)
+"""
 
 
 EXACT_DEDUP = f"""

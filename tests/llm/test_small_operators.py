@@ -37,7 +37,7 @@ def crowded(docs):
     return docs.withColumns({c: F.lit("x") for c in ("keep_id", "group_size", "kept", "text_sha256", "size", "shard", "slot", "position", "batch", "__slot", "__text", "score", "fingerprint", "node", "__digest", "__page0", "__id", "__position", "__goes", "row", "id", "f0")})
 
 
-@pytest.mark.parametrize("name", ["op10_exact_dedup", "op9_mixing"])
+@pytest.mark.parametrize("name", ["op10_exact_dedup", "op9_mixing", "op1_suffix_dedup", "op4_embedding_dedup", "op5_substring_dedup"])
 def test_query_equals_sql(compare, name):
     compare(queries.queries()[name], queries.oracle_sql()[name])
 
