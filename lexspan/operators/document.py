@@ -17,10 +17,13 @@ def join_overlapping(text: str, chunk: str) -> str:
     """Appends a chunk without the longest overlap of 20 to 1000 characters; with none, behind a space."""
     if not text or not chunk:
         return text or chunk
-    for n in range(min(MOST_OVERLAP, len(text), len(chunk)), LEAST_OVERLAP - 1, -1):
-        if text.endswith(chunk[:n]):
-            return text + chunk[n:]
-    return f"{text} {chunk}"
+    # An overlap begins where the chunk's first characters stand in the text's end; the first such place gives the longest.
+    end = text[-min(MOST_OVERLAP, len(chunk)) :]
+    head = chunk[:LEAST_OVERLAP]
+    at = end.find(head) if len(head) == LEAST_OVERLAP else -1
+    while at >= 0 and not chunk.startswith(end[at:]):
+        at = end.find(head, at + 1)
+    return f"{text} {chunk}" if at < 0 else text + chunk[len(end) - at :]
 
 
 def reassemble(chunks: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import logging
+import signal
 import threading
 from collections.abc import Callable
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
@@ -68,3 +70,41 @@ def serve(service: Service, files: Callable[[], DataFrame], host: str = "0.0.0.0
             self._answer(202, {"accepted": True})
 
     return ThreadingHTTPServer((host, port), Handler)
+
+
+def start(service: Service, files: Callable[[], DataFrame], host: str = "0.0.0.0", port: int = 3000) -> tuple[ThreadingHTTPServer, threading.Thread]:
+    """A server that answers at once, and the thread that loads the index and then rebuilds it behind.
+
+    A failure of either is logged and stops neither the other nor the server.
+    """
+    server = serve(service, files, host, port)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+
+    def prepare() -> None:
+        log = logging.getLogger(__name__)
+        try:
+            log.info("index loaded: %s", service.load())
+        except Exception:
+            log.exception("the index could not be loaded")
+        try:
+            log.info("rebuild: %s", service.rebuild_plan.run(files()))
+            service.load()
+        except Exception:
+            log.exception("the rebuild failed")
+
+    behind = threading.Thread(target=prepare, daemon=True)
+    behind.start()
+    return server, behind
+
+
+def run(service: Service, files: Callable[[], DataFrame], host: str = "0.0.0.0", port: int = 3000, grace: float = 10) -> None:
+    """Starts the service and serves until SIGTERM or SIGINT, then closes within `grace` seconds. Main thread only."""
+    ended = threading.Event()
+    for s in (signal.SIGTERM, signal.SIGINT):
+        signal.signal(s, lambda *_: ended.set())
+    server, _ = start(service, files, host, port)
+    ended.wait()
+    closing = threading.Thread(target=server.shutdown, daemon=True)
+    closing.start()
+    closing.join(grace)
+    server.server_close()

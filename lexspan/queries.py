@@ -335,6 +335,18 @@ UNION ALL SELECT file, sha256, size, status, chunks FROM base WHERE file IN (SEL
 SELECT file, least(1000, length(x))::BIGINT AS "offset", (least(2500, length(x)) - least(1000, length(x)))::BIGINT AS returned_characters, length(x)::BIGINT AS total_characters,
   length(x) > 2500 AS has_more, CASE WHEN length(x) > 2500 THEN 2500::BIGINT END AS next_offset, substr(x, 1001, 1500) AS text FROM docs""",
         "document_exact": f"WITH {_CHUNKS} SELECT c.file, count(*) AS chunk_count, any_value(d.x) AS text FROM chunks c JOIN docs d ON c.file = d.file GROUP BY c.file",
+        "document_reassembled": f"""WITH RECURSIVE {_CHUNKS},
+ranked AS (SELECT file, content, row_number() OVER (PARTITION BY file ORDER BY chunk_no) AS n, count(*) OVER (PARTITION BY file) AS chunk_count FROM chunks),
+folded AS (
+  SELECT file, n, chunk_count, content AS text FROM ranked WHERE n = 1
+  UNION ALL
+  SELECT f.file, r.n, f.chunk_count, CASE WHEN f.overlap IS NULL THEN f.text || ' ' || r.content ELSE f.text || substr(r.content, f.overlap + 1) END
+  FROM (
+    SELECT g.*, list_max(list_filter(range(20, least(1000, length(g.text), length(c.content)) + 1), lambda k: suffix(g.text, left(c.content, k)))) AS overlap
+    FROM folded g JOIN ranked c ON c.file = g.file AND c.n = g.n + 1
+  ) f JOIN ranked r ON r.file = f.file AND r.n = f.n + 1
+)
+SELECT file, chunk_count, text FROM folded WHERE n = chunk_count""",
         "shard_assignment": f"WITH RECURSIVE {_LINES} SELECT file, chunk_no, shard_no FROM lines JOIN packed USING (pos)",
         "shard_descriptors": f"WITH RECURSIVE {_LINES} SELECT printf('rag-index-%04d.ndjson', shard_no) AS file, count(*) AS chunks, sum(bytes)::BIGINT AS bytes FROM lines JOIN packed USING (pos) GROUP BY shard_no",
         "ndjson_roundtrip": f"WITH {_CHUNKS} SELECT file, folder, content FROM chunks",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import multiprocessing
+import resource
 import zipfile
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
@@ -12,12 +13,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .pdf import pdf_text
+
 # The folders that hold sources, and those that are passed over.
 ROOTS = ("00_GPT_CONFIGURATION", "01_POLICY", "02_LAW", "03_PROCUREMENT", "04_FUNDING", "05_COMPANIES")
 IGNORED = ("node_modules", ".git", ".vscode", "dist", "build", "index")
 GLOB, EXTENSION = "*.{[pP][dD][fF],[dD][oO][cC][xX]}", r"(?i)\.(pdf|docx)$"
 #: Seconds that one file may take: default and least.
 TIMEOUT, LEAST_TIMEOUT = 300, 30
+#: Megabytes that a reader in a child process may take beyond what its parent holds.
+MEMORY_MB = 1024
 
 
 def relative_path(path: Column, root: str) -> Column:
@@ -74,27 +79,28 @@ def read_docx(content: bytes) -> str:
     return "\n\n".join(lines)
 
 
-def read_pdf(content: bytes) -> str:
-    """Text of a PDF, a page a line, by pypdf where it is installed; any function of bytes can stand in for it."""
-    try:
-        from pypdf import PdfReader
-    except ImportError:
-        raise RuntimeError("no PDF reader is installed") from None
-    return "".join(f"{page.extract_text()}\n" for page in PdfReader(io.BytesIO(content)).pages)
-
+#: The readers by extension; any function of bytes can stand in for one.
+READERS: dict[str, Callable[[bytes], str]] = {"docx": read_docx, "pdf": pdf_text}
 
-READERS: dict[str, Callable[[bytes], str]] = {"docx": read_docx, "pdf": read_pdf}
 
-
-def _in_child(reader: Callable[[bytes], str], content: bytes, pipe) -> None:
+def _in_child(reader: Callable[[bytes], str], content: bytes, pipe, memory_mb: int) -> None:
+    try:
+        with open("/proc/self/statm") as f:
+            held = int(f.read().split()[0]) * resource.getpagesize()
+        most = held + (memory_mb << 20)
+        resource.setrlimit(resource.RLIMIT_AS, (most, most))
+    except OSError:  # no such figures on this system: the time limit alone holds
+        pass
     try:
         pipe.send((True, reader(content)))
+    except MemoryError:
+        pipe.send((False, f"out of memory beyond {memory_mb} MB"))
     except BaseException as error:
         pipe.send((False, str(error) or type(error).__name__))
 
 
-def extract_one(file: str, content: bytes | None, readers: dict[str, Callable[[bytes], str]] = READERS, timeout: float | None = None) -> tuple[bool, str | None, str | None]:
-    """(ok, text, reason). With a timeout the reader runs in a child process, which is ended when time is up."""
+def extract_one(file: str, content: bytes | None, readers: dict[str, Callable[[bytes], str]] = READERS, timeout: float | None = None, memory_mb: int = MEMORY_MB) -> tuple[bool, str | None, str | None]:
+    """(ok, text, reason). With a timeout the reader runs in a child process, which is ended when time is up or memory used up."""
     reader = readers.get(file.rpartition(".")[2].lower())
     if reader is None:
         return False, None, "Unsupported file type"
@@ -104,7 +110,7 @@ def extract_one(file: str, content: bytes | None, readers: dict[str, Callable[[b
         except Exception as error:
             return False, None, str(error) or type(error).__name__
     near, far = multiprocessing.Pipe(False)
-    child = multiprocessing.get_context("fork").Process(target=_in_child, args=(reader, content or b"", far), daemon=True)
+    child = multiprocessing.get_context("fork").Process(target=_in_child, args=(reader, content or b"", far, memory_mb), daemon=True)
     child.start()
     far.close()
     try:

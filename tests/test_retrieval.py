@@ -3,6 +3,7 @@ import random
 import threading
 import time
 import zipfile
+import zlib
 from http.client import HTTPConnection
 
 import pytest
@@ -12,11 +13,12 @@ from lexspan.operators.chunking import ChunkSize, chunk_documents, in_ingest_ord
 from lexspan.operators.document import join_overlapping, read_document, reassemble, reassemble_exactly
 from lexspan.operators.search import search, search_many
 from lexspan.operators.shards import next_fit
-from lexspan.plans.http import serve
+from lexspan.plans.http import serve, start
 from lexspan.plans.rebuild import Rebuild
 from lexspan.plans.service import Service
 from lexspan.sources.files import discover, extract, extract_one, list_files, source_map
 from lexspan.sources.ndjson import parse_lines, read_ndjson
+from lexspan.sources.pdf import pdf_text
 from lexspan.sources.store import Store, validate
 from lexspan.streaming.ingest import ingest_stream
 
@@ -125,6 +127,90 @@ def test_a_slow_reader_is_ended():
     assert extract_one("a.pdf", b"", {"pdf": lambda c: "ok"}, 20) == (True, "ok", None)
 
 
+def pdf(pages, packed=False):
+    """A file with a page for each content stream: a simple font F1 and one F2 of two bytes a character."""
+    objects = {
+        1: b"<< /Type /Catalog /Pages 2 0 R >>", 2: b"<< /Type /Pages /Kids [%s] /Count %d /Resources << /Font << /F1 3 0 R /F2 4 0 R >> /XObject << /X 6 0 R >> >> >>"
+        % (b" ".join(b"%d 0 R" % (10 + 2 * k) for k in range(len(pages))), len(pages)),
+        3: b"<< /Type /Font /Subtype /Type1 /Encoding << /BaseEncoding /WinAnsiEncoding /Differences [1 /fi /Eacute /uni0416 /three] >> >>",
+        4: b"<< /Type /Font /Subtype /Type0 /ToUnicode 5 0 R >>",
+    }
+    streams = {
+        5: b"1 begincodespacerange <0000> <FFFF> endcodespacerange 1 beginbfchar <0001> <00E9> endbfchar 2 beginbfrange <0010> <0012> <0061> <0020> <0021> [<0078> <00790079>] endbfrange",
+        6: b"BT /F1 9 Tf (inside a form) Tj ET",
+    }
+    for k, content in enumerate(pages):
+        objects[10 + 2 * k] = b"<< /Type /Page /Parent 2 0 R /Contents %d 0 R >>" % (11 + 2 * k)
+        streams[11 + 2 * k] = content
+    out = b"%PDF-1.5\n%\xe2\xe3\n"
+    if packed:
+        body, head = b"", b""
+        for n, o in objects.items():
+            head += b"%d %d " % (n, len(body))
+            body += o + b" "
+        out += b"90 0 obj << /Type /ObjStm /N %d /First %d /Filter /FlateDecode >> stream\n" % (len(objects), len(head)) + zlib.compress(head + body) + b"\nendstream endobj\n"
+    else:
+        out += b"".join(b"%d 0 obj\n%s\nendobj\n" % (n, o) for n, o in objects.items())
+    for n, data in streams.items():
+        data = zlib.compress(data)
+        form = b"/Subtype /Form " if n == 6 else b""
+        out += b"%d 0 obj << %s/Length %d /Filter [/FlateDecode] >>\nstream\r\n%s\nendstream endobj\n" % (n, form, len(data), data)
+    return out + b"trailer << /Root 1 0 R >>\n%%EOF"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_pdf(packed):
+    pages = [
+        b"BT /F1 12 Tf 72 700 Td (Space \\(law\\)\\041 \\\n) Tj 0 -14 Td [(off) -20 (ice) -300 (\\001nal)] TJ T* <02030433> Tj ET",
+        b"q BI /W 1 ID (\x01( EI Q BT /F2 9 Tf 1 0 0 1 10 10 Tm <00010010001100120021> Tj 1 0 0 1 60 10 Tm <0020> Tj ET /X Do",
+        b"",
+    ]
+    got = pdf_text(pdf(pages, packed)).split("\n")
+    assert got == ["Space (law)! ", "office final", "ÉЖ33", "éabcyy x", "inside a form", "", ""]
+    with pytest.raises(ValueError):
+        pdf_text(b"x")
+    with pytest.raises(ValueError):
+        pdf_text(pdf(pages).replace(b"/Root 1 0 R", b"/Root 1 0 R /Encrypt 9 0 R"))
+    whole = pdf(pages, packed)
+    for cut in range(0, len(whole), 37):  # a damaged file gives text or an error, never a hang
+        try:
+            pdf_text(whole[:cut])
+        except (ValueError, zlib.error, TypeError):
+            pass
+    assert extract_one("a.PDF", whole, timeout=20)[1].startswith("Space (law)!")
+
+
+def test_a_reader_that_takes_too_much_memory_is_ended():
+    ok, text, reason = extract_one("a.pdf", b"", {"pdf": lambda c: str(len(bytearray(1 << 30)))}, 20, 64)
+    assert (ok, text) == (False, None) and "memory" in reason
+    assert extract_one("a.pdf", b"", {"pdf": lambda c: str(len(bytearray(1 << 20)))}, 20, 64) == (True, str(1 << 20), None)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_overlaps(seed):
+    r = random.Random(seed)
+    word = lambda n: "".join(r.choice("ab") if seed else "a" for _ in range(n))
+    for _ in range(200):
+        text, n = word(r.randint(0, 60)), r.randint(0, 40)
+        chunk = text[len(text) - min(n, len(text)) :] + word(r.randint(0, 30))
+        sizes = [k for k in range(20, min(1000, len(text), len(chunk)) + 1) if text.endswith(chunk[:k])]
+        assert join_overlapping(text, chunk) == (text + chunk[max(sizes) :] if sizes else f"{text} {chunk}" if text and chunk else text + chunk)
+
+
+def test_start_and_end(spark, tmp_path):
+    docx(tmp_path / "src/02_LAW/Italy/a.docx", "The space law of Italy")
+    store = Store(spark, f"file://{tmp_path}/store")
+    service = Service(store, Rebuild(store))
+    server, behind = start(service, lambda: discover(spark, f"{tmp_path}/src"), "127.0.0.1", 0)
+    c = HTTPConnection(*server.server_address, timeout=60)
+    c.request("GET", "/health")
+    assert c.getresponse().status == 200
+    behind.join(120)
+    assert service.indexed_chunks == 1 and service.mode == "final"
+    server.shutdown()
+    server.server_close()
+
+
 def test_http(spark, tmp_path):
     docx(tmp_path / "src/02_LAW/Italy/a.docx", "The space law of Italy")
     store = Store(spark, f"file://{tmp_path}/store")
