@@ -90,27 +90,18 @@ def match(key: np.ndarray, buffer: np.ndarray, bounds: np.ndarray, windows: np.n
     keys, ids = key.tolist(), least.tolist()
     # Copies of a piece are one reference, with the smallest id.
     earliest: dict[tuple, int] = {}
-    kinds: dict[int, int] = {}
     for pair, doc in zip(zip(keys, pieces, strict=True), ids, strict=True):
-        known = earliest.get(pair)
-        if known is None:
-            kinds[pair[0]] = kinds.get(pair[0], 0) + 1
+        if doc < earliest.get(pair, doc + 1):
             earliest[pair] = doc
-        elif doc < known:
-            earliest[pair] = doc
-    # A piece that is the only kind under its anchor matches itself alone.
+    # Documents are added in order of their ids, so that a state's first tag is the smallest.
+    split = {pair: pair[1].split(b" ") for pair in earliest}
     shard = SuffixAutomaton()
-    several = sorted(((doc, pair) for pair, doc in earliest.items() if kinds[pair[0]] > 1), key=lambda x: x[0])
-    for doc, (_, piece) in several:
-        shard.add(piece.split(b" "), doc)
-    found = {pair: list(shard.matches(pair[1].split(b" "), length)) for _, pair in several}
+    for pair in sorted(earliest, key=earliest.__getitem__):
+        shard.add(split[pair], earliest[pair])
+    found = {pair: list(shard.matches(words, length)) for pair, words in split.items()}
     masks = np.zeros(len(keys), np.int64)
-    for i, (pair, doc, n) in enumerate(zip(zip(keys, pieces, strict=True), ids, windows.tolist(), strict=True)):
-        if kinds[pair[0]] == 1:
-            if earliest[pair] < doc:
-                masks[i] = (1 << n) - 1
-        else:
-            masks[i] = sum(1 << (at - length + 1) for at, first in found[pair] if first < doc)
+    for i, (pair, doc) in enumerate(zip(zip(keys, pieces, strict=True), ids, strict=True)):
+        masks[i] = sum(1 << (at - length + 1) for at, first in found[pair] if first < doc)
     return masks
 
 
