@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,11 @@ def next_fit(sizes: list[int], limit: int) -> list[int]:
     return out
 
 
+def line_bytes() -> Column:
+    """UTF-8 bytes of a chunk's line of JSON, its line break included."""
+    return (F.octet_length(F.to_json(F.struct("file", "folder", "content"))) + 1).cast("long")
+
+
 def assign_shards(chunks: DataFrame, limit: int = DEFAULT_MB * 1024 * 1024, stripes: int = 1) -> DataFrame:
     """Adds line_bytes and shard_no (from 1) to chunks with doc_ord and chunk_no.
 
@@ -35,8 +40,7 @@ def assign_shards(chunks: DataFrame, limit: int = DEFAULT_MB * 1024 * 1024, stri
     but not parallel. For large tables set `stripes`: ranges of files that are packed side
     by side, each of which may leave one more shard partly filled.
     """
-    line = F.to_json(F.struct("file", "folder", "content"))
-    sized = chunks.withColumn("line_bytes", (F.octet_length(line) + 1).cast("long"))
+    sized = chunks.withColumn("line_bytes", line_bytes())
     order = sized.select("doc_ord", "chunk_no", "line_bytes")
     if stripes > 1:
         order = order.repartitionByRange(stripes, "doc_ord", "chunk_no").withColumn("stripe", F.spark_partition_id())

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import diff
-from ..operators.chunking import ChunkSize, chunk_documents, in_ingest_order, searchable
+from ..operators.chunking import ChunkSize, chunk_documents, searchable
 from ..sources.files import READERS, TIMEOUT, extract, source_map
-from ..sources.store import Store, build_manifest
+from ..sources.store import Store, build_manifest, now
 
 STATES = "file string, sha256 string, size long, status string, reason string, chunks long"
 #: Changed files between checkpoints at least, checkpoints of a rebuild at most, and failures that a report names.
@@ -26,6 +26,8 @@ class Rebuild:
         self._running = threading.Lock()
         self.last_error: str | None = None
         self.last_report: dict | None = None
+        self.rebuilt_at: str | None = None
+        self.published_at: dict[str, str] = {}
 
     def run(self, files: DataFrame, checkpoint_every: int | None = CHECKPOINT_EVERY, publish: bool = True) -> dict:
         """Report of a rebuild from files (file, absolute_path, size, content).
@@ -41,7 +43,7 @@ class Rebuild:
             raise RuntimeError("a rebuild is in progress")
         try:
             self.last_report = self._run(files, checkpoint_every, publish)
-            self.last_error = None
+            self.last_error, self.rebuilt_at = None, now()
             return self.last_report
         except Exception as error:
             self.last_error = str(error)
@@ -110,7 +112,7 @@ class Rebuild:
         if final and report["totalChunks"] == 0:
             raise ValueError("the rebuild made an empty index")
         if publish:
-            shards = [{"file": "chunks", "chunks": report["totalChunks"], "bytes": None}]
-            manifest = build_manifest(report, shards, report["totalChunks"], final, self.commit)
-            self.store.publish(in_ingest_order(chunks), merged, manifest, "final" if final else "checkpoint")
+            kind = "final" if final else "checkpoint"
+            self.store.publish(chunks, merged, build_manifest(report, report["totalChunks"], final, self.commit), kind)
+            self.published_at[kind] = now()
         texts.unpersist()

@@ -10,7 +10,8 @@ from ..functions.text import SPACES, clamp_int, requested_file
 from ..operators.document import DEFAULT_LIMIT, LEAST_LIMIT, MOST_LIMIT, read_document
 from ..operators.scoring import unique_queries
 from ..operators.search import DEFAULT_K, LEAST_K, MOST_K, search
-from ..sources.store import Store
+from ..sources.files import MEMORY_MB
+from ..sources.store import Store, now
 from .rebuild import CHECKPOINT_EVERY, Rebuild
 
 MOST_ALTERNATES = 7
@@ -34,14 +35,20 @@ class Service:
         self.store, self.rebuild_plan, self.admin_token = store, rebuild, admin_token
         self.manifest: dict | None = None
         self.mode = "none"
+        self.loaded_at: str | None = None
 
     def load(self) -> bool:
-        """Opens the final snapshot, or a checkpoint while there is none; whether it has chunks."""
-        self.manifest = self.store.manifest("final")
-        self.mode = "final" if self.manifest else "none"
-        if self.manifest is None:
-            self.manifest = self.store.checkpoint(self.rebuild_plan.commit)
-            self.mode = "checkpoint" if self.manifest else "none"
+        """Opens the final snapshot, or a checkpoint while there is none; whether it has chunks.
+
+        A missing shard is an error, and what was open stays open.
+        """
+        manifest, mode = self.store.manifest("final"), "final"
+        if manifest is None:
+            manifest, mode = self.store.checkpoint(self.rebuild_plan.commit), "checkpoint"
+        if manifest:
+            self.store.chunks(manifest)
+            self.loaded_at = now()
+        self.manifest, self.mode = manifest, mode if manifest else "none"
         return self.indexed_chunks > 0
 
     @property
@@ -57,11 +64,14 @@ class Service:
 
     def status(self) -> dict:
         """Counters and mode of the snapshot that is searched."""
-        size = self.rebuild_plan.size
+        plan = self.rebuild_plan
+        size = plan.size
         return {
             "ready": self.indexed_chunks > 0, "indexLoaded": self.indexed_chunks > 0, "finalIndexedChunks": self.indexed_chunks if self.mode == "final" else 0,
-            "checkpointEveryFiles": CHECKPOINT_EVERY, "buildCommit": self.rebuild_plan.commit, "lastError": self.rebuild_plan.last_error,
-            "lastReport": self.rebuild_plan.last_report, "createdAt": (self.manifest or {}).get("createdAt"),
+            "checkpointEveryFiles": CHECKPOINT_EVERY, "buildCommit": plan.commit, "lastError": plan.last_error,
+            "indexLoadedAt": self.loaded_at, "lastRebuildAt": plan.rebuilt_at, "lastPublishedAt": plan.published_at.get("final"),
+            "lastCheckpointAt": plan.published_at.get("checkpoint"), "shardSizeMB": self.store.shard_mb,
+            "workerMemoryMB": MEMORY_MB, "workerTimeoutMS": None if plan.timeout is None else int(plan.timeout * 1000), "lastReport": plan.last_report, "createdAt": (self.manifest or {}).get("createdAt"),
             "chunkSize": size.size, "chunkOverlap": size.overlap,
         } | self._index()
 

@@ -1,4 +1,4 @@
-"""Versioned snapshots of an index: Parquet chunks, a manifest, and a pointer swapped last.
+"""Versioned snapshots of an index: Parquet shards of chunks, a manifest that lists them, and a pointer swapped last.
 
 All file access goes through Hadoop's file system, so a store may lie wherever Spark reads.
 """
@@ -9,16 +9,25 @@ import json
 import uuid
 from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.chunking import in_ingest_order
+from ..operators.shards import DEFAULT_MB, LEAST_MB, line_bytes
 
 VERSION = 5
 
 
 class Store:
-    """A folder of snapshots. `final` and `checkpoint` each point to one of them."""
+    """A folder of snapshots. `final` and `checkpoint` each point to one of them.
+
+    shard_mb bounds the chunks of a shard, counted as lines of JSON. The manifest has an
+    entry a shard, so it should grow with the corpus: 1024 makes 100,000 of 100 TB.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, shard_mb: int = DEFAULT_MB):
+        self.spark, self.root, self.shard_mb = spark, root.rstrip("/"), max(LEAST_MB, shard_mb)
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -46,17 +55,29 @@ class Store:
         context.rename(context.makeQualified(beside), context.makeQualified(path), overwrite)
 
     def publish(self, chunks: DataFrame, states: DataFrame, manifest: dict, kind: str = "final") -> dict:
-        """Writes a snapshot and then points to it; a final one drops the checkpoint."""
+        """Writes a snapshot, its chunks ranked in ingest order, and then points to it; a final one drops the checkpoint.
+
+        A shard holds as many chunks as stay within shard_mb however long their lines are;
+        a single longer line is a shard of its own.
+        """
         at = f"snapshots/{kind}-{uuid.uuid4().hex}"
-        chunks.write.parquet(f"{self.root}/{at}/chunks")
+        longest = chunks.agg(F.max(line_bytes())).first()[0] or 1
+        most = max(1, int(self.shard_mb * 1024 * 1024 // longest))
+        in_ingest_order(chunks).write.option("maxRecordsPerFile", most).parquet(f"{self.root}/{at}/chunks")
         states.write.parquet(f"{self.root}/{at}/sources")
-        manifest = manifest | {"snapshot": at}
+        manifest = manifest | {"snapshot": at, "shardSizeMB": self.shard_mb, "shards": self._shards(at)}
         self._write(f"{at}/manifest.json", json.dumps(manifest, indent=2, ensure_ascii=False))
         self._write(f"{kind}.json", json.dumps({"snapshot": at}))
         if kind == "final":
             self._fs.delete(self._path(f"{self.root}/checkpoint.json"), False)
         return manifest
 
+    def _shards(self, at: str) -> list[dict]:
+        """file, chunks and bytes on disk of each file with chunks, by their names."""
+        written = self.spark.read.parquet(f"{self.root}/{at}/chunks").select("_metadata.file_name", "_metadata.file_size")
+        files = written.groupBy(F.col("file_name").alias("file"), F.col("file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("chunks"))
+        return [{"file": r["file"], "chunks": r["chunks"], "bytes": r["bytes"]} for r in files.orderBy("file").collect()]  # an entry a shard
+
     def manifest(self, kind: str = "final") -> dict | None:
         """The manifest that a pointer leads to; None without one. A damaged one is an error."""
         pointer = self._read(f"{kind}.json")
@@ -71,12 +92,24 @@ class Store:
         return None if found and commit and found.get("buildCommit") and found["buildCommit"] != commit else found
 
     def chunks(self, manifest: dict) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{manifest['snapshot']}/chunks")
+        """The chunks of exactly the shards listed; a missing one is an error at once."""
+        folder = f"{self.root}/{manifest['snapshot']}/chunks"
+        try:
+            return self.spark.read.parquet(*[f"{folder}/{s['file']}" for s in manifest["shards"]] or [folder])
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in str(error):
+                raise ValueError(f"a shard is missing: {error.getMessageParameters().get('path', folder)}") from error
+            raise
 
     def states(self, manifest: dict) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{manifest['snapshot']}/sources")
 
 
+def now() -> str:
+    """The time as manifests and the status give it: UTC, to the millisecond."""
+    return datetime.now(UTC).isoformat(timespec="milliseconds").replace("+00:00", "Z")
+
+
 def validate(manifest: object) -> dict:
     """The manifest, if its shards are a list of objects with a file name."""
     shards = manifest.get("shards") if isinstance(manifest, dict) else None
@@ -85,10 +118,10 @@ def validate(manifest: object) -> dict:
     return manifest
 
 
-def build_manifest(report: dict, shards: list[dict], total_chunks: int, final: bool, commit: str | None = None, repository: str = "", branch: str = "main", shard_mb: int = 20) -> dict:
-    """A manifest; the states of sources lie beside it as a table, as they grow with the corpus."""
+def build_manifest(report: dict, total_chunks: int, final: bool, commit: str | None = None, repository: str = "", branch: str = "main") -> dict:
+    """A manifest, to which `publish` adds the shards; the states of sources lie beside it as a table, as they grow with the corpus."""
     return {
         "version": VERSION, "type": "final" if final else "checkpoint", "complete": final, "buildCommit": commit,
-        "createdAt": datetime.now(UTC).isoformat(timespec="milliseconds").replace("+00:00", "Z"),
-        "repository": repository, "branch": branch, "shardSizeMB": shard_mb, "totalChunks": total_chunks, "shards": shards, "report": report,
+        "createdAt": now(),
+        "repository": repository, "branch": branch, "totalChunks": total_chunks, "report": report,
     }

@@ -17,7 +17,7 @@ from lexspan.plans.http import serve, start
 from lexspan.plans.rebuild import Rebuild
 from lexspan.plans.service import Service
 from lexspan.sources.files import discover, extract, extract_one, list_files, source_map
-from lexspan.sources.ndjson import parse_lines, read_ndjson
+from lexspan.sources.ndjson import parse_lines, read_ndjson, to_lines
 from lexspan.sources.pdf import pdf_text
 from lexspan.sources.store import Store, validate
 from lexspan.streaming.ingest import ingest_stream
@@ -237,6 +237,32 @@ def test_http(spark, tmp_path):
     server.shutdown()
 
 
+def test_published_shards_are_bounded_listed_and_needed(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    store.shard_mb = 1000 / 2**20
+    text = "space law of Italy " * 300
+    docx(tmp_path / "src/02_LAW/Italy/a.docx", text)
+    docx(tmp_path / "src/02_LAW/Spain/b.docx", text)
+    plan = Rebuild(store, ChunkSize(300, 30))
+    report = plan.run(discover(spark, f"{tmp_path}/src"))
+    manifest = store.manifest()
+    folder = tmp_path / "store" / manifest["snapshot"] / "chunks"
+    assert len(manifest["shards"]) > 2 and sum(s["chunks"] for s in manifest["shards"]) == report["totalChunks"] == store.chunks(manifest).count()
+    for s in manifest["shards"]:
+        assert (folder / s["file"]).stat().st_size == s["bytes"]
+        lines = [r["value"] for r in to_lines(spark.read.parquet(f"file://{folder}/{s['file']}")).collect()]
+        assert sum(len(v.encode()) + 1 for v in lines) <= 1000
+    # A file that isn't listed isn't read; a listed one that is gone is an error, and what was open stays open.
+    service = Service(store, plan)
+    assert service.load() and service.status()["indexLoadedAt"] and service.status()["lastPublishedAt"]
+    (folder / "left-over.parquet").write_bytes((folder / manifest["shards"][0]["file"]).read_bytes())
+    assert store.chunks(manifest).count() == report["totalChunks"]
+    (folder / manifest["shards"][0]["file"]).unlink()
+    with pytest.raises(ValueError, match="missing"):
+        service.load()
+    assert service.mode == "final" and service.indexed_chunks == report["totalChunks"]
+
+
 def test_rebuild_service_and_stream(spark, tmp_path):
     root, store = tmp_path / "src", Store(spark, f"file://{tmp_path}/store")
     docx(root / "02_LAW/Italy/a.docx", "The space law of Italy and the law of space")
