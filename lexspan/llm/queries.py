@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_id, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from . import embedding_dedup, exact_dedup, language_id, merkle, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, whitening
 from .common import LOWER, UPPER, width
 from .numbering import BLOCKS, PRIME, STEP
 
@@ -74,6 +74,28 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model) if model else None
+    shares = F.array(*[F.lit(float(e)) for e in model.explained]) if model else F.array().cast("array<double>")
+    rows = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("k", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("k") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened",
+        F.get(shares, F.col("k")).alias("explained"), F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+LEAF_VALUES = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.replace(docs["text"], F.lit("\n"))).otherwise(docs["text"])
+    return merkle.merkle_manifest(docs, LEAF_VALUES, claimed=merkle.leaf(*[docs[c] for c in LEAF_VALUES[:-1]], text))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -86,6 +108,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
+        "op12_whitening": op12_whitening,
+        "op13_merkle": op13_merkle,
     }
 
 
@@ -93,6 +117,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_suffix_dedup": SUFFIX_DEDUP, "op4_embedding_dedup": EMBEDDING_DEDUP, "op5_substring_dedup": SUBSTRING_DEDUP,
         "op6_sharding": SHARDING, "op9_mixing": MIXING, "op10_exact_dedup": EXACT_DEDUP,
+        "op13_merkle": _merkle_sql(),
     }
 
 
@@ -196,18 +221,24 @@ def _feistel_sql(x: str) -> str:
 
 
 # DuckDB has no crc32, so a table of 256 steps is folded over the bytes.
-SHARDING = f"""
-WITH RECURSIVE crc_table AS (
+_CRC_TABLE = """crc_table AS (
   SELECT list(c ORDER BY b) AS t FROM (
     SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c
     FROM (SELECT unnest(range(256)) AS b)
   )
-),
+)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(
+      list_transform(range(1, 2 * coalesce(strlen({text}), 0) + 1, 2), lambda i: ('0x' || substr(hex(encode({text})), i, 2))::BIGINT),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"""
+
+
+SHARDING = f"""
+WITH RECURSIVE {_CRC_TABLE},
 rows_ AS (
-  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT + 16 AS size,
-    xor(list_reduce(
-      list_transform(range(1, 2 * coalesce(strlen(text), 0) + 1, 2), lambda i: ('0x' || substr(hex(encode(text)), i, 2))::BIGINT),
-      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32
+  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT + 16 AS size, {_crc32("text")} AS text_crc32
   FROM documents, crc_table
 ),
 numbered AS (
@@ -269,3 +300,52 @@ SELECT doc_id, size, source_size, target, (taken0 + taken1)::BIGINT AS taken,
   round(2 * u / ((1 + slope) + sqrt(greatest((1 + slope) * (1 + slope) - 4 * slope * u, 0))), 9) AS position
 FROM timed
 """
+
+#: Levels of runs of three in the SQL, enough for 3 ** 14 leaves of a source and sources.
+SQL_LEVELS = 14
+
+
+def _merkle_sql() -> str:
+    """The trees level by level: t0 are the leaves, u0 the sources' roots; a tree of one node stays as it is."""
+    value = lambda x: f"coalesce(strlen({x}::VARCHAR)::VARCHAR || ':' || {x}::VARCHAR, '-')"
+    values = " || ".join(value(c) for c in LEAF_VALUES[:-1])
+
+    def levels(t: str) -> str:
+        out = []
+        for k in range(SQL_LEVELS):
+            out.append(f"""{t}{k + 1} AS MATERIALIZED (
+  SELECT g, p // 3 AS p, (max(n) + 2) // 3 AS n, CASE WHEN max(n) = 1 THEN any_value(x) ELSE sha256(string_agg(x, '' ORDER BY p)) END AS x FROM {t}{k} GROUP BY g, p // 3
+)""")
+        return ",\n".join(out)
+
+    def walk(t: str, w: str, first: str) -> str:
+        """What each document's proof is and where its claimed leaf leads, with the siblings of each level."""
+        out = [f"{w}0 AS MATERIALIZED ({first})"]
+        for k in range(SQL_LEVELS):
+            run = lambda side: f"coalesce((SELECT string_agg(x, '' ORDER BY p) FROM {t}{k} s WHERE s.g = w.g AND s.p // 3 = w.p // 3 AND s.p {side} w.p), '')"
+            out.append(f"""{w}{k + 1} AS MATERIALIZED (
+  SELECT r, g, p // 3 AS p, (n + 2) // 3 AS n, proof || before || after AS proof, CASE WHEN n = 1 THEN x ELSE sha256(before || x || after) END AS x
+  FROM (SELECT *, {run("<")} AS before, {run(">")} AS after FROM {w}{k} w)
+)""")
+        return ",\n".join(out)
+
+    return f"""
+WITH {_CRC_TABLE},
+leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS g, sha256({values} || {value("text")}) AS x,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN sha256({values} || {value("replace(text, chr(10), '')")}) ELSE sha256({values} || {value("text")}) END AS claimed
+  FROM documents, crc_table
+),
+t0 AS MATERIALIZED (
+  SELECT r, doc_id, g, x, claimed, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, x, r) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM leaves
+),
+{levels("t")},
+u0 AS MATERIALIZED (
+  SELECT '' AS g, g AS source, row_number() OVER (ORDER BY encode(g)) - 1 AS p, count(*) OVER () AS n, x FROM t{SQL_LEVELS}
+),
+{levels("u")},
+{walk("t", "w", "SELECT r, g, p, n, '' AS proof, claimed AS x FROM t0")},
+{walk("u", "v", f"SELECT r, '' AS g, u0.p, u0.n, proof, w{SQL_LEVELS}.x FROM w{SQL_LEVELS} JOIN u0 ON u0.source = w{SQL_LEVELS}.g")}
+SELECT t0.doc_id, t0.x AS leaf, u0.x AS subroot, u{SQL_LEVELS}.x AS root, sha256(v.proof) AS proof_sha256, v.x AS folded_root, v.x = u{SQL_LEVELS}.x AS verified
+FROM v{SQL_LEVELS} v JOIN t0 USING (r) JOIN u0 ON u0.source = t0.g, u{SQL_LEVELS}
+"""
