@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_id, merkle, mixing, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, whitening
+from . import embedding_dedup, exact_dedup, language_id, merkle, mixing, packing, quality, sharding, simhash, substring_dedup, suffix_dedup, toxicity, whitening
 from .common import LOWER, UPPER, width
 from .numbering import BLOCKS, PRIME, STEP
 
@@ -74,6 +74,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     model = whitening.fit(vectors)
@@ -108,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_quality": op11_quality,
         "op12_whitening": op12_whitening,
         "op13_merkle": op13_merkle,
     }
