@@ -21,7 +21,20 @@ SPACES = (
     "\t\n\x0b\x0c\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
-_SPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in SPACES) + "]+"
+
+
+def _class(chars: str) -> str:
+    """A regular expression's class of the characters; those that follow one another beyond Latin are a range, which is tested at once."""
+    out: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if out and c > 0xFF and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "[" + "".join(f"\\x{{{low:x}}}" + f"-\\x{{{high:x}}}" * (high > low) for low, high in out) + "]"
+
+
+_SPACE_CLASS = _class(SPACES) + "+"
 
 # Words too common in this corpus to weigh much.
 GENERIC_WORDS = (
@@ -109,7 +122,11 @@ def phrase_of(query: str | None) -> str:
     return re.sub(f"[{SPACES}]+", " ", normalise_text(query)).strip(SPACES)
 
 
-def contains_phrase(content_norm: Column, query: str, longer_than: int = 6) -> Column:
+#: A phrase counts if it is longer than that.
+PHRASE_BEYOND = 6
+
+
+def contains_phrase(content_norm: Column, query: str, longer_than: int = PHRASE_BEYOND) -> Column:
     """Whether the phrase, if it is longer than that, stands in the text."""
     phrase = phrase_of(query)
     return content_norm.contains(phrase) if len(phrase) > longer_than else F.lit(False)

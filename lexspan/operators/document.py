@@ -34,10 +34,12 @@ def reassemble(chunks: DataFrame) -> DataFrame:
     """
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        text = ""
+        pieces, end = [], ""  # an overlap never reaches beyond the end, so the text isn't copied for each chunk
         for chunk in pdf.sort_values("chunk_no")["content"]:
-            text = join_overlapping(text, chunk)
-        return pd.DataFrame({"file": [pdf["file"].iloc[0]], "chunk_count": [len(pdf)], "text": [text]})
+            joined = join_overlapping(end, chunk)
+            pieces.append(joined[len(end) :])
+            end = joined[-MOST_OVERLAP:]
+        return pd.DataFrame({"file": [pdf["file"].iloc[0]], "chunk_count": [len(pdf)], "text": ["".join(pieces)]})
 
     return chunks.select("file", "chunk_no", "content").groupBy("file").applyInPandas(fold, "file string, chunk_count long, text string")
 
