@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, folder_of, normalise
+from ..sources.durable import durable
 
 
 @dataclass(frozen=True)
@@ -30,13 +31,28 @@ class ChunkSize:
 
 
 def windows(cleaned: Column, size: ChunkSize = ChunkSize()) -> Column:
-    """Array of (chunk_no, start, content): trimmed windows of cleaned text and where they begin, empty ones left out."""
-    starts = F.sequence(F.lit(0), F.length(cleaned) - 1, F.lit(size.step))
-    cut = F.transform(
-        F.when(F.length(cleaned) > 0, starts).otherwise(F.array().cast("array<int>")),
-        lambda at: F.struct((at + F.when(F.substring(cleaned, at + 1, F.lit(1)) == " ", 1).otherwise(0)).alias("start"), F.trim(F.substring(cleaned, at + 1, F.lit(size.size))).alias("content")),
-    )
-    kept = F.filter(cut, lambda w: w["content"] != "")
+    """Array of (chunk_no, start, content): trimmed windows of cleaned text and where they begin, empty ones left out.
+
+    The text is cut once, into blocks of a step; a window is its block and the beginning of
+    those behind it. So the work grows with the text's length, however long it is, and a
+    task holds a text, its blocks and its windows.
+    """
+    more = -(-size.overlap // size.step)  # blocks that a window reaches into beyond its own
+
+    def cut(blocks: Column) -> Column:
+        def window(block: Column, i: Column) -> Column:
+            if more == 1:
+                whole = F.concat(block, F.coalesce(F.substring(F.get(blocks, i + 1), 1, size.overlap), F.lit("")))
+            else:
+                whole = F.substring(F.array_join(F.slice(blocks, i + 1, F.lit(more + 1)), ""), 1, size.size)
+            start = i * F.lit(size.step) + F.when(F.substring(block, 1, 1) == " ", 1).otherwise(0)
+            return F.struct(start.cast("int").alias("start"), F.trim(whole).alias("content"))
+
+        return F.transform(blocks, window)
+
+    blocks = F.regexp_extract_all(cleaned, F.lit(f"(?s).{{1,{size.step}}}"), F.lit(0))
+    # The blocks are an argument of a lambda, so that they are made once and not for each window.
+    kept = F.filter(F.flatten(F.transform(F.array(blocks), cut)), lambda w: w["content"] != "")
     return F.transform(kept, lambda w, i: F.struct(i.alias("chunk_no"), w["start"].alias("start"), w["content"].alias("content")))
 
 
@@ -61,13 +77,14 @@ def in_ingest_order(chunks: DataFrame) -> DataFrame:
     """Adds doc_ord, the rank of the chunk's file by collated path: the tie-break of searches.
 
     Files are ranked by a fixed number of range partitions and their counts, so no single
-    task sorts them all. The ranges are kept while the ranks are made from them.
+    task sorts them all; the ranges are a checkpoint while the ranks are made from them.
     """
     files = chunks.select("file").distinct()
     ranged = files.withColumn("__key", F.expr("file COLLATE UNICODE"))
     ranges = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = ranged.repartitionByRange(ranges, "__key", "file").sortWithinPartitions("__key", "file").withColumn("__id", F.monotonically_increasing_id()).persist()
+    sorted_ = durable(ranged.repartitionByRange(ranges, "__key", "file").sortWithinPartitions("__key", "file").withColumn("__id", F.monotonically_increasing_id()).drop("__key"))
     parts = sorted_.withColumn("__part", F.shiftright("__id", 33).cast("int")).withColumn("__at", F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)))
+    # One row a range.
     before = parts.groupBy("__part").count().withColumn("__before", F.sum("count").over(Window.orderBy("__part")) - F.col("count")).select("__part", "__before")
     ranks = parts.join(before, "__part").select("file", (F.col("__before") + F.col("__at")).alias("doc_ord"))
     return chunks.join(ranks, "file")

@@ -34,8 +34,9 @@ class Rebuild:
 
         The changed files are worked off in batches of about checkpoint_every files, but at
         most MOST_CHECKPOINTS batches; each but the last is published as a checkpoint, which
-        a later run resumes. A file is extracted in one batch only: later ones take its
-        chunks over from the checkpoint. Only chunks of unchanged files are ever taken over.
+        a later run resumes. A file is extracted and its chunks are written in one batch only: later
+        ones list its shards. Only chunks of unchanged files are ever taken over, and only
+        shards that also held others are written anew.
         The report names up to NAMED_FAILURES files that failed; the states have them all.
         An empty index is an error, and nothing is published then.
         """
@@ -63,23 +64,26 @@ class Rebuild:
         states = store.states(base) if base else spark.createDataFrame([], STATES)
         gone = diff.deleted(current, states)
         todo = diff.changed(current, states).withColumn("__n", F.pmod(F.xxhash64("file"), F.lit(2**31))).cache()
-        n_changed, kept = todo.count(), diff.unchanged(current, states)
-        taken = diff.copy_chunks(store.chunks(base), kept) if base else None
-        done_states = states.join(diff.completed(current, states).select("file"), "file", "left_semi")
+        n_changed, done = todo.count(), diff.completed(current, states).select("file")
+        # Shards without a file that is gone or to be worked off again stay as they are; the rest of the others is written anew.
+        stale = states.where("status = 'indexed'").select("file").join(diff.unchanged(current, states), "file", "left_anti").cache()
+        shards, taken = (store.holding(base, stale) if not stale.isEmpty() else (base["shards"], None)) if base else ([], None)
+        done_states = states.join(done, "file", "left_semi")
         batches = min(MOST_CHECKPOINTS, max(1, -(-n_changed // checkpoint_every))) if checkpoint_every and publish else 1
         counts = {
             "discoveredFiles": discovered, "unchangedFiles": done_states.where("status = 'indexed'").count(), "changedFiles": n_changed, "deletedFiles": gone.count(),
             "indexedFiles": 0, "skippedFiles": 0, "copiedChunks": done_states.where("status = 'indexed'").agg(F.sum("chunks")).first()[0] or 0, "newChunks": 0, "failures": [],
         }
+        streams = (base or {}).get("streams", {})
         for k in range(batches):
             own = todo.where(F.col("__n") % batches == k).select("file")
-            self._batch(files, current, own, taken, done_states, gone, counts, k == batches - 1, publish)
+            self._batch(files, current, own, (shards, taken), done_states, gone, counts, k == batches - 1, publish, streams)
             if k < batches - 1:
                 made = store.checkpoint(self.commit)
-                taken, done_states = store.chunks(made), store.states(made)
+                shards, taken, done_states = made["shards"], None, store.states(made)
         report = self._report(counts) | {"noChanges": False, "published": publish}
-        current.unpersist()
-        todo.unpersist()
+        for kept in (current, todo, stale):
+            kept.unpersist()
         return report
 
     @staticmethod
@@ -89,7 +93,7 @@ class Rebuild:
             "processedChangedFiles": worked, "remainingChangedFiles": max(counts["changedFiles"] - worked, 0), "totalChunks": counts["copiedChunks"] + counts["newChunks"],
         }
 
-    def _batch(self, files, current, own, taken, done_states, gone, counts, final, publish) -> None:
+    def _batch(self, files, current, own, base, done_states, gone, counts, final, publish, streams) -> None:
         """Extracts a batch, adds to the counts, and publishes what is done by then."""
         texts = extract(files.join(own, "file", "left_semi"), self.readers, self.timeout).cache()
         new = chunk_documents(texts.where("ok"), self.size)
@@ -98,10 +102,10 @@ class Rebuild:
             texts.join(counted, "file", "left").join(current.select("file", "sha256", "size"), "file")
             .select("file", "sha256", "size", F.when(F.col("ok"), "indexed").otherwise("skipped").alias("status"), "reason", F.coalesce("chunks", F.lit(0)).cast("long").alias("chunks"))
         )
-        fields = ["file", "folder", "chunk_no", "start", "content", "content_norm", "path_norm"]
-        chunks = searchable(new).select(*fields)
+        shards, taken = base
+        chunks = searchable(new)
         if taken is not None:
-            chunks = diff.union_index(taken.select(*fields), chunks)
+            chunks = diff.union_index(taken.select(*chunks.columns), chunks)
         merged = diff.merge_states(done_states, fresh, gone)
         for r in fresh.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("chunks").alias("c")).collect():
             counts[f"{r['status']}Files"] += r["n"]
@@ -113,6 +117,7 @@ class Rebuild:
             raise ValueError("the rebuild made an empty index")
         if publish:
             kind = "final" if final else "checkpoint"
-            self.store.publish(chunks, merged, build_manifest(report, report["totalChunks"], final, self.commit), kind)
+            manifest = build_manifest(report, report["totalChunks"], final, self.commit) | {"streams": streams}
+            self.store.publish(chunks, merged, manifest, kind, shards)
             self.published_at[kind] = now()
         texts.unpersist()

@@ -36,6 +36,7 @@ class Service:
         self.manifest: dict | None = None
         self.mode = "none"
         self.loaded_at: str | None = None
+        self._chunks: DataFrame | None = None
 
     def load(self) -> bool:
         """Opens the final snapshot, or a checkpoint while there is none; whether it has chunks.
@@ -45,8 +46,8 @@ class Service:
         manifest, mode = self.store.manifest("final"), "final"
         if manifest is None:
             manifest, mode = self.store.checkpoint(self.rebuild_plan.commit), "checkpoint"
-        if manifest:
-            self.store.chunks(manifest)
+        if manifest and manifest["snapshot"] != (self.manifest or {}).get("snapshot"):
+            self._chunks = self.store.chunks(manifest)
             self.loaded_at = now()
         self.manifest, self.mode = manifest, mode if manifest else "none"
         return self.indexed_chunks > 0
@@ -60,7 +61,8 @@ class Service:
         return {"indexMode": self.mode, "indexedChunks": self.indexed_chunks, "rebuildInProgress": self.rebuild_plan._running.locked()}
 
     def chunks(self) -> DataFrame:
-        return self.store.chunks(self.manifest)
+        """The open snapshot, held with its listing of files until another one is loaded."""
+        return self._chunks
 
     def status(self) -> dict:
         """Counters and mode of the snapshot that is searched."""
@@ -95,7 +97,7 @@ class Service:
         if not self.indexed_chunks:
             return 503, {"error": "no index is loaded"}
         limit = clamp_int(body.get("limit"), DEFAULT_LIMIT, LEAST_LIMIT, MOST_LIMIT)
-        page = read_document(self.chunks(), file, clamp_int(body.get("offset"), 0, 0, 2**31 - 1), limit).first()
+        page = read_document(self.store.chunks_of(self.manifest, file), file, clamp_int(body.get("offset"), 0, 0, 2**31 - 1), limit).first()
         return (404, {"error": "the file is not in the index", "file": file}) if page is None else (200, {_camel(c): v for c, v in page.asDict().items()} | self._index())
 
     def refusal(self, token: str | None) -> tuple[int, dict] | None:

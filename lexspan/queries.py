@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .operators import diff
-from .operators.chunking import chunk_documents, chunk_stats, searchable
+from .operators.chunking import chunk_documents, chunk_stats, in_ingest_order, searchable
 from .operators.document import reassemble, reassemble_exactly
-from .operators.scoring import CompiledQuery, unique_queries
-from .operators.search import scored, search
+from .operators.scoring import CompiledQuery, distinct_queries
+from .operators.search import scored, search, search_many
 from .operators.shards import assign_shards, shard_descriptors
 from .sources.files import ROOTS
 from .sources.ndjson import parse_lines, to_lines
 
 QUERIES = ["the that with", "state from src3 the", "que état des", "the"]
 SINGLE = "état que national"
-SPELLINGS = ["The  that", "the that", " the  that ", "", "État", "etat", "National Act", "für", "FUR", "a", "b", "c", "d", "e"]
+#: Query sets that one scan answers.
+SETS = {
+    "all": QUERIES, "ties": ["for the"], "accents": ["État que national", "etat national"], "twice": ["the the"], "none": ["zzzz yyyy"], "laws": ["national act from src3", "the law of the state", "ción del"],
+}
 TERMS = ["the", "on", "aa", "état"]
 SHARD = 200_000
 
@@ -93,6 +96,15 @@ def search_topk(spark, d):
     return search(chunks(spark, d), QUERIES).select("file", "chunk_no", "score")
 
 
+def search_sets(spark, d):
+    found = search_many(chunks(spark, d), SETS)
+    return found.select("query_set", "file", "chunk_no", "score", F.array_join("matched_queries", "|").alias("matched"), F.array_join("matched_terms", "|").alias("terms"))
+
+
+def ingest_order(spark, d):
+    return in_ingest_order(corpus(spark, d).select("file", "doc_id"))
+
+
 def search_topk_ties(spark, d):
     return search(chunks(spark, d), ["for the"]).select("file", "chunk_no", "score")
 
@@ -106,7 +118,11 @@ def matched_terms(spark, d):
 
 
 def unique_spellings(spark, d):
-    return spark.createDataFrame([(k, q) for k, q in enumerate(unique_queries(SPELLINGS))], "query_no long, query string")
+    """The queries of each conversation: a turn's text, its role, and the same in capitals between spaces."""
+    turns = table(spark, d, "conversations")
+    spellings = F.posexplode(F.array("text", "role", F.concat(F.lit("  "), F.upper("role"), F.lit(" ")), F.lit(" ")))
+    asked = turns.select("conv_id", "turn", spellings.alias("k", "query")).select("conv_id", (F.col("turn") * 4 + F.col("k")).alias("pos"), "query")
+    return distinct_queries(asked, "conv_id", "pos", "query")
 
 
 def distinct_path_bonus(spark, d):
@@ -201,7 +217,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "clean_text": clean_text, "normalise_text": normalise_text, "query_terms": query_terms, "generic_terms": generic_terms,
         "count_occurrences": count_occurrences, "folder_of": folder_of, "chunk_documents": chunked, "chunk_stats": stats,
-        "score_single": score_single, "score_multi": score_multi, "search_topk": search_topk, "search_topk_ties": search_topk_ties,
+        "score_single": score_single, "score_multi": score_multi, "search_topk": search_topk, "search_topk_ties": search_topk_ties, "search_many": search_sets, "ingest_order": ingest_order,
         "matched_queries": matched_queries, "matched_terms": matched_terms, "unique_queries": unique_spellings,
         "distinct_path_bonus": distinct_path_bonus, "phrase_bonus": phrase_bonus,
         "sources_match": _diff(diff.sources_match), "completed": _diff(diff.completed), "changed": _diff(diff.changed),
@@ -294,7 +310,6 @@ def oracle_sql() -> dict[str, str]:
     counts = ", ".join(f"((length(lower(text)) - length(replace(lower(text), '{t}', ''))) // {len(t)})::INTEGER AS n{k}" for k, t in enumerate(TERMS))
     words = lambda column: f"list_filter(regexp_split_to_array(strip_accents(lower({column})), '[^\\p{{L}}\\p{{N}}_-]+'), lambda t: length(t) > 2)"
     generic = ", ".join(f"'{w}'" for w in T.GENERIC_WORDS)
-    spellings = ", ".join(f"({k}, '{q}')" for k, q in enumerate(SPELLINGS))
     return {
         "clean_text": f"WITH {_DOCS} SELECT doc_id, x AS cleaned FROM docs",
         "normalise_text": "SELECT doc_id, strip_accents(lower(text)) AS normalised FROM documents",
@@ -308,12 +323,23 @@ def oracle_sql() -> dict[str, str]:
         "score_multi": f"WITH {_multi(QUERIES)} SELECT file, chunk_no, score FROM hits",
         "search_topk": f"WITH {_multi(QUERIES)} SELECT file, chunk_no, score FROM hits ORDER BY score DESC, doc_id, chunk_no LIMIT 8",
         "search_topk_ties": f"WITH {_multi(['for the'])} SELECT file, chunk_no, score FROM hits ORDER BY score DESC, doc_id, chunk_no LIMIT 8",
+        "search_many": "\nUNION ALL ".join(
+            f"""SELECT '{name}' AS query_set, * FROM (
+  WITH {_multi(own)} SELECT file, chunk_no, score, queries AS matched, array_to_string(list_filter(terms, lambda t, i: list_position(terms, t) = i), '|') AS terms
+  FROM hits ORDER BY score DESC, doc_id, chunk_no LIMIT 8)""" for name, own in SETS.items()
+        ),
+        # In these paths the collation puts _ before . before / before digits before letters, and case after all else.
+        "ingest_order": f"WITH {_DOCS} SELECT doc_id, file, row_number() OVER (ORDER BY translate(lower(file), '_./', chr(1) || chr(2) || chr(3)), file) - 1 AS doc_ord FROM docs",
         "matched_queries": f"WITH {_multi(QUERIES)} SELECT file, chunk_no, queries AS matched FROM hits",
         "matched_terms": f"""WITH {_multi(QUERIES)} SELECT file, chunk_no, array_to_string(list_filter(terms, lambda t, i: list_position(terms, t) = i), '|') AS matched FROM hits""",
-        "unique_queries": f"""
-SELECT row_number() OVER (ORDER BY pos) - 1 AS query_no, trim(q) AS query
-FROM (SELECT pos, q, row_number() OVER (PARTITION BY strip_accents(lower(trim(q))) ORDER BY pos) AS n FROM (VALUES {spellings}) AS v(pos, q) WHERE trim(q) <> '')
-WHERE n = 1 ORDER BY pos LIMIT 8""",
+        "unique_queries": """
+WITH asked AS (
+  SELECT conv_id, turn * 4 + k - 1 AS pos, trim([text, role, '  ' || upper(role) || ' ', ' '][k]) AS q FROM conversations, (SELECT unnest([1, 2, 3, 4]) AS k)
+),
+firsts AS (
+  SELECT conv_id, q, pos FROM asked WHERE q <> '' QUALIFY row_number() OVER (PARTITION BY conv_id, strip_accents(lower(q)) ORDER BY pos) = 1
+)
+SELECT conv_id, (row_number() OVER w - 1)::INTEGER AS query_no, q AS query FROM firsts WINDOW w AS (PARTITION BY conv_id ORDER BY pos) QUALIFY row_number() OVER w <= 8""",
         "distinct_path_bonus": f"WITH {_NORM} SELECT file, chunk_no, ({_score_sql(QUERIES[1])[2]})::BIGINT AS bonus FROM norm",
         "phrase_bonus": f"WITH {_NORM} SELECT file, chunk_no, (35 * contains(cn, 'the that')::INTEGER)::INTEGER AS bonus, 0 AS too_short FROM norm",
         "sources_match": f"""WITH {_SOURCES},

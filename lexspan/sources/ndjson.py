@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACES
@@ -28,21 +30,55 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     return lines.select(*kept, F.inline(F.filter(members, lambda m: m["file"].isNotNull() & m["content"].isNotNull())))
 
 
-def read_ndjson(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """file, folder, content, shard_no, line_no of the given shards, in that order; a missing one is skipped."""
-    out = None
+#: Paths are compared as URIs with one slash behind the scheme: Spark gives `file:///a` for `file:/a`.
+SCHEME = r"^([A-Za-z0-9+.-]+:)/+"
+
+
+def _present(spark: SparkSession, paths: list[str]) -> list[tuple[str, str, int]]:
+    """(path, its URI, number from 1) of the files that are there, from one listing a folder."""
+    path_type, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    uri = lambda p: re.sub(SCHEME, r"\1/", p.toUri().toString())
+    wanted, folders = [], {}
     for number, path in enumerate(paths, 1):
-        try:
-            lines = spark.read.text(path)
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                continue
-            raise
-        own = lines.select("value", F.lit(number).alias("shard_no"), F.monotonically_increasing_id().alias("line_no"))
-        out = own if out is None else out.unionByName(own)
-    if out is None:
-        out = spark.createDataFrame([], "value string, shard_no int, line_no long")
-    return parse_lines(out).select("file", "folder", "content", "shard_no", "line_no")
+        full = path_type(path)
+        full = full.getFileSystem(conf).makeQualified(full)
+        wanted.append((full.toString(), uri(full), number))
+        folders.setdefault(full.getParent().toString(), full)
+    there = set()
+    for full in folders.values():
+        fs, folder = full.getFileSystem(conf), full.getParent()
+        if fs.exists(folder):
+            there.update(uri(s.getPath()) for s in fs.listStatus(folder) if s.isFile())
+    return [w for w in wanted if w[1] in there]
+
+
+def read_ndjson(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """file, folder, content, shard_no, block, line_no of the given shards; a missing one is skipped, one listed twice is read twice.
+
+    One scan, however many shards there are: a shard's number goes by the path that a line
+    came from. (shard_no, block, line_no) is the order of the lines: block is where the split
+    of the file begins that holds the line, line_no grows inside it. `numbered` makes it gapless.
+    """
+    known = _present(spark, paths)
+    if not known:
+        return spark.createDataFrame([], "file string, folder string, content string, shard_no int, block long, line_no long")
+    lines = spark.read.text(sorted({p for p, _, _ in known})).select(
+        "value", F.regexp_replace("_metadata.file_path", SCHEME, "$1/").alias("__path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_no")
+    )
+    numbers = spark.createDataFrame([(u, n) for _, u, n in known], "__path string, shard_no int")  # a row a shard, from the caller
+    return parse_lines(lines.join(F.broadcast(numbers), "__path")).select("file", "folder", "content", "shard_no", "block", "line_no")
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines of `read_ndjson` with line_no gapless from 0 in each shard, without their block.
+
+    A second pass counts the lines of each split; splits are few, and are only broadcast if Spark measures them so.
+    """
+    splits = lines.groupBy("shard_no", "block").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("shard_no").orderBy("block")) - F.col("__n")
+    inside = F.row_number().over(Window.partitionBy("shard_no", "block").orderBy("line_no"))
+    met = lines.withColumn("__in", inside).join(splits.select("shard_no", "block", before.alias("__before")), ["shard_no", "block"])
+    return met.select("file", "folder", "content", "shard_no", (F.col("__before") + F.col("__in") - 1).alias("line_no"))
 
 
 def to_lines(chunks: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
-"""Versioned snapshots of an index: Parquet shards of chunks, a manifest that lists them, and a pointer swapped last.
+"""Versioned snapshots of an index: commits of Parquet shards, manifests that list shards of several commits, and a pointer swapped last.
 
-All file access goes through Hadoop's file system, so a store may lie wherever Spark reads.
+A commit writes its own new shards only and numbers them on from those that its snapshot
+takes over, so a checkpoint costs what is new in it. All file access goes through Hadoop's
+file system, so a store may lie wherever Spark reads.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from datetime import UTC, datetime
 
@@ -13,21 +16,30 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.chunking import in_ingest_order
-from ..operators.shards import DEFAULT_MB, LEAST_MB, line_bytes
+from ..operators.shards import DEFAULT_MB, LEAST_MB, assign_shards, line_bytes, shard_name
+from .ndjson import write_shards
 
-VERSION = 5
+VERSION = 6
+CHUNK = "file string, folder string, chunk_no int, start int, content string, content_norm string, path_norm string"
+#: Seconds for which what no pointer reaches is kept.
+GRACE = 3600
+
+
+def collated(column: str = "file") -> F.Column:
+    """Sorts files in ingest order."""
+    return F.expr(f"{column} COLLATE UNICODE")
 
 
 class Store:
     """A folder of snapshots. `final` and `checkpoint` each point to one of them.
 
     shard_mb bounds the chunks of a shard, counted as lines of JSON. The manifest has an
-    entry a shard, so it should grow with the corpus: 1024 makes 100,000 of 100 TB.
+    entry a shard, so it should grow with the corpus: 1024 makes 100,000 of 100 TB. One
+    writer at a time; readers need no lock.
     """
 
-    def __init__(self, spark: SparkSession, root: str, shard_mb: int = DEFAULT_MB):
-        self.spark, self.root, self.shard_mb = spark, root.rstrip("/"), max(LEAST_MB, shard_mb)
+    def __init__(self, spark: SparkSession, root: str, shard_mb: int = DEFAULT_MB, grace: float = GRACE):
+        self.spark, self.root, self.shard_mb, self.grace = spark, root.rstrip("/"), max(LEAST_MB, shard_mb), grace
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -54,29 +66,80 @@ class Store:
         context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
         context.rename(context.makeQualified(beside), context.makeQualified(path), overwrite)
 
-    def publish(self, chunks: DataFrame, states: DataFrame, manifest: dict, kind: str = "final") -> dict:
-        """Writes a snapshot, its chunks ranked in ingest order, and then points to it; a final one drops the checkpoint.
+    def commit(self, chunks: DataFrame, after: int = 0) -> list[dict]:
+        """Writes chunks as new shards, numbered on from `after`; their entries in the manifest.
 
-        A shard holds as many chunks as stay within shard_mb however long their lines are;
-        a single longer line is a shard of its own.
+        Shards are those of next-fit over the lines of JSON in ingest order, a file each;
+        bytes are those on disk, lineBytes those of the lines, first and last the
+        least and greatest file, by which readers pick shards.
         """
+        at = f"commits/{uuid.uuid4().hex}"
+        ordered = chunks.select(*[f.split()[0] for f in CHUNK.split(", ")]).withColumn("__ord", collated())
+        sharded = assign_shards(ordered, int(self.shard_mb * 1024 * 1024), "__ord").withColumn("shard_no", F.col("shard_no") + after)
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        sorted_ = sharded.repartition(n, "shard_no").sortWithinPartitions("shard_no", "__ord", "file", "chunk_no").drop("__ord", "line_bytes")
+        sorted_.write.partitionBy("shard_no").parquet(f"{self.root}/{at}")
+        written = self.spark.read.schema(f"{CHUNK}, shard_no int").parquet(f"{self.root}/{at}").select("*", "_metadata.file_name", "_metadata.file_size")
+        shards = written.groupBy("shard_no", "file_name", "file_size").agg(
+            F.count(F.lit(1)).alias("chunks"), F.sum(line_bytes()).alias("lines"), F.min("file").alias("first"), F.max("file").alias("last")
+        )
+        return [
+            {
+                "file": f"{at}/shard_no={r['shard_no']}/{r['file_name']}", "name": shard_name(r["shard_no"]), "number": r["shard_no"], "chunks": r["chunks"],
+                "bytes": r["file_size"], "lineBytes": r["lines"], "first": r["first"], "last": r["last"],
+            }
+            for r in shards.orderBy("shard_no").collect()  # an entry a shard
+        ]
+
+    def publish(self, chunks: DataFrame | None, states: DataFrame, manifest: dict, kind: str = "final", kept: list[dict] | None = None) -> dict:
+        """Commits new chunks behind the `kept` shards of earlier commits and then points to the snapshot of both.
+
+        A final one drops the checkpoint and what no pointer reaches any more, but for the
+        final snapshot before it, which readers may still hold open.
+        """
+        kept = kept or []
+        new = self.commit(chunks, max((s["number"] for s in kept), default=0)) if chunks is not None else []
         at = f"snapshots/{kind}-{uuid.uuid4().hex}"
-        longest = chunks.agg(F.max(line_bytes())).first()[0] or 1
-        most = max(1, int(self.shard_mb * 1024 * 1024 // longest))
-        in_ingest_order(chunks).write.option("maxRecordsPerFile", most).parquet(f"{self.root}/{at}/chunks")
         states.write.parquet(f"{self.root}/{at}/sources")
-        manifest = manifest | {"snapshot": at, "shardSizeMB": self.shard_mb, "shards": self._shards(at)}
+        manifest = manifest | {"snapshot": at, "shardSizeMB": self.shard_mb, "shards": kept + new}
         self._write(f"{at}/manifest.json", json.dumps(manifest, indent=2, ensure_ascii=False))
-        self._write(f"{kind}.json", json.dumps({"snapshot": at}))
+        before = json.loads(self._read(f"{kind}.json") or "{}").get("snapshot")
+        self._write(f"{kind}.json", json.dumps({"snapshot": at, "previous": before}))
         if kind == "final":
             self._fs.delete(self._path(f"{self.root}/checkpoint.json"), False)
+            self.clean()
         return manifest
 
-    def _shards(self, at: str) -> list[dict]:
-        """file, chunks and bytes on disk of each file with chunks, by their names."""
-        written = self.spark.read.parquet(f"{self.root}/{at}/chunks").select("_metadata.file_name", "_metadata.file_size")
-        files = written.groupBy(F.col("file_name").alias("file"), F.col("file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("chunks"))
-        return [{"file": r["file"], "chunks": r["chunks"], "bytes": r["bytes"]} for r in files.orderBy("file").collect()]  # an entry a shard
+    def _listed(self, folder: str) -> list[tuple[str, float]]:
+        """Names in a folder and when they were last changed."""
+        path = self._path(f"{self.root}/{folder}")
+        return [(f"{folder}/{s.getPath().getName()}", s.getModificationTime() / 1000) for s in self._fs.listStatus(path)] if self._fs.exists(path) else []
+
+    def clean(self) -> list[str]:
+        """Removes snapshots that no pointer reaches, and commits of which no snapshot left lists a shard, once they are `grace` seconds old."""
+        pointers = [json.loads(self._read(f"{kind}.json") or "{}") for kind in ("final", "checkpoint")]
+        reached = {p[k] for p in pointers for k in ("snapshot", "previous") if p.get(k)}
+        used = set()
+        for snapshot in reached:
+            for s in json.loads(self._read(f"{snapshot}/manifest.json") or '{"shards": []}')["shards"]:
+                used.add("/".join(s["file"].split("/")[:2]))
+        old = time.time() - self.grace
+        gone = [name for folder, kept in (("snapshots", reached), ("commits", used)) for name, changed in self._listed(folder) if name not in kept and changed <= old]
+        for name in gone:
+            self._fs.delete(self._path(f"{self.root}/{name}"), True)
+        return gone
+
+    def holding(self, manifest: dict, files: DataFrame) -> tuple[list[dict], DataFrame | None]:
+        """The shards without chunks of `files`, and the chunks of the others that aren't of them (None: there is no such shard)."""
+        paths = self.chunks(manifest).select("file", "_metadata.file_path").join(files.select("file").distinct(), "file", "left_semi")
+        hit = {r["file_path"].rsplit("/", 1)[1] for r in paths.select("file_path").distinct().collect()}  # at most a path a shard
+        touched = [s for s in manifest["shards"] if s["file"].rsplit("/", 1)[1] in hit]
+        rest = self.chunks(manifest | {"shards": touched}).join(files.select("file").distinct(), "file", "left_anti") if touched else None
+        return [s for s in manifest["shards"] if s not in touched], rest
+
+    def export(self, manifest: dict, folder: str) -> None:
+        """The whole index as shards of lines of JSON, numbered by next-fit over all chunks in ingest order."""
+        write_shards(assign_shards(self.chunks(manifest), int(self.shard_mb * 1024 * 1024)), folder)
 
     def manifest(self, kind: str = "final") -> dict | None:
         """The manifest that a pointer leads to; None without one. A damaged one is an error."""
@@ -92,15 +155,21 @@ class Store:
         return None if found and commit and found.get("buildCommit") and found["buildCommit"] != commit else found
 
     def chunks(self, manifest: dict) -> DataFrame:
-        """The chunks of exactly the shards listed; a missing one is an error at once."""
-        folder = f"{self.root}/{manifest['snapshot']}/chunks"
+        """The chunks of exactly the shards listed, with doc_ord to sort them; a missing one is an error at once."""
+        paths = [f"{self.root}/{s['file']}" for s in manifest["shards"]]
+        if not paths:
+            return self.spark.createDataFrame([], CHUNK).withColumn("doc_ord", collated())
         try:
-            return self.spark.read.parquet(*[f"{folder}/{s['file']}" for s in manifest["shards"]] or [folder])
+            return self.spark.read.schema(CHUNK).parquet(*paths).withColumn("doc_ord", collated())
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
-                raise ValueError(f"a shard is missing: {error.getMessageParameters().get('path', folder)}") from error
+                raise ValueError(f"a shard is missing: {error.getMessageParameters().get('path', self.root)}") from error
             raise
 
+    def chunks_of(self, manifest: dict, file: str) -> DataFrame:
+        """The chunks of the shards that may hold a file, known by the least and greatest file of each; no other is opened."""
+        return self.chunks(manifest | {"shards": [s for s in manifest["shards"] if s["first"] <= file <= s["last"]]})
+
     def states(self, manifest: dict) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{manifest['snapshot']}/sources")
 

@@ -6,21 +6,24 @@ import zipfile
 import zlib
 from http.client import HTTPConnection
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexspan import queries
 from lexspan.operators.chunking import ChunkSize, chunk_documents, in_ingest_order, searchable
 from lexspan.operators.document import join_overlapping, read_document, reassemble, reassemble_exactly
+from lexspan.operators.scoring import unique_queries
 from lexspan.operators.search import search, search_many
-from lexspan.operators.shards import next_fit
+from lexspan.operators.shards import Effect, assign_shards, next_fit, shard_descriptors, starts
 from lexspan.plans.http import serve, start
 from lexspan.plans.rebuild import Rebuild
 from lexspan.plans.service import Service
 from lexspan.sources.files import discover, extract, extract_one, list_files, source_map
-from lexspan.sources.ndjson import parse_lines, read_ndjson, to_lines
+from lexspan.sources.ndjson import numbered, parse_lines, read_ndjson, to_lines, write_shards
 from lexspan.sources.pdf import pdf_text
 from lexspan.sources.store import Store, validate
-from lexspan.streaming.ingest import ingest_stream
+from lexspan.streaming.ingest import commit_batch, ingest_into, ingest_stream
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -36,13 +39,42 @@ def model_chunks(text, size=1400, step=1200):
 
 @pytest.mark.parametrize("n", [0, 1, 1199, 1200, 1201, 1210, 1219, 1220, 1400, 5000])
 def test_chunks_at_the_edges(spark, n):
-    text = "".join(random.Random(n).choice("abc de😀") for _ in range(n))
+    r = random.Random(n)
+    text = "".join(r.choice("abc de😀") for _ in range(n))
     df = chunk_documents(spark.createDataFrame([("a/b/c.pdf", text)], "file string, text string"))
     assert [r["content"] for r in df.orderBy("chunk_no").collect()] == model_chunks(text)
     exact = reassemble_exactly(df).collect()
     assert [r["text"] for r in exact] == ([" ".join(text.split())] if text.split() else [])
 
 
+@pytest.mark.parametrize("size, overlap", [(200, 0), (200, 60), (200, 100), (200, 150), (200, 199), (333, 200)])
+def test_windows_that_reach_into_many_blocks(spark, size, overlap):
+    r = random.Random(size + overlap)
+    text = "".join(r.choice("abc de😀\n") for _ in range(1500))
+    df = chunk_documents(spark.createDataFrame([("a/b", text), ("a/c", None), ("a/d", " \n ")], "file string, text string"), ChunkSize(size, overlap))
+    got = [tuple(r) for r in df.select("file", "chunk_no", "content").orderBy("file", "chunk_no").collect()]
+    assert got == [("a/b", k, c) for k, c in enumerate(model_chunks(text, size, size - overlap))]
+    assert [r["text"] for r in reassemble_exactly(df).collect()] == [" ".join(text.split())]
+
+
+def test_chunking_takes_linear_time(spark):
+    def seconds(mb):
+        docs = spark.range(1).select(F.lit("a/b").alias("file"), F.repeat(F.lit("some wörds of a text that goes on. "), mb * 28_000).alias("text"))
+        began = time.time()
+        row = chunk_documents(docs).agg(F.count("*"), F.max("start")).first()
+        assert row[0] > mb * 800
+        return time.time() - began
+
+    seconds(4)
+    # Twice the text takes twice the time; a cut that walks from the beginning takes four times.
+    assert min(seconds(16) for _ in range(2)) <= 3 * min(seconds(8) for _ in range(2))
+
+
+def test_unique_queries():
+    assert unique_queries(["The  that", "the that", " the  that ", "", "État", "etat", None, "für", "FUR"]) == ["The  that", "the that", "État", "für"]
+    assert unique_queries([str(k) for k in range(12)]) == [str(k) for k in range(8)] and unique_queries("a") == ["a"]
+
+
 def test_reassembly_of_periodic_text_follows_the_longest_overlap(spark):
     df = chunk_documents(spark.createDataFrame([("f", "x" * 3000)], "file string, text string"))
     assert len(reassemble(df).first()["text"]) == 1800
@@ -69,7 +101,24 @@ def test_top_k_is_a_prefix_and_ties_keep_ingest_order(spark):
     assert search(chunks, ["the"], 5).count() == 0 and search(chunks, [], 5).count() == 0
     plan = search(chunks, queries.QUERIES)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("replace(") == len({t for q in queries.QUERIES for t in q.split()})
-    assert search_many(chunks, {"a": ["alpha beta"], "b": ["gamma delta"]}, 2).groupBy("query_set").count().collect() == [("a", 2)]
+    assert search_many(chunks, {"a": ["alpha beta"], "b": ["gamma delta"], "c": []}, 2).groupBy("query_set").count().collect() == [("a", 2)]
+    assert search_many(chunks, {}).count() == 0
+
+
+def test_a_hundred_sets_are_one_scan_and_a_hundred_searches(spark, tmp_path):
+    r = random.Random(5)
+    words = [*"alpha beta gamma delta law space state the and état".split(), "space-law", "a'b\\"]
+    rows = [(f"0{1 + k % 5}_X/{r.choice(words)}/{k}.pdf", "x", " ".join(r.choice(words) for _ in range(r.randint(0, 12))), k, 0) for k in range(120)]
+    table(spark, rows).write.parquet(f"{tmp_path}/c")
+    chunks = spark.read.parquet(f"{tmp_path}/c")
+    sets = {f"s{k}": [" ".join(r.choice(words) for _ in range(r.randint(1, 4))) for _ in range(r.randint(1, 4))] for k in range(100)}
+    many = search_many(chunks, sets, 3)
+    assert many._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("FileScan parquet") == 1
+    found = {}
+    for row in many.orderBy("query_set", F.desc("score"), "doc_ord").collect():
+        found.setdefault(row["query_set"], []).append(tuple(row)[1:])
+    for name in list(sets)[:25]:
+        assert found.get(name, []) == [tuple(row) for row in search(chunks, sets[name], 3).collect()]
 
 
 def test_top_k_plan_and_pushdown(spark, tmp_path):
@@ -86,8 +135,78 @@ def test_ingest_order_is_collated(spark):
     assert [r["file"] for r in df.orderBy("doc_ord").collect()] == files
 
 
-def test_next_fit():
-    assert next_fit([5, 5, 11, 1, 10, 10], 10) == [1, 1, 2, 3, 4, 5]
+def sequential(sizes, limit):
+    """Shard number, from 1, of each size in order."""
+    out, shard, used = [], 1, 0
+    for size in sizes:
+        if used and used + size > limit:
+            shard, used = shard + 1, 0
+        out.append(shard)
+        used += size
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_effects_of_ranges_compose(seed):
+    r = random.Random(seed)
+    for _ in range(150):
+        limit = r.choice([5, 10, 30, 100])
+        sizes = np.array([r.randint(1, r.choice([3, limit + 5])) for _ in range(r.randint(0, 60))], np.int64)
+        parts = np.split(sizes, sorted(r.randint(0, len(sizes)) for _ in range(r.randint(0, 7))))
+        used, shards, got = 0, 0, []
+        for p in parts:
+            got += (shards + np.cumsum(starts(p, limit, used))).tolist()
+            begun, used = Effect.of(p, limit)._short().apply(used)
+            shards += begun
+        assert got == sequential(sizes.tolist(), limit)
+        effects = [Effect.of(p, limit)._short() for p in parts]
+        while len(effects) > 1:
+            i = r.randrange(len(effects) - 1)
+            effects[i : i + 2] = [effects[i].then(effects[i + 1])]
+        assert [effects[0].apply(u) for u in range(limit + 6)] == [Effect.of(sizes, limit).apply(u) for u in range(limit + 6)]
+
+
+@pytest.mark.parametrize("ranges, limit", [(1, 10), (5, 10), (40, 10), (40, 300), (300, 1000)])
+def test_next_fit(spark, ranges, limit):
+    r = random.Random(ranges)
+    sizes = [5, 5, 11, 1, 10, 10] + [r.randint(1, 14) for _ in range(800)]
+    rows = spark.createDataFrame(list(enumerate(sizes)), "place long, size long").selectExpr("place", "place AS own", "size").repartition(3)
+    got = next_fit(rows, limit, ["place", "own"], "size", ranges).orderBy("own").collect()
+    assert [(r["own"], r["size"], r["shard_no"]) for r in got] == list(zip(range(len(sizes)), sizes, sequential(sizes, limit), strict=True))
+    assert next_fit(rows.where("false"), limit, ["place", "own"], "size", ranges).count() == 0
+
+
+def test_shards_written_and_read_in_order(spark, tmp_path):
+    """Next-fit shards as lines of JSON; the scan that reads them back is one, in their order though files are split."""
+    chunks = spark.range(3000).selectExpr("concat('02_LAW/x/', lpad(id div 3, 4, '0'), '.pdf') AS file", "'x' AS folder", "concat('text ', id, repeat('z', int(id % 40))) AS content", "id div 3 AS doc_ord", "int(id % 3) AS chunk_no")
+    sharded = assign_shards(chunks, 40_000, ranges=7).cache()
+    in_order = [r["content"] for r in chunks.orderBy("doc_ord", "chunk_no").collect()]
+    sizes = [r["line_bytes"] for r in sharded.orderBy("doc_ord", "chunk_no").collect()]
+    assert [r["shard_no"] for r in sharded.orderBy("doc_ord", "chunk_no").collect()] == sequential(sizes, 40_000)
+    write_shards(sharded, f"{tmp_path}/s")
+    described = {r["file"]: r["bytes"] for r in shard_descriptors(sharded).collect()}
+    paths = [str(next((tmp_path / "s" / f"shard_no={k}").glob("part-*"))) for k in range(1, len(described) + 1)]
+    assert [len(open(p, "rb").read()) for p in paths] == list(described[f"rag-index-{k:04d}.ndjson"] for k in range(1, len(paths) + 1))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        lines = read_ndjson(spark, [*paths, f"{tmp_path}/missing/a.ndjson"])
+        assert lines.select("shard_no", "block").distinct().count() > len(paths)
+        assert [r["content"] for r in lines.orderBy("shard_no", "block", "line_no").collect()] == in_order
+        again = numbered(lines).orderBy("shard_no", "line_no").collect()
+        assert [r["content"] for r in again] == in_order and [r["line_no"] for r in again if r["shard_no"] == 2] == list(range(sum(r["shard_no"] == 2 for r in again)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_many_shards_are_one_scan(spark, tmp_path):
+    for k in range(1000):
+        (tmp_path / f"{k:04d} a.ndjson").write_text(json.dumps({"file": f"f{999 - k}", "content": "c"}) + "\n")
+    lines = read_ndjson(spark, [f"{tmp_path}/{k:04d} a.ndjson" for k in range(999, -1, -1)] * 10)
+    plan = lines._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("FileScan text") == 1 and "Union" not in plan
+    assert [(r["file"], r["shard_no"]) for r in lines.where("shard_no <= 1000").orderBy("shard_no").collect()] == [(f"f{k}", k + 1) for k in range(1000)]
+    assert lines.count() == 10_000
 
 
 def test_bad_lines_are_dropped(spark, tmp_path):
@@ -246,20 +365,26 @@ def test_published_shards_are_bounded_listed_and_needed(spark, tmp_path):
     plan = Rebuild(store, ChunkSize(300, 30))
     report = plan.run(discover(spark, f"{tmp_path}/src"))
     manifest = store.manifest()
-    folder = tmp_path / "store" / manifest["snapshot"] / "chunks"
+    folder = tmp_path / "store"
     assert len(manifest["shards"]) > 2 and sum(s["chunks"] for s in manifest["shards"]) == report["totalChunks"] == store.chunks(manifest).count()
+    sizes, numbers = [], []
     for s in manifest["shards"]:
         assert (folder / s["file"]).stat().st_size == s["bytes"]
         lines = [r["value"] for r in to_lines(spark.read.parquet(f"file://{folder}/{s['file']}")).collect()]
-        assert sum(len(v.encode()) + 1 for v in lines) <= 1000
+        assert sum(len(v.encode()) + 1 for v in lines) == s["lineBytes"] <= 1000
+        sizes += [len(v.encode()) + 1 for v in lines]
+        numbers += [s["number"]] * len(lines)
+    assert numbers == sequential(sizes, 1000)
+    store.export(manifest, f"{tmp_path}/lines")
+    assert sorted(int(p.name.split("=")[1]) for p in (tmp_path / "lines").glob("shard_no=*")) == list(range(1, len(manifest["shards"]) + 1))
     # A file that isn't listed isn't read; a listed one that is gone is an error, and what was open stays open.
     service = Service(store, plan)
     assert service.load() and service.status()["indexLoadedAt"] and service.status()["lastPublishedAt"]
-    (folder / "left-over.parquet").write_bytes((folder / manifest["shards"][0]["file"]).read_bytes())
+    (folder / manifest["shards"][0]["file"]).with_name("left-over.parquet").write_bytes((folder / manifest["shards"][0]["file"]).read_bytes())
     assert store.chunks(manifest).count() == report["totalChunks"]
     (folder / manifest["shards"][0]["file"]).unlink()
     with pytest.raises(ValueError, match="missing"):
-        service.load()
+        Service(store, plan).load()
     assert service.mode == "final" and service.indexed_chunks == report["totalChunks"]
 
 
@@ -323,3 +448,93 @@ def test_rebuild_service_and_stream(spark, tmp_path):
     stream = spark.readStream.schema("file string, text string").parquet(f"{tmp_path}/in")
     ingest_stream(stream, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
     assert [r["content_norm"] for r in spark.read.parquet(f"{tmp_path}/out").collect()] == ["one two"]
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)): p.stat().st_size for p in folder.rglob("*.parquet") if "chunks" not in p.name and "commits" in str(p)}
+
+
+def test_checkpoints_append_and_old_snapshots_go(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store", grace=0)
+    store.shard_mb = 4000 / 2**20
+    r = random.Random(1)
+    for k in range(20):
+        docx(tmp_path / f"src/02_LAW/x/{k:02d}.docx", " ".join(r.choice(["space", "law", "alpha", f"n{r.randint(0, 999)}"]) for _ in range(600)))
+    plan, written, publish = Rebuild(store, ChunkSize(400, 40)), [], store.publish
+
+    def counted(*args, **kwargs):
+        before = files_of(tmp_path / "store")
+        made = publish(*args, **kwargs)
+        after = files_of(tmp_path / "store")
+        written.append((made["type"], sum(n for f, n in after.items() if f not in before), set(before) - set(after)))
+        return made
+
+    store.publish = counted
+    report = plan.run(discover(spark, f"{tmp_path}/src"), checkpoint_every=2)
+    manifest = store.manifest()
+    index = sum(s["bytes"] for s in manifest["shards"])
+    # Ten commits, each with its own files only, and none of them written twice.
+    assert [kind for kind, *_ in written] == ["checkpoint"] * 9 + ["final"] and sum(n for _, n, _ in written) <= 1.2 * index
+    assert files_of(tmp_path / "store").keys() == {s["file"] for s in manifest["shards"]} and [s["number"] for s in manifest["shards"]] == list(range(1, len(manifest["shards"]) + 1))
+    assert store.chunks(manifest).count() == report["totalChunks"] and len(list((tmp_path / "store/snapshots").iterdir())) == 1
+    # One changed file: its shards are written anew, the others stay; the snapshot before stays open for its readers.
+    docx(tmp_path / "src/02_LAW/x/07.docx", "another text")
+    old = store.chunks(manifest)
+    report = plan.run(discover(spark, f"{tmp_path}/src"))
+    now = store.manifest()
+    kept = {s["file"] for s in now["shards"]} & {s["file"] for s in manifest["shards"]}
+    assert len(manifest["shards"]) - len(kept) <= 8 and written[-1][1] < index / 2 and not written[-1][2]
+    assert old.count() > store.chunks(now).count() == report["totalChunks"] and report["copiedChunks"] + 1 == report["totalChunks"]
+    assert [r["content"] for r in store.chunks(now).where("file = '02_LAW/x/07.docx'").collect()] == ["another text"]
+    # Nothing that no pointer reaches is left after the next one.
+    docx(tmp_path / "src/02_LAW/x/07.docx", "a third text")
+    plan.run(discover(spark, f"{tmp_path}/src"))
+    reached = {s["file"] for s in store.manifest()["shards"]} | {s["file"] for s in now["shards"]}
+    assert {f.split("/")[1] for f in files_of(tmp_path / "store")} == {f.split("/")[1] for f in reached}
+    assert len(list((tmp_path / "store/snapshots").iterdir())) == 2
+
+
+def test_pages_open_few_shards_and_searches_list_nothing(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    store.shard_mb = 1500 / 2**20
+    texts = spark.range(400).selectExpr("concat('02_LAW/x/', lpad(id, 4, '0'), '.pdf') AS file", "concat('alpha beta number ', id, repeat(' more text', 110)) AS text")
+    rows = searchable(chunk_documents(texts))
+    manifest = store.publish(rows, texts.selectExpr("file", "sha2(text, 256) AS sha256", "1L AS size", "'indexed' AS status", "CAST(NULL AS STRING) AS reason", "1L AS chunks"), {"totalChunks": rows.count(), "report": {}, "streams": {}})
+    assert len(manifest["shards"]) >= 400
+    for name in ("02_LAW/x/0000.pdf", "02_LAW/x/0123.pdf", "02_LAW/x/0399.pdf"):
+        own = store.chunks_of(manifest, name)
+        assert 1 <= len(own.inputFiles()) <= 2
+    service = Service(store, Rebuild(store))
+    assert service.load()
+    listed = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics.METRIC_FILES_DISCOVERED()
+    first = service.search({"query": "alpha beta"})[1]["results"]
+    before = listed.getCount()
+    assert service.search({"query": "alpha beta"})[1]["results"] == first and listed.getCount() == before
+    assert [h["file"] for h in first[:2]] == ["02_LAW/x/0000.pdf", "02_LAW/x/0001.pdf"]
+    page = service.document({"file": "02_LAW/x/0123.pdf"})[1]
+    assert page["text"].startswith("alpha beta number 123 more") and listed.getCount() - before <= 2
+    assert service.document({"file": "02_LAW/x/none.pdf"})[0] == 404 and service.load() and listed.getCount() - before <= 4
+
+
+def test_a_stream_into_the_index(spark, tmp_path):
+    """Stopped and started again, and a batch run twice: the index of one run."""
+    store = Store(spark, f"file://{tmp_path}/store", grace=0)
+    docs = lambda a, b: spark.range(a, b).selectExpr("concat('02_LAW/x/', lpad(id, 3, '0'), '.pdf') AS file", "concat('alpha beta ', id, repeat(' text', int(id * 20))) AS text")
+    schema = "file string, text string"
+    for part, (a, b) in enumerate([(0, 10), (10, 25)]):
+        docs(a, b).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        ingest_into(stream, store, f"{tmp_path}/ck", "texts").awaitTermination()
+        assert store.manifest()["streams"] == {"texts": part}
+    # A file that comes again, one without a text and one without a name; and the same batch once more.
+    more = spark.createDataFrame([("02_LAW/x/003.pdf", "gamma delta"), ("02_LAW/x/999.pdf", None), (None, "lost")], schema)
+    assert commit_batch(more, 2, store, "texts") and not commit_batch(more, 2, store, "texts") and not commit_batch(docs(0, 3), 1, store, "texts")
+    want = searchable(chunk_documents(docs(0, 25).where("file <> '02_LAW/x/003.pdf'").unionByName(more.where("file IS NOT NULL"))))
+    columns = ["file", "folder", "chunk_no", "start", "content", "content_norm"]
+    got = sorted(tuple(r) for r in store.chunks(store.manifest()).select(*columns).collect())
+    assert got == sorted(tuple(r) for r in want.select(*columns).collect())
+    service = Service(store, Rebuild(store))
+    assert service.load() and service.indexed_chunks == len(got)
+    assert [h["file"] for h in service.search({"query": "gamma delta"})[1]["results"]] == ["02_LAW/x/003.pdf"]
+    states = {r["file"]: r["chunks"] for r in store.states(store.manifest()).collect()}
+    assert len(states) == 26 and states["02_LAW/x/999.pdf"] == 0 and sum(states.values()) == len(got)
