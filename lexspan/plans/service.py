@@ -10,11 +10,14 @@ from ..functions.text import SPACES, clamp_int, requested_file
 from ..operators.document import DEFAULT_LIMIT, LEAST_LIMIT, MOST_LIMIT, read_document
 from ..operators.scoring import unique_queries
 from ..operators.search import DEFAULT_K, LEAST_K, MOST_K, search
+from ..operators.signatures import possible
 from ..sources.files import MEMORY_MB
 from ..sources.store import Store, now
 from .rebuild import CHECKPOINT_EVERY, Rebuild
 
 MOST_ALTERNATES = 7
+#: Shards from which on a search looks at signatures first.
+PRUNE_FROM = 32
 
 
 def valid_alternates(value: object) -> list[str]:
@@ -37,6 +40,7 @@ class Service:
         self.mode = "none"
         self.loaded_at: str | None = None
         self._chunks: DataFrame | None = None
+        self._signed: DataFrame | None = None
 
     def load(self) -> bool:
         """Opens the final snapshot, or a checkpoint while there is none; whether it has chunks.
@@ -47,7 +51,7 @@ class Service:
         if manifest is None:
             manifest, mode = self.store.checkpoint(self.rebuild_plan.commit), "checkpoint"
         if manifest and manifest["snapshot"] != (self.manifest or {}).get("snapshot"):
-            self._chunks = self.store.chunks(manifest)
+            self._chunks, self._signed = self.store.chunks(manifest), self.store.signatures(manifest)
             self.loaded_at = now()
         self.manifest, self.mode = manifest, mode if manifest else "none"
         return self.indexed_chunks > 0
@@ -64,6 +68,12 @@ class Service:
         """The open snapshot, held with its listing of files until another one is loaded."""
         return self._chunks
 
+    def scored_chunks(self, queries: list[str]) -> DataFrame:
+        """The chunks that a search scores: of PRUNE_FROM shards or more, only those of shards whose signatures have the terms. Hits are the same."""
+        if len(self.manifest["shards"]) < PRUNE_FROM:
+            return self._chunks
+        return self.store.only(self._chunks, [r["name"] for r in possible(self._signed, queries).collect()])  # at most a name a shard
+
     def status(self) -> dict:
         """Counters and mode of the snapshot that is searched."""
         plan = self.rebuild_plan
@@ -86,7 +96,8 @@ class Service:
             return 503, {"error": "no index is loaded"} | self.status()
         k = clamp_int(body.get("topK"), DEFAULT_K, LEAST_K, MOST_K)
         alternates = valid_alternates(body.get("alternateQueries"))
-        found = search(self.chunks(), unique_queries([query, *alternates]), k).drop("doc_ord", "chunk_no").collect()  # at most fifty rows
+        asked = unique_queries([query, *alternates])
+        found = search(self.scored_chunks(asked), asked, k).drop("doc_ord", "chunk_no").collect()  # at most fifty rows
         hits = [{_camel(c): v for c, v in r.asDict().items()} for r in found]
         return 200, {"query": query, "alternateQueries": alternates, "topK": k, "resultCount": len(hits)} | self._index() | {"results": hits}
 
@@ -97,7 +108,7 @@ class Service:
         if not self.indexed_chunks:
             return 503, {"error": "no index is loaded"}
         limit = clamp_int(body.get("limit"), DEFAULT_LIMIT, LEAST_LIMIT, MOST_LIMIT)
-        page = read_document(self.store.chunks_of(self.manifest, file), file, clamp_int(body.get("offset"), 0, 0, 2**31 - 1), limit).first()
+        page = read_document(self.store.chunks_of(self.manifest, self._chunks, file), file, clamp_int(body.get("offset"), 0, 0, 2**31 - 1), limit).first()
         return (404, {"error": "the file is not in the index", "file": file}) if page is None else (200, {_camel(c): v for c, v in page.asDict().items()} | self._index())
 
     def refusal(self, token: str | None) -> tuple[int, dict] | None:

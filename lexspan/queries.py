@@ -14,11 +14,13 @@ from .operators.document import reassemble, reassemble_exactly
 from .operators.scoring import CompiledQuery, distinct_queries
 from .operators.search import scored, search, search_many
 from .operators.shards import assign_shards, shard_descriptors
+from .operators.signatures import possible, signatures
 from .sources.files import ROOTS
 from .sources.ndjson import parse_lines, to_lines
 
 QUERIES = ["the that with", "state from src3 the", "que état des", "the"]
 SINGLE = "état que national"
+RARE = ["onwhtien oransh", "auxanoi laaiieroiai", "theaaner ingthan"]
 #: Query sets that one scan answers.
 SETS = {
     "all": QUERIES, "ties": ["for the"], "accents": ["État que national", "etat national"], "twice": ["the the"], "none": ["zzzz yyyy"], "laws": ["national act from src3", "the law of the state", "ción del"],
@@ -101,6 +103,13 @@ def search_sets(spark, d):
     return found.select("query_set", "file", "chunk_no", "score", F.array_join("matched_queries", "|").alias("matched"), F.array_join("matched_terms", "|").alias("terms"))
 
 
+def search_pruned(spark, d):
+    """A search of only those folders whose signatures may hold enough of its terms; SQL scores them all."""
+    rows = chunks(spark, d)
+    may = possible(signatures(rows, "folder"), RARE).withColumnRenamed("name", "folder")
+    return search(rows.join(may, "folder", "left_semi"), RARE).select("file", "chunk_no", "score")
+
+
 def ingest_order(spark, d):
     return in_ingest_order(corpus(spark, d).select("file", "doc_id"))
 
@@ -217,7 +226,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "clean_text": clean_text, "normalise_text": normalise_text, "query_terms": query_terms, "generic_terms": generic_terms,
         "count_occurrences": count_occurrences, "folder_of": folder_of, "chunk_documents": chunked, "chunk_stats": stats,
-        "score_single": score_single, "score_multi": score_multi, "search_topk": search_topk, "search_topk_ties": search_topk_ties, "search_many": search_sets, "ingest_order": ingest_order,
+        "score_single": score_single, "score_multi": score_multi, "search_topk": search_topk, "search_topk_ties": search_topk_ties, "search_many": search_sets, "ingest_order": ingest_order, "search_pruned": search_pruned,
         "matched_queries": matched_queries, "matched_terms": matched_terms, "unique_queries": unique_spellings,
         "distinct_path_bonus": distinct_path_bonus, "phrase_bonus": phrase_bonus,
         "sources_match": _diff(diff.sources_match), "completed": _diff(diff.completed), "changed": _diff(diff.changed),
@@ -322,6 +331,7 @@ def oracle_sql() -> dict[str, str]:
         "score_single": f"WITH {_NORM} SELECT * FROM (SELECT file, chunk_no, {_score_sql(SINGLE)[0]} AS score FROM norm) WHERE score > 0",
         "score_multi": f"WITH {_multi(QUERIES)} SELECT file, chunk_no, score FROM hits",
         "search_topk": f"WITH {_multi(QUERIES)} SELECT file, chunk_no, score FROM hits ORDER BY score DESC, doc_id, chunk_no LIMIT 8",
+        "search_pruned": f"WITH {_multi(RARE)} SELECT file, chunk_no, score FROM hits ORDER BY score DESC, doc_id, chunk_no LIMIT 8",
         "search_topk_ties": f"WITH {_multi(['for the'])} SELECT file, chunk_no, score FROM hits ORDER BY score DESC, doc_id, chunk_no LIMIT 8",
         "search_many": "\nUNION ALL ".join(
             f"""SELECT '{name}' AS query_set, * FROM (

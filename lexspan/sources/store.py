@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.shards import DEFAULT_MB, LEAST_MB, assign_shards, line_bytes, shard_name
+from ..operators.signatures import signatures
 from .ndjson import write_shards
 
 VERSION = 6
 CHUNK = "file string, folder string, chunk_no int, start int, content string, content_norm string, path_norm string"
+SIGNATURE = "name string, page int, bits binary"
 #: Seconds for which what no pointer reaches is kept.
 GRACE = 3600
 
@@ -30,6 +32,11 @@ def collated(column: str = "file") -> F.Column:
     return F.expr(f"{column} COLLATE UNICODE")
 
 
+def listed_file() -> F.Column:
+    """The shard that a row was read from, as manifests list it. Filters on it keep files from being opened."""
+    return F.regexp_extract("_metadata.file_path", "(commits/[^/]+/chunks/.*)$", 1)
+
+
 class Store:
     """A folder of snapshots. `final` and `checkpoint` each point to one of them.
 
@@ -71,21 +78,23 @@ class Store:
 
         Shards are those of next-fit over the lines of JSON in ingest order, a file each;
         bytes are those on disk, lineBytes those of the lines, first and last the
-        least and greatest file, by which readers pick shards.
+        least and greatest file, by which readers pick shards. Beside them lie the shards' signatures.
         """
         at = f"commits/{uuid.uuid4().hex}"
         ordered = chunks.select(*[f.split()[0] for f in CHUNK.split(", ")]).withColumn("__ord", collated())
         sharded = assign_shards(ordered, int(self.shard_mb * 1024 * 1024), "__ord").withColumn("shard_no", F.col("shard_no") + after)
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         sorted_ = sharded.repartition(n, "shard_no").sortWithinPartitions("shard_no", "__ord", "file", "chunk_no").drop("__ord", "line_bytes")
-        sorted_.write.partitionBy("shard_no").parquet(f"{self.root}/{at}")
-        written = self.spark.read.schema(f"{CHUNK}, shard_no int").parquet(f"{self.root}/{at}").select("*", "_metadata.file_name", "_metadata.file_size")
-        shards = written.groupBy("shard_no", "file_name", "file_size").agg(
+        sorted_.write.partitionBy("shard_no").parquet(f"{self.root}/{at}/chunks")
+        written = self.spark.read.schema(f"{CHUNK}, shard_no int").parquet(f"{self.root}/{at}/chunks").select("*", listed_file().alias("name"), "_metadata.file_size")
+        signed = signatures(written).repartitionByRange(n, "page").sortWithinPartitions("page", "name")
+        signed.write.parquet(f"{self.root}/{at}/signatures")
+        shards = written.groupBy("shard_no", "name", "file_size").agg(
             F.count(F.lit(1)).alias("chunks"), F.sum(line_bytes()).alias("lines"), F.min("file").alias("first"), F.max("file").alias("last")
         )
         return [
             {
-                "file": f"{at}/shard_no={r['shard_no']}/{r['file_name']}", "name": shard_name(r["shard_no"]), "number": r["shard_no"], "chunks": r["chunks"],
+                "file": r["name"], "name": shard_name(r["shard_no"]), "number": r["shard_no"], "chunks": r["chunks"],
                 "bytes": r["file_size"], "lineBytes": r["lines"], "first": r["first"], "last": r["last"],
             }
             for r in shards.orderBy("shard_no").collect()  # an entry a shard
@@ -131,11 +140,11 @@ class Store:
 
     def holding(self, manifest: dict, files: DataFrame) -> tuple[list[dict], DataFrame | None]:
         """The shards without chunks of `files`, and the chunks of the others that aren't of them (None: there is no such shard)."""
-        paths = self.chunks(manifest).select("file", "_metadata.file_path").join(files.select("file").distinct(), "file", "left_semi")
-        hit = {r["file_path"].rsplit("/", 1)[1] for r in paths.select("file_path").distinct().collect()}  # at most a path a shard
-        touched = [s for s in manifest["shards"] if s["file"].rsplit("/", 1)[1] in hit]
+        paths = self.chunks(manifest).select("file", listed_file().alias("name")).join(files.select("file").distinct(), "file", "left_semi")
+        hit = {r["name"] for r in paths.select("name").distinct().collect()}  # at most a name a shard
+        touched = [s for s in manifest["shards"] if s["file"] in hit]
         rest = self.chunks(manifest | {"shards": touched}).join(files.select("file").distinct(), "file", "left_anti") if touched else None
-        return [s for s in manifest["shards"] if s not in touched], rest
+        return [s for s in manifest["shards"] if s["file"] not in hit], rest
 
     def export(self, manifest: dict, folder: str) -> None:
         """The whole index as shards of lines of JSON, numbered by next-fit over all chunks in ingest order."""
@@ -166,9 +175,21 @@ class Store:
                 raise ValueError(f"a shard is missing: {error.getMessageParameters().get('path', self.root)}") from error
             raise
 
-    def chunks_of(self, manifest: dict, file: str) -> DataFrame:
-        """The chunks of the shards that may hold a file, known by the least and greatest file of each; no other is opened."""
-        return self.chunks(manifest | {"shards": [s for s in manifest["shards"] if s["first"] <= file <= s["last"]]})
+    @staticmethod
+    def only(chunks: DataFrame, names: list[str]) -> DataFrame:
+        """Chunks of an open snapshot from the shards of these names; no other is opened, and nothing is listed again."""
+        return chunks.where(listed_file().isin(names)) if names else chunks.where("false")
+
+    def chunks_of(self, manifest: dict, chunks: DataFrame, file: str) -> DataFrame:
+        """The chunks of the shards that may hold a file, known by the least and greatest file of each."""
+        return self.only(chunks, [s["file"] for s in manifest["shards"] if s["first"] <= file <= s["last"]])
+
+    def signatures(self, manifest: dict) -> DataFrame:
+        """name (of a shard's file), page, bits of all commits that the snapshot has shards of."""
+        commits = sorted({"/".join(s["file"].split("/")[:2]) for s in manifest["shards"]})
+        if not commits:
+            return self.spark.createDataFrame([], SIGNATURE)
+        return self.spark.read.schema(SIGNATURE).parquet(*[f"{self.root}/{c}/signatures" for c in commits])
 
     def states(self, manifest: dict) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{manifest['snapshot']}/sources")

@@ -451,7 +451,7 @@ def test_rebuild_service_and_stream(spark, tmp_path):
 
 
 def files_of(folder):
-    return {str(p.relative_to(folder)): p.stat().st_size for p in folder.rglob("*.parquet") if "chunks" not in p.name and "commits" in str(p)}
+    return {str(p.relative_to(folder)): p.stat().st_size for p in folder.rglob("commits/*/chunks/*/*.parquet")}
 
 
 def test_checkpoints_append_and_old_snapshots_go(spark, tmp_path):
@@ -494,6 +494,40 @@ def test_checkpoints_append_and_old_snapshots_go(spark, tmp_path):
     assert len(list((tmp_path / "store/snapshots").iterdir())) == 2
 
 
+def files_read(df):
+    """Files that a scan read, by Spark's own metric."""
+    plan = df.select("content")._jdf.queryExecution().executedPlan()
+    df.sparkSession._jvm.scala.Predef  # the gateway's package is loaded
+    plan.executeCollect()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numFiles").value() for k in range(leaves.size()) if leaves.apply(k).metrics().contains("numFiles"))
+
+
+def test_searches_score_only_shards_that_may_match(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    store.shard_mb = 3000 / 2**20
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    texts = [(f"0{1 + k % 5}_X/x/{k:03d}.pdf", " ".join(word() for _ in range(150)) + f" the law état-{k % 7} ab") for k in range(160)]
+    docs = spark.createDataFrame(texts, "file string, text string").coalesce(2)
+    states = docs.selectExpr("file", "'' AS sha256", "1L AS size", "'indexed' AS status", "CAST(NULL AS STRING) AS reason", "1L AS chunks")
+    manifest = store.publish(searchable(chunk_documents(docs)), states, {"totalChunks": 160, "report": {}, "streams": {}})
+    service = Service(store, Rebuild(store))
+    assert service.load() and len(manifest["shards"]) > 32
+    whole = service.chunks()
+    rare = [w for t in (3, 77) for w in texts[t][1].split()[5:7]]
+    for asked, few in [
+        ([f"{rare[0]} {rare[1]}"], True), ([f"{rare[0][:5]} {rare[1][1:]}", f"{rare[2]} nothing"], True), (["the law"], False), ([f"{rare[0]} law"], False), (["the"], True), (["the the"], False), (["etat-3 the"], False),
+        ([f"{rare[0]} {rare[0]}"], True), (["ab cd"], True), ([], True),
+    ]:
+        pruned = service.scored_chunks(asked)
+        columns = ["file", "score", "matched_terms"]
+        assert [tuple(x) for x in search(pruned, asked, 50).select(*columns).collect()] == [tuple(x) for x in search(whole, asked, 50).select(*columns).collect()]
+        if few:
+            assert pruned.count() * 10 <= whole.count() and files_read(pruned) * 10 <= len(manifest["shards"])
+    assert service.search({"query": f"{rare[0]} {rare[1]}"})[1]["results"][0]["file"] == texts[3][0]
+
+
 def test_pages_open_few_shards_and_searches_list_nothing(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}/store")
     store.shard_mb = 1500 / 2**20
@@ -502,8 +536,8 @@ def test_pages_open_few_shards_and_searches_list_nothing(spark, tmp_path):
     manifest = store.publish(rows, texts.selectExpr("file", "sha2(text, 256) AS sha256", "1L AS size", "'indexed' AS status", "CAST(NULL AS STRING) AS reason", "1L AS chunks"), {"totalChunks": rows.count(), "report": {}, "streams": {}})
     assert len(manifest["shards"]) >= 400
     for name in ("02_LAW/x/0000.pdf", "02_LAW/x/0123.pdf", "02_LAW/x/0399.pdf"):
-        own = store.chunks_of(manifest, name)
-        assert 1 <= len(own.inputFiles()) <= 2
+        own = store.chunks_of(manifest, store.chunks(manifest), name)
+        assert 1 <= files_read(own) <= 2
     service = Service(store, Rebuild(store))
     assert service.load()
     listed = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics.METRIC_FILES_DISCOVERED()
