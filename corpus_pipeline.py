@@ -7,7 +7,6 @@ as Parquet to the cluster's shared checkpoint folder and read again by the next
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspan.llm import exact_dedup, language_id, mixing, packing, queries, simhash
+from lexspan.llm.common import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,8 +60,7 @@ ORACLE_SQL = None
 
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="pipeline-")
-    return f"{base.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

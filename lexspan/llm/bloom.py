@@ -9,7 +9,7 @@ from .common import durable
 
 #: Bits in a page, as bitmap_construct_agg makes them; pages a key's share fills; bits set for a key.
 PAGE, BITS_A_KEY, PROBES = 32768, 16, 3
-#: Pages that are broadcast at most (32 MB). Beyond them rows go to their pages by a shuffle; the filter never gets fuller.
+#: Pages of one broadcast (32 MB). A larger filter is sent in several, each of which rows meet in turn, so rows never shuffle.
 MOST_PAGES = 8192
 
 
@@ -30,16 +30,24 @@ class Bloom:
         keys = durable(keys.select(F.col(key).alias("__key")).where("__key IS NOT NULL"))
         self.count = keys.count()
         self.pages = max(1, -(-self.count * BITS_A_KEY // PAGE))
-        self.sent = self.pages <= most_pages
+        self.sent = max(1, most_pages)
         self.table = durable(
             keys.select(_page(F.col("__key"), self.pages).alias("__page"), F.explode(F.array(*_bits(F.col("__key")))).alias("__bit"))
             .groupBy("__page").agg(F.bitmap_construct_agg(F.col("__bit")).alias("__bits"))
         )
 
     def mark(self, rows: DataFrame, key: str, name: str = "__suspect") -> DataFrame:
-        """Adds whether the filter knows the row's key. Doesn't shuffle the rows while the pages can be broadcast."""
-        table = F.broadcast(self.table) if self.sent else self.table
-        met = rows.withColumn("__page", _page(F.col(key), self.pages)).join(table, "__page", "left")
+        """Adds whether the filter knows the row's key. The rows aren't shuffled, however large the filter is.
+
+        A row finds its page in one of the broadcasts; together they take 2 bytes a key of the filter in each executor.
+        """
+        met, parts = rows.withColumn("__page", _page(F.col(key), self.pages)), []
+        for low in range(0, self.pages, self.sent):
+            part = f"__bits{low}"
+            slice_ = self.table.where((F.col("__page") >= low) & (F.col("__page") < low + self.sent)).withColumnRenamed("__bits", part)
+            met = met.join(F.broadcast(slice_), "__page", "left")
+            parts.append(part)
+        met = met.withColumn("__bits", F.coalesce(*parts)).drop(*parts)
         known = F.lit(True)
         for bit in _bits(F.col(key)):
             byte = F.conv(F.hex(F.substring(F.col("__bits"), F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")

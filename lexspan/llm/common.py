@@ -1,41 +1,17 @@
-"""What several operators share: durable intermediate tables and native word counts."""
+"""What several operators share: native word counts, names, joins by hot keys."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.durable import durable, shared_folder  # noqa: F401  the operators' own
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """`df`, computed once and kept in the cluster's shared checkpoint folder.
-
-    Lost executors don't lose it, and later passes read it instead of the texts. The
-    folder is the session's spark.checkpoint.dir or that given to setCheckpointDir; only
-    in local mode, as in tests, a temporary one is taken where neither is set.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables that all executors share. A cluster without one is an error."""
-    context = spark.sparkContext
-    known = context._jsc.sc().getCheckpointDir()
-    named = context.getConf().get("spark.checkpoint.dir")
-    if named or known.isDefined():
-        return named or known.get()
-    if not context.master.startswith("local[") and context.master != "local":
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
 def fold_ascii(text: Column) -> Column:
     """A-Z to a-z; no other character changes. Null: empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
@@ -86,3 +62,23 @@ def block_pairs(mine: Column, blocks: Column) -> Column:
             F.least(other, mine).alias("i"), F.greatest(other, mine).alias("j"), F.when(other == mine, 0).when(mine < other, 1).otherwise(2).alias("side")
         ),
     )
+
+
+def stretch(text: Column, characters: int, seed: Column, parts: int = 1) -> Column:
+    """A text of at most so many characters whole, of a longer one `parts` stretches of as many in all, parted by line feeds.
+
+    Each lies in its own part of the whole text, at a place that the seed's hash decides.
+    """
+    n, each = F.length(text), characters // parts
+    cuts = []
+    for k in range(parts):
+        low, high = F.floor(n * k / parts), F.floor(n * (k + 1) / parts)
+        at = low + F.pmod(F.xxhash64(seed, F.lit(k)), F.greatest(high - low - each + 1, F.lit(1)))
+        cuts.append(F.substring(text, at.cast("int") + 1, F.lit(each)))
+    return F.when(n <= characters, text).otherwise(F.concat_ws("\n", *cuts))
+
+
+def first_rows(rows: DataFrame, by: str, order: list[str], most: int) -> DataFrame:
+    """At most `most` rows of each value of `by`, the first by `order`; each task passes on no more than those."""
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(*order))
+    return rows.withColumn("__rank", rank).where(F.col("__rank") <= most).drop("__rank")
