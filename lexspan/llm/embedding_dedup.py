@@ -172,23 +172,46 @@ def embedding_links(classes: DataFrame, count: int, cosine: float = 0.98, seed:
     """class, links, root: rows linked to a class in one task, and a class that these links connect it with.
 
     `classes` has class long, label, copies and embedding array<double>. A bucket of more
-    than BLOCK members is compared by blocks, each pair of blocks a task of its own, so no
-    task holds more than two blocks' vectors at a time. A task gives at most one row for
-    each of its members.
+    than BLOCK members is a crowd. Those of its members that shared the same bucket of an earlier
+    table, the most that did, have met there; only the rest are compared, with one another and
+    with those. This goes by blocks, each pair of blocks a task of its own, so no task holds more
+    than two blocks' vectors at a time. A task gives at most one row for each of its members.
     """
     k, tables = tables_for(count, cosine)
     hashed = durable(classes.select("class", "embedding").mapInArrow(_hash(k, tables, seed), "class long, keys array<long>"))
     known = classes.select("class", F.col("label").cast("string").alias("label"), "copies", "embedding").join(hashed, "class")
-    slim = durable(known.select("class", "label", F.posexplode("keys").alias("table", "key")).select("class", "table", F.xxhash64("label", "table", "key").alias("bucket")))
-    sizes = durable(slim.groupBy("bucket").count().where("count > 1").select("bucket", "count", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
-    met = join_by_key(slim, sizes, "bucket", "count", count * tables)
-    mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    dealt = met.withColumn("mine", mine).select("class", "table", "bucket", F.explode(block_pairs(F.col("mine"), F.col("blocks"))).alias("t"))
-    tasks = dealt.select("class", F.xxhash64("bucket", "t.i", "t.j").alias("task"), "table", "t.side").join(known, "class")
+    tasks = _tasks(known.select("class", "label", "keys"), count * tables).join(known, "class")
     rows = tasks.select("task", "class", "table", "side", "label", "copies", "keys", "embedding")
     return rows.repartition(width(classes.sparkSession), "task").sortWithinPartitions("task").mapInArrow(_compare(cosine, tables), "class long, links long, root long")
 
 
+def _tasks(known: DataFrame, total: int) -> DataFrame:
+    """class, task, table, side: which members of buckets meet in which task. `known` has class, label and keys, `total` of them over all tables."""
+    block = BLOCK
+    slim = durable(known.select("class", "label", F.posexplode("keys").alias("table", "key")).select("class", "table", F.xxhash64("label", "table", "key").alias("bucket")))
+    sizes = durable(slim.groupBy("bucket").count().where("count > 1"))
+    alone = join_by_key(slim, sizes.where(F.col("count") <= block), "bucket", "count", total).select("class", F.xxhash64("bucket", F.lit(0), F.lit(0)).alias("task"), "table", F.lit(0).alias("side"))
+    crowds = join_by_key(slim, sizes.where(F.col("count") > block), "bucket", "count", total).drop("count")
+    members = durable(crowds.join(known.select("class", "keys"), "class"))
+    # For each crowd the bucket of an earlier table that most of its members share; counts are combined before they shuffle.
+    earlier = members.select("bucket", F.posexplode(F.slice("keys", F.lit(1), F.col("table"))).alias("t", "key")).groupBy("bucket", "t", "key").count()
+    met = earlier.groupBy("bucket").agg(F.max(F.struct("count", "t", "key")).alias("met"))
+    parts = durable(
+        sizes.where(F.col("count") > block).join(met, "bucket", "left")
+        .withColumns({"__met": F.coalesce("met.count", F.lit(0)), "__t": F.col("met.t"), "__key": F.col("met.key")})
+        .select("bucket", "count", "__t", "__key", F.ceil((F.col("count") - F.col("__met")) / block).cast("int").alias("rest"), F.ceil(F.col("__met") / block).cast("int").alias("others"))
+        .where("rest > 0")
+    )
+    own = join_by_key(members, parts, "bucket", "count", total).withColumn("__in", F.coalesce(F.get("keys", F.col("__t")) == F.col("__key"), F.lit(False)))
+    own = own.withColumn("mine", F.pmod(F.xxhash64("class"), F.when(F.col("__in"), F.col("others")).otherwise(F.col("rest"))).cast("int"))
+    place = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
+    upto = lambda n: F.filter(F.sequence(F.lit(0), n), lambda x: x < n)
+    across = F.transform(upto(F.col("others")), lambda g: place(F.col("mine"), F.col("rest") + g, 1))
+    theirs = F.transform(upto(F.col("rest")), lambda r: place(r, F.col("rest") + F.col("mine"), 2))
+    dealt = own.select("class", "table", "bucket", F.explode(F.when(F.col("__in"), theirs).otherwise(F.concat(block_pairs(F.col("mine"), F.col("rest")), across))).alias("t"))
+    return alone.unionByName(dealt.select("class", F.xxhash64("bucket", "t.i", "t.j").alias("task"), "table", F.col("t.side").alias("side")))
+
+
 def embedding_dedup(vectors: DataFrame, cosine: float = 0.98, seed: int = 4, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
     """One row per row of `vectors`: vec_id, n_links, component_id, kept.
 
