@@ -167,9 +167,11 @@ def window_hashes(units, length: int, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def bucket_edges(keys: np.ndarray, bits: int) -> np.ndarray:
-    """Where each bucket, the leading bits of a key, begins among sorted keys."""
-    return np.r_[np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(keys)] if bits else np.array([0, len(keys)])
+def bucket_ranges(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The buckets (leading bits) that sorted keys lie in, and where the keys of each begin and end."""
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    low = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return bucket[low], low, np.r_[low[1:], len(keys)] if len(keys) else low
 
 
 def short_keys(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -193,11 +195,12 @@ class Batch:
         self.keys, self.key_of, self.times = np.unique(self.anchor, return_inverse=True, return_counts=True)
 
     def reply(self, replies: pa.Table, bits: int) -> None:
-        edges = bucket_edges(self.keys, bits)
+        buckets, lows, highs = bucket_ranges(self.keys, bits)
         repeated, hot = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
         for bucket, a, b in zip(*(replies[c].to_pylist() for c in ("bucket", "a", "b")), strict=True):
             if bucket >= 0:
-                low, high = edges[bucket], edges[bucket + 1]
+                at = np.searchsorted(buckets, bucket)
+                low, high = lows[at], highs[at]
                 repeated[low:high] = np.unpackbits(np.frombuffer(a, np.uint8), count=high - low)
                 hot[low:high] = np.unpackbits(np.frombuffer(b, np.uint8), count=high - low)
         key, first, count, content = self.anchor, self.first, self.count, self.content
@@ -235,15 +238,14 @@ def _send_keys(kind, length: int, gram: int, bits: int):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         batch = Batch(kind, table, length, gram)
-        edges = bucket_edges(batch.keys, bits)
+        buckets, lows, highs = bucket_ranges(batch.keys, bits)
         short = short_keys(batch.keys, bits)
         times = np.minimum(batch.times, 65535).astype(np.uint16)
-        used = np.flatnonzero(np.diff(edges))
         return pa.table({
-            "batch": pa.array([key[0].as_py()] * len(used), pa.int32()), "bucket": pa.array(used, pa.int32()),
-            "a": pa.array([short[edges[u] : edges[u + 1]].tobytes() for u in used], pa.binary()),
+            "batch": pa.array([key[0].as_py()] * len(buckets), pa.int32()), "bucket": pa.array(buckets, pa.int32()),
+            "a": pa.array([short[low:high].tobytes() for low, high in zip(lows, highs, strict=True)], pa.binary()),
             # The low bytes and then the high ones, which are nearly all zero.
-            "b": pa.array([times[edges[u] : edges[u + 1]].view(np.uint8).reshape(-1, 2).T.tobytes() for u in used], pa.binary()),
+            "b": pa.array([times[low:high].view(np.uint8).reshape(-1, 2).T.tobytes() for low, high in zip(lows, highs, strict=True)], pa.binary()),
         }, schema)
 
     return run
@@ -270,18 +272,16 @@ def _send_pieces(kind, length: int, gram: int, bits: int):
         batch.reply(replies, bits)
         keys, first, count = batch.key[batch.heads], batch.first[batch.heads], batch.count[batch.heads]
         starts, widths = batch.units.stretch(first, first + count + length - 1)
-        edges = bucket_edges(keys, bits)
-        short, press = short_keys(keys, bits), ZstdCompressor(level=3)
-        used, data = np.flatnonzero(np.diff(edges)), []
-        for u in used:
-            x, y = edges[u], edges[u + 1]
+        buckets, lows, highs = bucket_ranges(keys, bits)
+        short, press, data = short_keys(keys, bits), ZstdCompressor(level=3), []
+        for x, y in zip(lows, highs, strict=True):
             contents, _ = gather(batch.units.buffer, starts[x:y], widths[x:y])
             parts = (short[x:y], batch.least[x:y], widths[x:y].astype(np.int32), count[x:y].astype(np.uint8), contents)
             # Numbers byte by byte, so that alike bytes stand together.
             data.append(press.compress(b"".join(p.view(np.uint8).reshape(len(p), -1).T.tobytes() for p in parts)))
         return pa.table({
-            "bucket": pa.array(used, pa.int32()), "batch": pa.array([key[0].as_py()] * len(used), pa.int32()),
-            "first": pa.array(edges[used], pa.int32()), "n": pa.array(np.diff(edges)[used], pa.int32()), "data": pa.array(data, pa.binary()),
+            "bucket": pa.array(buckets, pa.int32()), "batch": pa.array([key[0].as_py()] * len(buckets), pa.int32()),
+            "first": pa.array(lows, pa.int32()), "n": pa.array(highs - lows, pa.int32()), "data": pa.array(data, pa.binary()),
         }, schema)
 
     return run
@@ -370,7 +370,8 @@ def remove_repeats(docs: DataFrame, kind, length: int, gram: int, matcher: Calla
     total = slim.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     batches = max(1, -(-total // batch_bytes))
     bits = max(batches - 1, width(docs.sparkSession) - 1).bit_length()
-    dealt = slim.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")).select("batch", "doc_id", "text")
+    # By id and text, so that rows of one id, null ids too, are spread; ids are compared wherever they lie.
+    dealt = slim.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int")).select("batch", "doc_id", "text")
     blobs = "batch int, bucket int, a binary, b binary"
     own = dealt.groupBy("batch")
     keys = own.applyInArrow(_send_keys(kind, length, gram, bits), blobs)
