@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unused
+from .common import first_rows, stretch, unused
 from .substring_dedup import SuffixAutomaton
 
 #: Characters of the reference of one language, and of all; the bound of the training sample.
@@ -38,7 +38,9 @@ def references(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """Texts of each language, at most REFERENCE characters a language and REFERENCES in all.
 
     The rows are those with the smallest hashes of their id: a sampling rate by language is
-    set from its row count, so what reaches the driver doesn't grow with the table.
+    set from its row count, and at most twice the rows wanted are taken of a language, however many
+    share an id, so what reaches the driver doesn't grow with the table. Of a text longer than A_TEXT
+    characters a stretch of as many is taken, from a hashed place anywhere in it.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text")
@@ -51,7 +53,8 @@ def references(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if rate is None:
         return out
     sampled = rows.withColumn("order", F.pmod(F.xxhash64("id", F.lit("language")), F.lit(2**31))).where(F.col("order") < rate[F.col("lang")])
-    taken = sampled.select("lang", "order", F.substring("text", 1, A_TEXT).alias("text")).collect()
+    cut = sampled.select("lang", "order", stretch(F.col("text"), A_TEXT, F.col("id")).alias("text"))
+    taken = first_rows(cut, "lang", ["order", "text"], 2 * wanted).collect()
     for r in sorted(taken, key=lambda r: (r["lang"], r["order"], r["text"])):
         own = out.setdefault(r["lang"], [])
         if sum(map(len, own)) + len(r["text"]) <= each or not own:

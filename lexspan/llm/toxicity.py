@@ -16,11 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import unused
+from .common import first_rows, stretch, unused
 from .repeats import powers
 
-#: Bound of the training sample: documents of each label, and characters taken of each.
-EACH_LABEL, A_TEXT = 1500, 12_000
+#: Bound of the training sample: documents of each label, characters taken of each, and stretches that these are in a longer one.
+EACH_LABEL, A_TEXT, PARTS = 1500, 12_000, 12
 #: Beginnings (bytes) that are features, hashed weights, and tokens of a stretch.
 BEGINNINGS, TABLE, STRETCH = (3, 4, 5, 6), 1 << 18, 128
 #: From which log-odds, and how many standard deviations over an even spread, a feature marks tokens.
@@ -192,19 +192,23 @@ def train(texts: list[bytes], toxic: np.ndarray, shift: float = 0.0, epochs: int
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", seed: str = "toxicity") -> tuple[list[bytes], np.ndarray, float]:
-    """A bounded sample of labelled documents: about EACH_LABEL of each label, A_TEXT characters of each.
+    """A bounded sample of labelled documents: about EACH_LABEL of each label, at most twice as many rows, and A_TEXT characters of each.
+
+    Of longer texts PARTS stretches are taken, at hashed places all over the text.
 
     The third result is the log-odds by which labels at large are more often toxic than those sampled.
 
     Ids are sampled by hash at a rate set from each label's count, before they meet the texts;
     being about 2 * EACH_LABEL, whatever the table, they are broadcast, and texts don't shuffle.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
+    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label")).distinct()
     counts = {r["__label"]: r["count"] for r in known.groupBy("__label").count().collect()}
     rate = [min(1.0, EACH_LABEL / counts.get(k, 1)) * 2**31 for k in (0, 1)]
     order = F.pmod(F.xxhash64(F.col("__id").cast("string"), F.lit(seed)), F.lit(2**31))
     ids = known.where(order < F.when(F.col("__label") == 1, rate[1]).otherwise(rate[0]))
-    rows = docs.join(F.broadcast(ids), docs[doc_id] == ids["__id"]).select(F.col("__id"), F.col("__label"), F.substring(docs[text], 1, A_TEXT).alias("t")).collect()
+    cut = stretch(docs[text], A_TEXT, F.col("__id").cast("string"), PARTS)
+    met = docs.join(F.broadcast(ids), docs[doc_id] == ids["__id"]).select("__id", "__label", order.alias("__order"), cut.alias("t"))
+    rows = first_rows(met, "__label", ["__order", "t"], 2 * EACH_LABEL).select("__id", "__label", "t").collect()
     rows = sorted(((r["__id"], r["__label"], r["t"] or "") for r in rows))
     shift = float(np.log(rate[0] / rate[1]))
     return [t.encode("utf-8", "replace") for _, _, t in rows], np.array([y == 1 for _, y, _ in rows], bool), shift
