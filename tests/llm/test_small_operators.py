@@ -348,6 +348,63 @@ def test_embeddings_odd(spark, monkeypatch):
     assert embedding_dedup.embedding_dedup(df.limit(0)).count() == 0
 
 
+def near_copies(n, noise, dim=64, seed=1):
+    r = np.random.default_rng(seed)
+    centre = r.standard_normal(dim)
+    return centre / np.linalg.norm(centre) + noise * r.standard_normal((n, dim)) / dim**0.5
+
+
+def test_a_crowd_meets_once(spark):
+    """Members that shared an earlier bucket aren't dealt again, and every pair of some bucket meets."""
+    vectors = near_copies(6000, 0.02)
+    df = spark.createDataFrame([(i, "a", v) for i, v in enumerate(vectors.tolist())], "class long, label string, embedding array<double>").repartition(4).cache()
+    k, tables = embedding_dedup.tables_for(6000, 0.98)
+    keyed = df.select("class", "embedding").mapInArrow(embedding_dedup._hash(k, tables, 4), "class long, keys array<long>")
+    dealt = embedding_dedup._tasks(df.select("class", "label").join(keyed, "class"), 6000 * tables).cache()
+    assert dealt.count() <= 20 * 6000  # 39 a vector if every crowd were dealt whole
+    met, hashes = np.zeros((6000, 6000), bool), {r["class"]: r["keys"] for r in keyed.collect()}
+    tasks = defaultdict(list)
+    for r in dealt.collect():
+        tasks[r["task"]].append((r["class"], r["side"]))
+    for own in tasks.values():
+        x, y = ([c for c, side in own if side != other] for other in (2, 1))
+        met[np.ix_(x, y)] = met[np.ix_(y, x)] = True
+    keys = np.array([hashes[i] for i in range(6000)])
+    for t in range(tables):
+        share = keys[:, t][:, None] == keys[:, t]
+        assert met[share].all()
+        if t == 3:
+            break
+
+
+def test_embeddings_with_links_equal_sql(spark):
+    import duckdb
+
+    rows = [(i, v, i % 2) for i, v in enumerate(near_copies(150, 0.12, 16).tolist())] + [(200 + i, v, 0) for i, v in enumerate(near_copies(60, 0.1, 16, 2).tolist())]
+    rows += [(5, rows[7][1], 1), (300, None, 1), (301, [0.0] * 16, 1), (302, rows[3][1], None), (303, rows[3][1][:8], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    duck = duckdb.connect()
+    frame = df.toPandas()  # noqa: F841  read by the SQL below
+    duck.sql("CREATE TABLE embeddings AS SELECT * FROM frame")
+    found = duck.execute(queries.oracle_sql()["op4_embedding_dedup"]).fetchall()
+    assert sum(r[1] for r in found) > 1000
+    assert sorted(map(tuple, found), key=repr) == sorted((tuple(r) for r in embedding_dedup.embedding_dedup(df).collect()), key=repr)
+
+
+def test_filters_larger_than_a_broadcast_shuffle_no_rows(spark):
+    """A filter of many broadcasts: whole rows stay where they are but for the suspects."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('text number ', if(id % 3 = 0, id % 5000, id)) AS text")
+    out = exact_dedup.exact_dedup(docs, most_pages=1)
+    plan = out._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert not any("__page" in line for line in plan.split("\n") if "Exchange hashpartitioning" in line or "RangePartitioning" in line)
+    assert plan.count("BroadcastHashJoin") >= 2
+    kept = {r["text"]: r["doc_id"] for r in out.collect()}
+    want = {}
+    for r in docs.collect():
+        want[r["text"]] = max(r["doc_id"], want.get(r["text"], -1))
+    assert kept == want
+
+
 def test_embeddings_of_a_crowd(spark):
     """Thousands of vectors of one direction and others near it: links counted once each, no pair listed."""
     r = np.random.default_rng(5)

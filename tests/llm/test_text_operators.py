@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter
 from itertools import product
 
@@ -406,8 +407,85 @@ def test_toxicity_held_out_and_offsets(spark, odd, none):
 
 
 def test_toxicity_query(spark):
+    """The query's scores of the whole table, by forward and backward sums written out."""
+    docs, labels = queries.table(spark, SF, "documents").select("doc_id", "text"), queries.table(spark, SF, "labels")
+    model = toxicity.train(*toxicity.training_rows(docs, labels.where(language_id.fold("doc_id", 5) != 0)))
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     rows = queries.op8_toxicity(spark, SF).collect()
-    assert len(rows) == queries.table(spark, SF, "documents").count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert len(rows) == len(texts)
+    move = np.exp(model.move)
+    for r in rows:
+        features, *_ = toxicity.tokens([texts[r["doc_id"]].encode()])
+        p = []
+        for low in range(0, len(features), toxicity.STRETCH):
+            weight = np.stack([np.ones(len(features[low : low + toxicity.STRETCH])), np.exp(np.clip(model.emission(features[low : low + toxicity.STRETCH]), -30, 30))], 1)
+            forward, backward = [weight[0]], [np.ones(2)]
+            for w in weight[1:]:
+                forward.append((f := forward[-1] @ move * w) / f.sum())
+            for w in weight[:0:-1]:
+                backward.append((b := move @ (w * backward[-1])) / b.sum())
+            both = np.array(forward) * np.array(backward[::-1])
+            p += (both[:, 1] / both.sum(1)).tolist()
+        p = np.array(p)
+        z = np.array([1, np.log1p(p[p > 0.1].sum()), p.max(initial=0), np.log1p(len(p)) / 10]) @ model.document
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-6) and r["predicted"] == int(r["score"] >= 0.5)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and len(r["spans"]) == (p > 0.5).sum()
+
+
+def test_language_query(spark):
+    """The query's languages of the whole table, by substring searches in the references."""
+    docs = queries.table(spark, SF, "documents").select("doc_id", "text", "lang")
+    references = language_id.references(docs.where(language_id.fold("doc_id", 4) != 2))
+    folded = {k: "\0".join(t.lower() for t in own) for k, own in references.items()}
+    cost = {k: np.log2(2 + sum(map(len, own))) for k, own in references.items()}
+
+    def phrases(text, reference):
+        n = at = 0
+        while at < len(text):
+            size = 1
+            while at + size < len(text) and text[at : at + size + 1] in reference:
+                size += 1
+            n, at = n + 1, at + size
+        return n
+
+    rows = {r["doc_id"]: r for r in queries.op7_language_id(spark, SF).collect()}
+    checked = 0
+    for d in docs.collect():
+        text, r = d["text"], rows[d["doc_id"]]
+        assert r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2)
+        if not text or not language_id.has_letter(text):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+        elif len(text) < 6000:
+            text = text.lower()
+            bits = {k: cost[k] * sum(phrases(text[low : low + 256], own) for low in range(0, len(text), 256)) / len(text) for k, own in folded.items()}
+            assert r["lang_pred"] == min(sorted(bits), key=bits.get)
+            assert r["score"] == pytest.approx(1 / sum(2 ** (-4 * (b - min(bits.values()))) for b in bits.values()), rel=1e-6)
+            checked += 1
+    assert checked > 150
+
+
+def test_training_samples_are_bounded_and_from_whole_texts(spark):
+    """Long texts are sampled beyond their beginnings; a label whose rows share an id is bounded all the same."""
+    long = "a" * 50_000 + "b" * 50_000
+    docs = spark.range(400).selectExpr("id AS doc_id", f"if(id % 2 = 0, repeat('a', 50000) || repeat('b', 50000), 'short ' || id) AS text", "'en' AS lang")  # noqa: F541
+    texts = language_id.references(docs)["en"]
+    assert sum(map(len, texts)) <= language_id.REFERENCE and all(len(t) <= language_id.A_TEXT for t in texts)
+    assert any(set(t) == {"b"} for t in texts) and all(t in long or t.startswith("short ") for t in texts)
+    same = spark.range(30_000).selectExpr("7L AS doc_id", "'some text ' || id AS text", "'en' AS lang")
+    assert 0 < sum(map(len, language_id.references(same).get("en", [""]))) <= language_id.REFERENCE or not language_id.references(same)
+    labels = spark.range(400).selectExpr("id AS doc_id", "int(id % 4 = 0) AS toxic")
+    sample, toxic, _ = toxicity.training_rows(docs, labels)
+    assert len(sample) == 400 and max(map(len, sample)) <= toxicity.A_TEXT + toxicity.PARTS and all({97, 98} <= set(t) for t in sample if len(t) > 1000)
+    short = next(t for t in sample if len(t) < 1000)
+    assert short.startswith(b"short ")
+    rows = toxicity.training_rows(same, spark.range(20_000).selectExpr("7L AS doc_id", "1 AS toxic"))[0]
+    assert len(rows) <= 2 * toxicity.EACH_LABEL
+
+
+def test_the_pipeline_uses_the_shared_folder(spark):
+    from lexspan.llm.common import shared_folder
+
+    assert corpus_pipeline._folder(spark).startswith(shared_folder(spark))
 
 
 def test_pipeline_stages(spark, tmp_path):
