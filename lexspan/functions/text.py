@@ -151,6 +151,14 @@ def percent_decode(text: str) -> str:
         return text
 
 
+def percent_decoded(text: Column) -> Column:
+    """`percent_decode` of a column: as it is if an escape is incomplete or the bytes aren't UTF-8."""
+    lost = "\ufffd"  # what the decoder puts for such bytes; one that was meant is counted on both sides
+    count = lambda c, what: F.size(F.split(c, what)) - 1
+    plain = F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.when(plain.isNotNull() & (count(plain, lost) == count(text, lost) + count(F.upper(text), "%EF%BF%BD")), plain).otherwise(text)
+
+
 def clamp_int(value: object, default: int, low: int, high: int) -> int:
     """The leading integer of a value within bounds; the default if there is none."""
     found = re.match(rf"[{SPACES}]*([+-]?\d+)", "" if value is None else str(value))
@@ -171,3 +179,16 @@ def slice_page(text: Column, offset: int, limit: int) -> dict[str, Column]:
 def url_path(path: str) -> str:
     """A path with each of its parts percent-encoded for a URL."""
     return "/".join(quote(part, safe="!~*'()") for part in path.replace("\\", "/").split("/"))
+
+
+def url_path_of(path: Column) -> Column:
+    """`url_path` of a column."""
+    kept = {"+": "%20", "%21": "!", "%7E": "~", "%27": "'", "%28": "(", "%29": ")"}
+
+    def encoded(part: Column) -> Column:
+        out = F.url_encode(part)
+        for given, wanted in kept.items():
+            out = F.replace(out, F.lit(given), F.lit(wanted))
+        return out
+
+    return F.array_join(F.transform(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), encoded), "/")

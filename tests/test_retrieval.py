@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexspan import queries
+from lexspan import index_queries, queries
 from lexspan.operators.chunking import ChunkSize, chunk_documents, in_ingest_order, searchable
 from lexspan.operators.document import join_overlapping, read_document, reassemble, reassemble_exactly
 from lexspan.operators.scoring import unique_queries
@@ -31,6 +31,11 @@ def test_query_equals_sql(compare, name):
     compare(queries.queries()[name], queries.oracle_sql()[name])
 
 
+@pytest.mark.parametrize("name", sorted(index_queries.oracle_sql()))
+def test_index_query_equals_sql(compare, name):
+    compare(index_queries.queries()[name], index_queries.oracle_sql()[name])
+
+
 def model_chunks(text, size=1400, step=1200):
     cleaned = " ".join(text.split())
     cut = [cleaned[i : i + size].strip() for i in range(0, len(cleaned), step)]

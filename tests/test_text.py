@@ -61,3 +61,13 @@ def test_driver_side_arguments():
     assert T.url_path("a b\\c+é(1).pdf") == "a%20b/c%2B%C3%A9(1).pdf"
     assert T.percent_decode("a%20b%C3%A9") == "a bé"
     assert T.percent_decode("50%") == "50%" and T.percent_decode("%FF") == "%FF"
+
+
+@pytest.mark.parametrize("text", ["a b/é+%.pdf", "x!~*'()/-_.\\y", "100%", "%zz", "%C3%A9", "%C3", "%EF%BF%BD", "%C3%EF%BF%BD", "%-1", "%+1", "a+b", "", "%00", "\ufffd%41", "😀/ł"])
+def test_url_columns_equal_their_scalars(spark, text):
+    row = spark.createDataFrame([(text,)], "t string").select(T.url_path_of(F.col("t")), T.percent_decoded(F.col("t")), T.percent_decoded(T.url_path_of(F.col("t")))).first()
+    assert tuple(row) == (T.url_path(text), T.percent_decode(text), text.replace("\\", "/"))
+
+
+def test_url_columns_of_null(spark):
+    assert spark.createDataFrame([(None,)], "t string").select(T.url_path_of(F.col("t")), T.percent_decoded(F.col("t"))).first() == (None, None)
