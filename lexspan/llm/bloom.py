@@ -24,10 +24,13 @@ def _bits(key: Column) -> list[Column]:
 
 
 class Bloom:
-    """A filter over the 64-bit keys of a table, at 2 bytes a key; about one unknown key in two hundred seems known."""
+    """A filter over the 64-bit keys of a table, at 2 bytes a key; about one unknown key in two hundred seems known.
+
+    The table is read twice, so it should be durable.
+    """
 
     def __init__(self, keys: DataFrame, key: str, most_pages: int = MOST_PAGES):
-        keys = durable(keys.select(F.col(key).alias("__key")).where("__key IS NOT NULL"))
+        keys = keys.select(F.col(key).alias("__key")).where("__key IS NOT NULL")
         self.count = keys.count()
         self.pages = max(1, -(-self.count * BITS_A_KEY // PAGE))
         self.sent = max(1, most_pages)

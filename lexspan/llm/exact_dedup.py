@@ -33,7 +33,7 @@ def repeated(hashed: DataFrame, digest: str) -> DataFrame:
 def _judged(hashed: DataFrame, most_pages: int) -> DataFrame:
     """Adds `__suspect` to rows with text_sha256: whether another row possibly has the same."""
     keyed = hashed.withColumn("__key", F.xxhash64("text_sha256"))
-    return Bloom(repeated(hashed, "text_sha256"), "__key", most_pages).mark(keyed, "__key").drop("__key")
+    return Bloom(durable(repeated(hashed, "text_sha256")), "__key", most_pages).mark(keyed, "__key").drop("__key")
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most_pages: int = MOST_PAGES) -> DataFrame:
