@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import block_pairs, durable, join_by_key, width
-from .components import connected_components
-from .simhash import stars
+from .components import connected_components, stars
+
 
 #: Quantisation step, the chance to miss a pair at the threshold, members of a block of a crowded bucket.
 STEP, MISS, BLOCK = 2.0, 0.001, 2048

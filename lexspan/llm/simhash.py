@@ -289,23 +289,6 @@ def _probes(batches: Iterator[pa.RecordBatch], width_: int, count: int) -> Itera
             )
 
 
-def stars(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Links (smallest node, other) that connect what the given links connect, one for each other node."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = at[: len(a)], at[len(a) :]
-    label = np.arange(len(nodes))
-    while len(x):
-        least = np.minimum(label[x], label[y])
-        before = label.copy()
-        np.minimum.at(label, label[x], least)
-        np.minimum.at(label, label[y], least)
-        label = label[label]
-        if np.array_equal(label, before):
-            break
-    other = np.flatnonzero(label != np.arange(len(nodes)))
-    return np.stack([nodes[label[other]], nodes[other]], 1)
-
-
 def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
 

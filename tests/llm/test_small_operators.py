@@ -299,15 +299,21 @@ def roots_of(n, links):
     return [find(i) for i in range(n)]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize(("seed", "at_once"), [(0, 0), (1, 60), (2, 0), (0, 50_000), (1, 50_000)])
+def test_components(spark, seed, at_once):
+    """By steps to the end, by steps until few links are left, and in one task."""
     r = random.Random(seed)
     links = [(i, i + 1) for i in range(40)] + [(r.randrange(100), r.randrange(100)) for _ in range(40)]
     r.shuffle(links)
-    got = {x["node"]: x["root"] for x in connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    found = connected_components(spark.createDataFrame([*links, (None, 3), (-5, 7), (2**40, 8)], "a long, b long"), "a", "b", at_once).collect()
+    got = {x["node"]: x["root"] for x in found}
+    assert len(found) == len(got) and got.pop(-5) == -5 and got.pop(2**40) == got[8]
+    below = {i for i, root in got.items() if root == -5}  # what reaches 7
+    assert 7 in below
     want = roots_of(100, links)
-    linked = {i for a, b in links if a != b for i in (a, b)}
-    assert got == {i: want[i] for i in linked}
+    linked = {i for a, b in links if a != b for i in (a, b)} | {7, 8}
+    assert below == {i for i in linked if want[i] == want[7]}
+    assert {i: root for i, root in got.items() if i not in below} == {i: want[i] for i in linked - below}
 
 
 def test_components_without_links(spark):

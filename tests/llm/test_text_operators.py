@@ -12,6 +12,7 @@ from conftest import SF
 
 import corpus_pipeline
 from lexspan.llm import language_id, queries, repeats, simhash, substring_dedup, suffix_dedup, toxicity
+from lexspan.llm.components import stars
 from test_small_operators import ODD, SCHEMA, crowded, folded, roots_of
 
 LARGEST = 2**63 - 1
@@ -174,10 +175,10 @@ def test_links_among_crowded_fingerprints(spark, count):
 def test_stars():
     r = np.random.default_rng(1)
     a, b = r.integers(0, 80, 60), r.integers(0, 80, 60)
-    got = simhash.stars(np.r_[a, np.arange(100, 160)], np.r_[b, np.arange(101, 161)])
+    got = stars(np.r_[a, np.arange(100, 160)], np.r_[b, np.arange(101, 161)])
     linked = [*zip(a.tolist(), b.tolist(), strict=True), *((i, i + 1) for i in range(100, 160))]
     assert roots_of(161, got.tolist()) == roots_of(161, linked) and len(set(got[:, 1].tolist())) == len(got)
-    assert len(simhash.stars(np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
+    assert len(stars(np.zeros(0, np.int64), np.zeros(0, np.int64))) == 0
 
 
 def edited(words, r, share):
