@@ -24,33 +24,50 @@ from .scoring import LEAST_TERMS, unique_queries
 BITS, PAGE, GRAMS = 1 << 21, 32768, (3, 4)
 
 
+#: Characters that are hashed at a time, rows whose texts are Python strings at a time, and bitmaps that a task holds (of BITS / 8 bytes).
+STRETCH, ROWS, OPEN = 1 << 16, 256, 64
+
+
+def _hashed(text: str) -> Iterator[np.ndarray]:
+    """The bits of a text's n-grams, stretch by stretch, repeats included."""
+    for low in range(0, len(text), STRETCH):
+        # A stretch reaches into the next one by as much as its last n-grams do.
+        points = np.frombuffer(text[low : low + STRETCH + max(GRAMS) - 1].encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        for n in GRAMS:
+            size = min(STRETCH, len(points) - n + 1)
+            if size > 0:
+                mixed = np.full(size, n, np.uint64)
+                for k in range(n):
+                    mixed = (mixed ^ points[k : size + k]) * np.uint64(0x9E3779B97F4A7C15)
+                    mixed ^= mixed >> np.uint64(29)
+                yield (mixed % np.uint64(BITS)).astype(np.int64)
+
+
 def places(text: str) -> np.ndarray:
     """The bits of a text's n-grams, each once. A text shorter than an n-gram has none of it."""
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    out = []
-    for n in GRAMS:
-        if len(points) >= n:
-            mixed = np.full(len(points) - n + 1, n, np.uint64)
-            for k in range(n):
-                mixed = (mixed ^ points[k : len(points) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-                mixed ^= mixed >> np.uint64(29)
-            out.append(mixed % np.uint64(BITS))
-    return np.unique(np.concatenate(out)).astype(np.int64) if out else np.zeros(0, np.int64)
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *_hashed(text)]))
 
 
 def signatures(chunks: DataFrame, name: str = "name", content: str = "content_norm") -> DataFrame:
-    """name, page, bits of the shards named in a column of `chunks`, made where the chunks are and combined by shard and page."""
+    """name, page, bits of the shards named in a column of `chunks`, made where the chunks are and combined by shard and page.
+
+    A task holds at most OPEN bitmaps, those of the shards that it met last, and hashes a stretch of text at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards: dict[str, np.ndarray] = {}
         for batch in batches:
-            names = batch.column(0)
-            for own in names.unique().to_pylist():
-                texts = batch.column(1).filter(pa.compute.equal(names, own)).to_pylist()
-                # A line feed between chunks; the n-grams across it only set bits that needn't be.
-                shards.setdefault(own, np.zeros(BITS, bool))[places("\n".join(t or "" for t in texts))] = True
-            while len(shards) > 1:  # rows come shard by shard, so what isn't the last one is complete but for other tasks' part
-                yield _pages(first := next(iter(shards)), shards.pop(first))
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                names = part.column(0)
+                for own in names.unique().to_pylist():
+                    bits = shards[own] = shards.pop(own) if own in shards else np.zeros(BITS // 8, np.uint8)
+                    texts = part.column(1).filter(pa.compute.equal(names, own)).to_pylist()
+                    # A line feed between chunks; the n-grams across it only set bits that needn't be.
+                    for found in _hashed("\n".join(t or "" for t in texts)):
+                        np.bitwise_or.at(bits, found >> 3, np.left_shift(1, found & 7).astype(np.uint8))
+                    if len(shards) > OPEN:
+                        yield _pages(first := next(iter(shards)), shards.pop(first))
         for own, bits in shards.items():
             yield _pages(own, bits)
 
@@ -59,9 +76,9 @@ def signatures(chunks: DataFrame, name: str = "name", content: str = "content_no
 
 
 def _pages(name: str, bits: np.ndarray) -> pa.RecordBatch:
-    pages = bits.reshape(-1, PAGE)
+    pages = bits.reshape(-1, PAGE // 8)
     own = np.flatnonzero(pages.any(1))
-    packed = [np.packbits(pages[p], bitorder="little").tobytes() for p in own]
+    packed = [pages[p].tobytes() for p in own]
     return pa.record_batch([pa.array([name] * len(own), pa.string()), pa.array(own, pa.int32()), pa.array(packed, pa.binary())], names=["name", "page", "bits"])
 
 

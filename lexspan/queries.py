@@ -15,6 +15,7 @@ from .operators.scoring import CompiledQuery, distinct_queries
 from .operators.search import scored, search, search_many
 from .operators.shards import assign_shards, shard_descriptors
 from .operators.signatures import possible, signatures
+from .sources.durable import durable
 from .sources.files import ROOTS
 from .sources.ndjson import parse_lines, to_lines
 
@@ -106,7 +107,7 @@ def search_sets(spark, d):
 def search_pruned(spark, d):
     """A search of only those folders whose signatures may hold enough of its terms; SQL scores them all."""
     rows = chunks(spark, d)
-    may = possible(signatures(rows, "folder"), RARE).withColumnRenamed("name", "folder")
+    may = possible(durable(signatures(rows, "folder")), RARE).withColumnRenamed("name", "folder")
     return search(rows.join(may, "folder", "left_semi"), RARE).select("file", "chunk_no", "score")
 
 

@@ -2,6 +2,7 @@ import json
 import random
 import threading
 import time
+import tracemalloc
 import zipfile
 import zlib
 from http.client import HTTPConnection
@@ -11,6 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexspan import index_queries, queries
+from lexspan.functions import text as T
+from lexspan.operators import document
+from lexspan.operators import signatures as signatures_
 from lexspan.operators.chunking import ChunkSize, chunk_documents, in_ingest_order, searchable
 from lexspan.operators.document import join_overlapping, read_document, reassemble, reassemble_exactly
 from lexspan.operators.scoring import unique_queries
@@ -577,3 +581,25 @@ def test_a_stream_into_the_index(spark, tmp_path):
     assert [h["file"] for h in service.search({"query": "gamma delta"})[1]["results"]] == ["02_LAW/x/003.pdf"]
     states = {r["file"]: r["chunks"] for r in store.states(store.manifest()).collect()}
     assert len(states) == 26 and states["02_LAW/x/999.pdf"] == 0 and sum(states.values()) == len(got)
+
+
+def test_signatures_hash_stretches_and_hold_few_bitmaps(spark):
+    text = "".join(chr(97 + k * k % 23) for k in range(3 * signatures_.STRETCH + 5)) + "é"
+    tracemalloc.start()
+    found = set()
+    for part in signatures_._hashed(text):
+        found.update(np.unique(part).tolist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * signatures_.STRETCH + (4 << 20)
+    assert all(set(signatures_.places(text[at : at + 9]).tolist()) <= found for at in range(signatures_.STRETCH - 9, signatures_.STRETCH + 3))
+    # More shards than a task holds, in turn.
+    names = [f"s{k % (signatures_.OPEN + 9)}" for k in range(3 * signatures_.OPEN)]
+    rows = spark.createDataFrame([(n, f"text {k} of {n}") for k, n in enumerate(names)], "name string, content_norm string").repartition(1)
+    made: dict[str, set] = {}
+    for r in signatures_.signatures(rows).collect():
+        bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+        made.setdefault(r["name"], set()).update((np.flatnonzero(bits) + r["page"] * signatures_.PAGE).tolist())
+    assert set(made) == set(names)
+    for k, n in enumerate(names):
+        assert set(signatures_.places(f"text {k} of {n}").tolist()) <= made[n]
