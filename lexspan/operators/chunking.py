@@ -58,6 +58,7 @@ def windows(cleaned: Column, size: ChunkSize = ChunkSize()) -> Column:
 
 def chunk_documents(docs: DataFrame, size: ChunkSize = ChunkSize(), file: str = "file", text: str = "text") -> DataFrame:
     """file, folder, chunk_no, start, content of every chunk. No shuffle; columns of `docs` but these are not read."""
+    # The windows are made in the generator: of a column, Spark would make them a second time to leave out rows without any.
     cleaned = docs.select(F.col(file).alias("file"), clean_text(F.col(text)).alias("__clean"))
     return (
         cleaned.select("file", folder_of(F.col("file")).alias("folder"), F.explode(windows(F.col("__clean"), size)).alias("c"))
@@ -65,6 +66,11 @@ def chunk_documents(docs: DataFrame, size: ChunkSize = ChunkSize(), file: str =
     )
 
 
+def chunks_of(cut: DataFrame) -> DataFrame:
+    """The same of documents that are cut already and kept (file, windows)."""
+    return cut.select("file", folder_of(F.col("file")).alias("folder"), F.explode("windows").alias("c")).select("file", "folder", "c.chunk_no", "c.start", "c.content")
+
+
 def searchable(chunks: DataFrame) -> DataFrame:
     """Adds content_norm and path_norm, once, at ingest, so that no search computes them."""
     return chunks.withColumns({

@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.chunking import searchable
 from ..operators.shards import DEFAULT_MB, LEAST_MB, assign_shards, line_bytes, shard_name
 from ..operators.signatures import signatures
 from .ndjson import write_shards
@@ -76,15 +77,18 @@ class Store:
     def commit(self, chunks: DataFrame, after: int = 0) -> list[dict]:
         """Writes chunks as new shards, numbered on from `after`; their entries in the manifest.
 
-        Shards are those of next-fit over the lines of JSON in ingest order, a file each;
+        Chunks that don't have content_norm and path_norm yet get them behind the shuffles. Shards are those of next-fit over the lines of JSON in ingest order, a file each;
         bytes are those on disk, lineBytes those of the lines, first and last the
         least and greatest file, by which readers pick shards. Beside them lie the shards' signatures.
         """
         at = f"commits/{uuid.uuid4().hex}"
-        ordered = chunks.select(*[f.split()[0] for f in CHUNK.split(", ")]).withColumn("__ord", collated())
+        columns = [f.split()[0] for f in CHUNK.split(", ")]
+        ordered = chunks.select(*[c for c in columns if c in chunks.columns]).withColumn("__ord", collated())
         sharded = assign_shards(ordered, int(self.shard_mb * 1024 * 1024), "__ord").withColumn("shard_no", F.col("shard_no") + after)
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        sorted_ = sharded.repartition(n, "shard_no").sortWithinPartitions("shard_no", "__ord", "file", "chunk_no").drop("__ord", "line_bytes")
+        dealt = sharded.repartition(n, "shard_no")
+        dealt = dealt if "content_norm" in dealt.columns else searchable(dealt)
+        sorted_ = dealt.sortWithinPartitions("shard_no", "__ord", "file", "chunk_no").select(*columns, "shard_no")
         sorted_.write.partitionBy("shard_no").parquet(f"{self.root}/{at}/chunks")
         written = self.spark.read.schema(f"{CHUNK}, shard_no int").parquet(f"{self.root}/{at}/chunks").select("*", listed_file().alias("name"), "_metadata.file_size")
         signed = signatures(written).repartitionByRange(n, "page").sortWithinPartitions("page", "name")

@@ -603,3 +603,25 @@ def test_signatures_hash_stretches_and_hold_few_bitmaps(spark):
     assert set(made) == set(names)
     for k, n in enumerate(names):
         assert set(signatures_.places(f"text {k} of {n}").tolist()) <= made[n]
+
+
+def test_a_rebuild_moves_no_more_than_it_works_off(spark, tmp_path):
+    class Watched(Store):
+        seen: list = []
+
+        def commit(self, chunks, after=0):
+            self.seen.append((list(chunks.columns), chunks._jdf.queryExecution().withCachedData().toString()))
+            return super().commit(chunks, after)
+
+    rows = [(f"02_LAW/{k}.txt", f"/{k}", 300, (f"ÉTÉ {k} " * 400).encode()) for k in range(12)]
+    files = lambda rs: spark.createDataFrame(rs, "file string, absolute_path string, size long, content binary")
+    store = Watched(spark, f"{tmp_path}/index")
+    plan = Rebuild(store, readers={"txt": bytes.decode}, timeout=None)
+    plan.run(files(rows), 5)
+    changed = [*rows[:6], *[(f, p, s, c + b" later") for f, p, s, c in rows[6:9]]]
+    report = plan.run(files(changed), 2)
+    assert (report["changedFiles"], report["deletedFiles"], report["unchangedFiles"]) == (3, 3, 6)
+    assert len(store.seen) > 3 and not any("content_norm" in columns for columns, _ in store.seen)
+    chunks = store.chunks(store.manifest()).collect()
+    assert {r["file"] for r in chunks} == {r[0] for r in changed} and all(r["content_norm"] == T.normalise_text(r["content"]) for r in chunks)
+    assert sum(r["content"].endswith("later") for r in chunks) >= 3
