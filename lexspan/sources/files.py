@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +21,8 @@ IGNORED = ("node_modules", ".git", ".vscode", "dist", "build", "index")
 GLOB, EXTENSION = "*.{[pP][dD][fF],[dD][oO][cC][xX]}", r"(?i)\.(pdf|docx)$"
 #: Seconds that one file may take: default and least.
 TIMEOUT, LEAST_TIMEOUT = 300, 30
+#: Files whose texts a task passes on together.
+AT_ONCE = 32
 #: Megabytes that a reader in a child process may take beyond what its parent holds.
 MEMORY_MB = 1024
 
@@ -126,12 +128,15 @@ def extract_one(file: str, content: bytes | None, readers: dict[str, Callable[[b
 
 
 def extract(files: DataFrame, readers: dict[str, Callable[[bytes], str]] = READERS, timeout: float | None = None) -> DataFrame:
-    """file, ok, text, reason of each file; a file that fails never fails the job."""
+    """file, ok, text, reason of each file; a file that fails never fails the job. A task holds a batch of bytes and the texts of AT_ONCE files."""
     limit = None if timeout is None else max(LEAST_TIMEOUT, timeout)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [extract_one(f, c, readers, limit) for f, c in zip(pdf["file"], pdf["content"], strict=True)]
-            yield pd.DataFrame({"file": pdf["file"], "ok": [o[0] for o in out], "text": [o[1] for o in out], "reason": [o[2] for o in out]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                part = batch.slice(at, AT_ONCE)
+                out = [extract_one(f.as_py(), c.as_py(), readers, limit) for f, c in zip(part.column(0), part.column(1), strict=True)]
+                columns = [pa.array([o[k] for o in out], t) for k, t in enumerate((pa.bool_(), pa.string(), pa.string()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["file", "ok", "text", "reason"])
 
-    return files.select("file", "content").mapInPandas(run, "file string, ok boolean, text string, reason string")
+    return files.select("file", "content").mapInArrow(run, "file string, ok boolean, text string, reason string")

@@ -625,3 +625,12 @@ def test_a_rebuild_moves_no_more_than_it_works_off(spark, tmp_path):
     chunks = store.chunks(store.manifest()).collect()
     assert {r["file"] for r in chunks} == {r[0] for r in changed} and all(r["content_norm"] == T.normalise_text(r["content"]) for r in chunks)
     assert sum(r["content"].endswith("later") for r in chunks) >= 3
+
+
+def test_extraction_passes_on_few_texts_at_a_time(spark):
+    files = spark.createDataFrame([(f"{k}.txt", b"x" * k) for k in range(100)] + [("no.bin", b"1"), ("null.txt", None)], "file string, content binary").repartition(1)
+    read = lambda content: content.decode() if len(content) != 7 else 1 / 0
+    made = extract(files, {"txt": read})
+    got = {r["file"]: (r["ok"], r["text"], r["reason"]) for r in made.collect()}
+    assert got == {f"{k}.txt": (True, "x" * k, None) if k != 7 else (False, None, "division by zero") for k in range(100)} | {"no.bin": (False, None, "Unsupported file type"), "null.txt": (True, "", None)}
+    assert "MapInPandas" not in made._jdf.queryExecution().toString()
