@@ -79,7 +79,7 @@ def sharded_lines(spark, d):
     """Next-fit shards written as lines of JSON and read back in one scan, each line with its number in its shard."""
     folder = _folder(spark, "lines")
     write_shards(assign_shards(chunks(spark, d).select("file", "folder", "content", "doc_ord", "chunk_no"), SHARD), folder)
-    listed = spark.read.text(folder).select("shard_no", F.col("_metadata.file_path").alias("path")).distinct().orderBy("shard_no")
+    listed = spark.read.format("binaryFile").load(folder).select("shard_no", "path").orderBy("shard_no")  # without their contents, which aren't read
     paths = [r["path"] for r in listed.collect()]  # a path a shard
     return numbered(read_ndjson(spark, paths)).select("shard_no", "line_no", "file", "content")
 

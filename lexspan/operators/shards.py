@@ -200,7 +200,8 @@ def assign_shards(chunks: DataFrame, limit: int = DEFAULT_MB * 1024 * 1024, orde
     as one row (its last shard and where new ones begin), which the chunks meet by file.
     """
     sized = chunks.withColumn("line_bytes", line_bytes())
-    slim = sized.select(F.col(order).alias("__order"), "file", "chunk_no", "line_bytes")
+    # Kept, as sorting by ranges reads its rows twice; they have no text.
+    slim = durable(sized.select(F.col(order).alias("__order"), "file", "chunk_no", "line_bytes"))
     numbered = next_fit(slim, limit, ["__order", "file", "chunk_no", "line_bytes"], "line_bytes", ranges)
     firsts = numbered.groupBy("file", "shard_no").agg(F.min("chunk_no").alias("first"))
     files = firsts.groupBy("file").agg(F.max("shard_no").alias("__last"), F.collect_list("first").alias("__firsts"))

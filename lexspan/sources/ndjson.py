@@ -72,13 +72,18 @@ def read_ndjson(spark: SparkSession, paths: list[str]) -> DataFrame:
 def numbered(lines: DataFrame) -> DataFrame:
     """Lines of `read_ndjson` with line_no gapless from 0 in each shard, without their block.
 
-    A second pass counts the lines of each split; splits are few, and are only broadcast if Spark measures them so.
+    A second pass counts the lines of each split. Where none of a split's lines was dropped their numbers follow
+    from its first one's, so they stay where they were read; only lines of the other splits
+    are sorted. A row a split, of at most spark.sql.files.maxPartitionBytes of lines, is broadcast.
     """
-    splits = lines.groupBy("shard_no", "block").agg(F.count(F.lit(1)).alias("__n"))
+    splits = lines.groupBy("shard_no", "block").agg(F.count(F.lit(1)).alias("__n"), F.min("line_no").alias("__first"), F.max("line_no").alias("__last"))
     before = F.sum("__n").over(Window.partitionBy("shard_no").orderBy("block")) - F.col("__n")
-    inside = F.row_number().over(Window.partitionBy("shard_no", "block").orderBy("line_no"))
-    met = lines.withColumn("__in", inside).join(splits.select("shard_no", "block", before.alias("__before")), ["shard_no", "block"])
-    return met.select("file", "folder", "content", "shard_no", (F.col("__before") + F.col("__in") - 1).alias("line_no"))
+    whole = F.col("__last") - F.col("__first") + 1 == F.col("__n")
+    known = splits.select("shard_no", "block", before.alias("__before"), "__first", whole.alias("__whole"))
+    met = lambda which: lines.join(F.broadcast(known.where(which)), ["shard_no", "block"])
+    inside = F.row_number().over(Window.partitionBy("shard_no", "block").orderBy("line_no")) - 1
+    out = lambda rows, place: rows.select("file", "folder", "content", "shard_no", (F.col("__before") + place).alias("line_no"))
+    return out(met("__whole"), F.col("line_no") - F.col("__first")).unionByName(out(met("NOT __whole").withColumn("__in", inside), F.col("__in")))
 
 
 def to_lines(chunks: DataFrame) -> DataFrame:

@@ -634,3 +634,20 @@ def test_extraction_passes_on_few_texts_at_a_time(spark):
     got = {r["file"]: (r["ok"], r["text"], r["reason"]) for r in made.collect()}
     assert got == {f"{k}.txt": (True, "x" * k, None) if k != 7 else (False, None, "division by zero") for k in range(100)} | {"no.bin": (False, None, "Unsupported file type"), "null.txt": (True, "", None)}
     assert "MapInPandas" not in made._jdf.queryExecution().toString()
+
+
+def test_lines_are_numbered_where_they_were_read(spark, tmp_path):
+    line = lambda k: '{"file":"f","folder":"d","content":"c%d"}' % k
+    (tmp_path / "a").write_text("\n".join(line(k) for k in range(500)))
+    (tmp_path / "b").write_text("\n".join("bad" if k % 3 == 1 else line(k) for k in range(500)))
+    wanted = [(1, k, f"c{k}") for k in range(500)] + [(2, n, f"c{k}") for n, k in enumerate(k for k in range(500) if k % 3 != 1)]
+    conf, most = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("4000", most):
+        spark.conf.set(conf, size)
+        try:
+            made = numbered(read_ndjson(spark, [f"{tmp_path}/a", f"{tmp_path}/b"]))
+            assert sorted((r["shard_no"], r["line_no"], r["content"]) for r in made.collect()) == wanted
+        finally:
+            spark.conf.set(conf, most)
+    one = numbered(read_ndjson(spark, [f"{tmp_path}/a"]))
+    assert "Union" in one._jdf.queryExecution().optimizedPlan().toString()
