@@ -1,8 +1,8 @@
 """Text functions: cleaning, search normalisation, terms, counts and paths.
 
-Everything is a Column expression but `normalise`, for which Spark has no built-in; it is an
-Arrow UDF meant for ingest, so that searches stay inside generated code. Positions and
-lengths are in code points.
+Everything is a Column expression but the decomposition in `normalise`, for which Spark has no
+built-in; it is an Arrow UDF meant for ingest, so that searches stay inside generated code. Positions
+and lengths are in code points.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ import re
 import unicodedata
 from urllib.parse import quote, unquote_to_bytes
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -58,19 +58,32 @@ GENERIC_WORDS = (
 TERM_BREAK, LEAST_TERM = r"[^\p{L}\p{N}_-]+", 2
 
 
+_MARKS = re.compile("[\u0300-\u036f]+")
+#: Texts that are Python strings at a time.
+AT_ONCE = 256
+
+
 def normalise_text(value: str | None) -> str:
     """Lower case, then compatibility decomposition, then without U+0300-U+036F; null: empty."""
     if not value:
         return ""
     if value.isascii():
         return value.lower()
-    return "".join(c for c in unicodedata.normalize("NFKD", value.lower()) if not "\u0300" <= c <= "\u036f")
+    return _MARKS.sub("", unicodedata.normalize("NFKD", value.lower()))
+
+
+@F.arrow_udf(StringType())
+def _decomposed(texts: pa.Array) -> pa.Array:
+    """`normalise_text` of a column, null for null. Besides Arrow's columns it holds AT_ONCE texts."""
+    parts = [pa.array([None if t is None else normalise_text(t) for t in texts.slice(at, AT_ONCE).to_pylist()], pa.string()) for at in range(0, len(texts), AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
-@F.pandas_udf(StringType())
-def normalise(values: pd.Series) -> pd.Series:
-    """`normalise_text` of a column."""
-    return values.map(normalise_text)
+def normalise(text: str | Column) -> Column:
+    """`normalise_text` of a column. Only texts that aren't ASCII are sent to Python."""
+    c = F.col(text) if isinstance(text, str) else text
+    ascii_ = F.length(c) == F.octet_length(c)
+    return F.when(c.isNull(), "").when(ascii_, F.lower(c)).otherwise(_decomposed(F.when(~ascii_, c)))
 
 
 def _is_term_char(c: str) -> bool:

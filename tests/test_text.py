@@ -71,3 +71,11 @@ def test_url_columns_equal_their_scalars(spark, text):
 
 def test_url_columns_of_null(spark):
     assert spark.createDataFrame([(None,)], "t string").select(T.url_path_of(F.col("t")), T.percent_decoded(F.col("t"))).first() == (None, None)
+
+
+def test_only_texts_beyond_ascii_reach_python(spark):
+    texts = [None, "", "Plain ASCII\n", "ÉTÉ", "ΟΔΟΣ ΣΑΣ", "ﬁn½", "a\u0345\u05b0\u0301b", "İ", "\u0301", "㎏ x"] * 70
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").repartition(1)
+    made = rows.select("k", T.normalise("text").alias("n"))
+    assert {r["k"]: r["n"] for r in made.collect()} == {k: T.normalise_text(t) for k, t in enumerate(texts)}
+    assert "octet_length" in made._jdf.queryExecution().optimizedPlan().toString()
