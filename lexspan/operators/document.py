@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,22 +28,45 @@ def join_overlapping(text: str, chunk: str) -> str:
     return f"{text} {chunk}" if at < 0 else text + chunk[len(end) - at :]
 
 
+#: Chunks that are Python strings at a time, and characters after which a task passes on the documents that it has joined.
+ROWS, PASSED_ON = 256, 1 << 20
+DOCUMENT = "file string, chunk_count long, text string"
+
+
 def reassemble(chunks: DataFrame) -> DataFrame:
     """file, chunk_count, text of every document, by overlap as the chunks stand.
 
-    A fold in order has no built-in; a group is one document's chunks. Where text repeats
+    A fold in order has no built-in. The chunks are sorted by file and number and streamed through
+    tasks, which hold one document and PASSED_ON characters of others. Where text repeats
     itself the longest overlap may be too long; `reassemble_exactly` isn't misled.
     """
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pieces, end = [], ""  # an overlap never reaches beyond the end, so the text isn't copied for each chunk
-        for chunk in pdf.sort_values("chunk_no")["content"]:
-            joined = join_overlapping(end, chunk)
-            pieces.append(joined[len(end) :])
-            end = joined[-MOST_OVERLAP:]
-        return pd.DataFrame({"file": [pdf["file"].iloc[0]], "chunk_count": [len(pdf)], "text": ["".join(pieces)]})
-
-    return chunks.select("file", "chunk_no", "content").groupBy("file").applyInPandas(fold, "file string, chunk_count long, text string")
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple[str, int, str]] = []
+        held, file, n, pieces, end = 0, None, 0, [], ""
+        passed_on = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.string(), pa.int64(), pa.string()), strict=True)], names=["file", "chunk_count", "text"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                for own, content in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if n and own != file:
+                        done.append((file, n, "".join(pieces)))
+                        held += len(done[-1][2])
+                        n, pieces, end = 0, [], ""
+                        if held >= PASSED_ON:
+                            yield passed_on()
+                            done, held = [], 0
+                    joined = join_overlapping(end, content or "")
+                    pieces.append(joined[len(end) :])
+                    # An overlap never reaches beyond the end, so the text isn't copied for each chunk.
+                    file, n, end = own, n + 1, joined[-MOST_OVERLAP:]
+        if n:
+            done.append((file, n, "".join(pieces)))
+        if done:
+            yield passed_on()
+
+    rows = chunks.select("file", "chunk_no", "content").repartition("file").sortWithinPartitions("file", F.asc_nulls_last("chunk_no"))
+    return rows.select("file", "content").mapInArrow(fold, DOCUMENT)
 
 
 def reassemble_exactly(chunks: DataFrame) -> DataFrame:

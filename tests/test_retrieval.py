@@ -651,3 +651,17 @@ def test_lines_are_numbered_where_they_were_read(spark, tmp_path):
             spark.conf.set(conf, most)
     one = numbered(read_ndjson(spark, [f"{tmp_path}/a"]))
     assert "Union" in one._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_documents_are_joined_in_a_stream(spark):
+    words = [" ".join(f"w{(k * 7919 + j * j) % 9973}" for j in range(40 * k)) for k in range(60)]
+    docs = spark.createDataFrame([(f"a/{k}.txt", t) for k, t in enumerate(words)], "file string, text string")
+    made = document.reassemble(chunk_documents(docs, ChunkSize(200, 60)).repartition(3, "content"))
+    got = {r["file"]: (r["chunk_count"], r["text"]) for r in made.collect()}
+    for k, text in enumerate(words):
+        chunks = model_chunks(text, 200, 140)
+        joined = ""
+        for c in chunks:
+            joined = document.join_overlapping(joined, c[-1] if isinstance(c, tuple) else c)
+        assert got.get(f"a/{k}.txt", (0, "")) == (len(chunks), joined)
+    assert "FlatMapGroupsInPandas" not in made._jdf.queryExecution().toString()
